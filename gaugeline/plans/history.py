@@ -1,0 +1,104 @@
+"""From the envelope of the bus to the rows of the stored tables. All of it is map-only."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from typing import Protocol
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gaugeline import fixed
+from gaugeline.functions.numbers import numeric_value
+from gaugeline.functions.times import event_date, parse_iso
+from gaugeline.operators import filtering, hierarchy, parsing, routing
+from gaugeline.operators.hierarchy import Plant
+
+
+class Source(Protocol):
+    def read_stream(self, spark: SparkSession) -> DataFrame: ...
+
+    def read_batch(self, spark: SparkSession) -> DataFrame: ...
+
+
+class Destination(Protocol):
+    def write_batch(self, df: DataFrame) -> None: ...
+
+
+def messages(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Decoded, parsed and classified messages of all contracts."""
+    decoded = parsing.decode(envelope)
+    return routing.classify(parsing.parse_messages(decoded, keep=keep))
+
+
+def hierarchy_rows(
+    envelope: DataFrame,
+    plant: Plant = Plant(),
+    ids: Sequence[str] | None = None,
+    as_of=None,
+    include_bad: bool = False,
+    keep: Sequence[str] = (),
+    extra: bool = True,
+) -> DataFrame:
+    """Readings of the listed node ids, tagged by id, in the shape of the hierarchy table."""
+    chosen = filtering.allow_node_ids(routing.readings(messages(envelope, keep), include_bad), ids)
+    return hierarchy.to_hierarchy(hierarchy.with_tag(chosen, plant), plant, as_of, keep, extra)
+
+
+def hierarchy_rows_by_tag(
+    envelope: DataFrame,
+    plant: Plant = Plant(),
+    tags: str | Sequence[str] = fixed.DEFAULT_CLEAN_TAGS,
+    as_of=None,
+    include_bad: bool = False,
+    keep: Sequence[str] = (),
+    extra: bool = True,
+) -> DataFrame:
+    """Readings tagged through the priority chain, without diagnostics, of the listed clean tags."""
+    chosen = routing.readings(messages(envelope, keep), include_bad)
+    tagged = filtering.drop_diagnostics(hierarchy.with_tag(chosen, plant, by_name=True))
+    return hierarchy.to_hierarchy(filtering.allow_tags(tagged, tags), plant, as_of, keep, extra)
+
+
+def flat_rows(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The flat text table, with time, date and value typed beside the text so that bounds reach a
+    scan: the text of a time may have an offset, and the text of a number does not sort as one."""
+    rows = parsing.parse_flat(parsing.decode(envelope), keep=keep)
+    typed = rows.withColumns({"eventTime": parse_iso("timestamp"), "valueDouble": numeric_value("value")})
+    return typed.withColumn("eventDate", event_date("eventTime"))
+
+
+def run_batch(spark: SparkSession, source: Source, steps: Sequence[Callable[[DataFrame], DataFrame]], destination: Destination) -> None:
+    """Source, transforms, destination."""
+    df = source.read_batch(spark)
+    for step in steps:
+        df = df.transform(step)
+    destination.write_batch(df)
+
+
+def run_stream(spark: SparkSession, source: Source, steps: Sequence[Callable[[DataFrame], DataFrame]], destination, **how):
+    """The same chain as a streaming query; ``how`` goes to the destination."""
+    df = source.read_stream(spark)
+    for step in steps:
+        df = df.transform(step)
+    return destination.write_stream(df, **how)
+
+
+def require_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The table unchanged if it has the columns and types of ``schema``; raises otherwise."""
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {f.dataType.simpleString()}" for f in schema.fields if actual.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"expected columns {wrong} not in {df.schema.simpleString()}")
+    return df
+
+
+def observed(classified: DataFrame, observation: Observation | str = "messages") -> DataFrame:
+    """Counts of all, bad and unparsable messages, taken while the rows pass by."""
+    return classified.observe(
+        observation,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("message_class") == routing.BAD_VALUE).alias("bad_values"),
+        F.count_if("unparsable").alias("unparsable"),
+    )

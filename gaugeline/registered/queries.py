@@ -1,0 +1,637 @@
+"""Registered queries, by name. Each takes a session and the folder of the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeline import fixed
+from gaugeline.functions import numbers, status, tags, times
+from gaugeline.operators import catalogue, filtering, parsing, publishing, readings, routing
+from gaugeline.operators import hierarchy as hierarchy_operators
+from gaugeline.plans import history, maintenance
+from gaugeline.plans import queries as query
+from gaugeline.registered import views
+from gaugeline.registered.views import AS_OF, HIERARCHY_LAYOUT, KEEP, PLANT, TIE, shown
+from gaugeline.session import scratch_path
+from gaugeline.sinks.tables import Table
+from gaugeline.sources import events as adapter
+from gaugeline.sources.files import FileSource, read_parquet, read_table
+from gaugeline.streaming import ingest, side_outputs
+from gaugeline.streaming import latest as latest_stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+REGISTERED: dict[str, Query] = {}
+
+
+def register(build: Query) -> Query:
+    REGISTERED[build.__name__] = lambda spark, folder: shown(build(spark, folder))
+    return build
+
+
+# --- parsing -------------------------------------------------------------------------------
+
+
+@register
+def parse_flat(spark, folder):
+    return parsing.parse_flat(parsing.decode(views.envelope(spark, folder)), keep=KEEP)
+
+
+@register
+def parse_flat_plain(spark, folder):
+    return parsing.parse_flat_plain(parsing.decode(views.envelope(spark, folder)), keep=KEEP)
+
+
+@register
+def parse_typed(spark, folder):
+    decoded = parsing.decode(adapter.typed(views.events(spark, folder)))
+    return parsing.parse_typed(decoded, keep=KEEP)
+
+
+@register
+def parse_messages(spark, folder):
+    return views.messages(spark, folder, mixed_values=True).drop("nodeId", "displayName")
+
+
+@register
+def numeric_value(spark, folder):
+    rows = views.messages(spark, folder, mixed_values=True).select(*KEEP, F.col("value").alias("RawData"))
+    return parsing.with_numeric_value(rows)
+
+
+@register
+def normalise_values(spark, folder):
+    source = views.events(spark, folder)
+    rows = source.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("moment"),
+        F.array("user_id", "event_id").alias("pair"),
+        F.struct("user_id", "event_type", F.col("ts").cast("timestamp").alias("at")).alias("detail"),
+        F.when(F.col("event_id") % 23 == 0, float("nan")).otherwise(F.col("value")).alias("number"),
+        "event_type",
+    )
+    return parsing.normalise_values(rows)
+
+
+@register
+def to_records(spark, folder):
+    rows = views.envelope(spark, folder).select(
+        F.col("offset").alias("position"), F.col("key").cast("string").alias("key"), "timestamp", "topic"
+    )
+    return parsing.to_records(rows)
+
+
+# --- classes -------------------------------------------------------------------------------
+
+
+@register
+def classify_messages(spark, folder):
+    return views.all_messages(spark, folder).select("topic", *KEEP, "message_class")
+
+
+@register
+def bad_values(spark, folder):
+    return routing.bad_values(views.all_messages(spark, folder), KEEP)
+
+
+@register
+def connection_health(spark, folder):
+    return routing.connection_health(views.all_messages(spark, folder), KEEP)
+
+
+@register
+def event_messages(spark, folder):
+    return routing.events(views.all_messages(spark, folder), KEEP)
+
+
+@register
+def status_severity(spark, folder):
+    return views.messages(spark, folder).select(
+        *KEEP,
+        "status_code",
+        status.status_severity("status_code").alias("severity"),
+        status.is_bad_or_null("status_code", "value").alias("bad_or_null"),
+    )
+
+
+# --- filters -------------------------------------------------------------------------------
+
+
+@register
+def drop_null_ids(spark, folder):
+    return filtering.drop_null_ids(views.all_messages(spark, folder)).select("topic", *KEEP, "node_id")
+
+
+@register
+def node_allowlist(spark, folder):
+    return filtering.allow_node_ids(views.messages(spark, folder)).select(*KEEP, "node_id", "value")
+
+
+@register
+def allowlist_semi_join(spark, folder):
+    listed = adapter.catalogue(views.events(spark, folder))
+    return catalogue.allow_listed(views.messages(spark, folder), listed).select(*KEEP, "node_id", "value")
+
+
+@register
+def tag_allowlist(spark, folder):
+    tagged = hierarchy_operators.with_tag(routing.readings(views.messages(spark, folder)), PLANT, by_name=True)
+    return filtering.allow_tags(tagged, ",".join(fixed.DEFAULT_CLEAN_TAGS)).select(*KEEP, "Tag", "value")
+
+
+@register
+def drop_diagnostics(spark, folder):
+    tagged = hierarchy_operators.with_tag(views.all_messages(spark, folder), PLANT, by_name=True)
+    return filtering.drop_diagnostics(tagged).select("topic", *KEEP, "node_id", "Tag")
+
+
+@register
+def prefix_probe(spark, folder):
+    rows = views.messages(spark, folder).select(*KEEP, "node_id", "display_name", "value")
+    return filtering.prefix_probe(rows, order_by=TIE)
+
+
+# --- names and times -----------------------------------------------------------------------
+
+
+@register
+def derive_tag(spark, folder):
+    raw = tags.tag_from_node_id("node_id")
+    return views.messages(spark, folder).select(
+        *KEEP,
+        "node_id",
+        raw.alias("raw_tag"),
+        tags.without_spaces(raw).alias("no_spaces"),
+        tags.clean_tag(raw).alias("Tag"),
+    )
+
+
+@register
+def tag_fallback_chain(spark, folder):
+    return views.messages(spark, folder).select(
+        *KEEP,
+        tags.tag_from_name("display_name").alias("from_name"),
+        tags.tag_from_node_id("node_id").alias("from_id"),
+        tags.last_segment("display_name").alias("last_of_name"),
+        tags.last_segment("node_id").alias("last_of_id"),
+        tags.raw_tag("display_name", "node_id").alias("raw_tag"),
+    )
+
+
+@register
+def event_time(spark, folder):
+    return views.messages(spark, folder).select(
+        *KEEP,
+        times.parse_iso_offset("source_timestamp").alias("source_time"),
+        times.parse_iso_naive("timestamp").alias("ingest_time"),
+        times.parse_iso_naive("timestamp", "+05:30").alias("ingest_time_at_offset"),
+        times.event_time("source_timestamp", "timestamp", AS_OF).alias("event_time"),
+    )
+
+
+@register
+def future_clamp(spark, folder):
+    return hierarchy_operators.with_event_time(views.messages(spark, folder), AS_OF).select(
+        *KEEP, "EventTime", "EventDate"
+    )
+
+
+@register
+def late_flag(spark, folder):
+    rows = views.hierarchy(spark, folder).select(*KEEP, "Tag", "EventTime")
+    return hierarchy_operators.flag_late(rows, AS_OF)
+
+
+@register
+def ingest_stamp(spark, folder):
+    return views.events(spark, folder).select(
+        "event_id", times.ingest_stamp(F.col("ts").cast("timestamp")).alias("stamp")
+    )
+
+
+@register
+def node_id_format(spark, folder):
+    source = views.events(spark, folder)
+    return source.select(
+        "event_id", tags.make_node_id(F.col("user_id") % 4, F.concat("event_type", F.lit("."), "user_id")).alias("node_id")
+    )
+
+
+@register
+def quality_default(spark, folder):
+    return views.messages(spark, folder).select(
+        *KEEP, "quality", status.quality_or_good("quality").alias("quality_or_good")
+    )
+
+
+# --- hierarchy -----------------------------------------------------------------------------
+
+
+@register
+def hierarchy_table(spark, folder):
+    return views.hierarchy(spark, folder)
+
+
+@register
+def hierarchy_with_bad(spark, folder):
+    return views.hierarchy(spark, folder, include_bad=True, extra=False)
+
+
+@register
+def hierarchy_by_tag(spark, folder):
+    return history.hierarchy_rows_by_tag(
+        views.envelope(spark, folder), PLANT, as_of=AS_OF, keep=KEEP, extra=False
+    )
+
+
+@register
+def stored_hierarchy(spark, folder):
+    return views.stored_hierarchy(spark, folder)
+
+
+@register
+def source_enrichment(spark, folder):
+    rows = views.messages(spark, folder).select(*KEEP, "node_id", "value")
+    return hierarchy_operators.stamp_source(rows, PLANT)
+
+
+# --- queries on the flat table -------------------------------------------------------------
+
+_START, _END = "2024-01-05T00:00:00", "2024-01-12T12:00:00"
+
+
+@register
+def list_nodes(spark, folder):
+    return query.list_nodes(views.stored_flat(spark, folder))
+
+
+@register
+def latest_for_node(spark, folder):
+    rows = query.latest_for_node(
+        views.stored_flat(spark, folder), "Comp_Pressure", tie_break=TIE, narrow_first=True
+    )
+    return rows.drop("eventDate")
+
+
+@register
+def node_stats(spark, folder):
+    return query.node_stats(views.stored_flat(spark, folder), "Comp_Motor_Speed").select(
+        F.round("avg_value", 6).alias("avg_value"), "max_value", "min_value"
+    )
+
+
+@register
+def node_stats_absent(spark, folder):
+    return query.node_stats(views.stored_flat(spark, folder), "no such node")
+
+
+@register
+def node_stats_all(spark, folder):
+    return query.node_stats(views.stored_flat(spark, folder)).select(
+        "displayName", F.round("avg_value", 6).alias("avg_value"), "max_value", "min_value"
+    )
+
+
+@register
+def query_by_time(spark, folder):
+    return query.query_by_time(views.stored_flat(spark, folder), _START, _END, tie_break=TIE).drop("eventDate")
+
+
+@register
+def query_by_time_on_text(spark, folder):
+    rows = parsing.parse_flat(parsing.decode(views.envelope(spark, folder)), keep=KEEP)
+    return query.query_by_time(rows, _START, _END, tie_break=TIE)
+
+
+@register
+def filter_readings(spark, folder):
+    rows = query.filter_readings(
+        views.stored_flat(spark, folder),
+        start=_START,
+        end="",
+        quality="Good",
+        min_value=0,
+        max_value=25.5,
+        tie_break=TIE,
+    )
+    return rows.drop("eventDate")
+
+
+@register
+def filter_quality(spark, folder):
+    rows = query.filter_readings(views.stored_flat(spark, folder), quality="Uncertain", limit=None, tie_break=TIE)
+    return rows.drop("eventDate")
+
+
+@register
+def filter_quality_null(spark, folder):
+    rows = query.filter_readings(views.stored_flat(spark, folder), quality="null", limit=None, tie_break=TIE)
+    return rows.drop("eventDate")
+
+
+@register
+def filter_value_eq(spark, folder):
+    rows = query.filter_readings(views.stored_flat(spark, folder), value=12.31, tie_break=TIE)
+    return rows.drop("eventDate")
+
+
+@register
+def node_range_filter(spark, folder):
+    rows = query.filter_readings(
+        views.stored_flat(spark, folder),
+        node="Comp_Freq",
+        start=_START,
+        end="2024-01-28T00:00:00",
+        min_value=5,
+        max_value=60,
+        limit=None,
+        tie_break=TIE,
+    )
+    return rows.drop("eventDate")
+
+
+@register
+def result_count(spark, folder):
+    rows = query.filter_readings(views.stored_flat(spark, folder), quality="Good", start=_START, limit=None)
+    return readings.row_count(rows)
+
+
+# --- queries on the hierarchy table --------------------------------------------------------
+
+
+@register
+def latest_any(spark, folder):
+    return query.latest(views.stored_hierarchy(spark, folder), tie_break=TIE, narrow_first=True)
+
+
+@register
+def query_path(spark, folder):
+    return query.query_path(
+        views.stored_hierarchy(spark, folder),
+        PLANT.enterprise,
+        PLANT.site,
+        "Line-1",
+        "Compressor-1",
+        "Comp_Motor_Current_A",
+        start="2024-01-03T00:00:00",
+        end="2024-01-24T00:00:00",
+        min_value=2,
+        max_value=90,
+        limit=250,
+        tie_break=TIE,
+    )
+
+
+@register
+def dump_count(spark, folder):
+    return query.dump(views.stored_hierarchy(spark, folder))[0]
+
+
+@register
+def dump_rows(spark, folder):
+    return query.dump(views.stored_hierarchy(spark, folder))[1]
+
+
+# --- catalogue -----------------------------------------------------------------------------
+
+
+@register
+def name_lookup_join(spark, folder):
+    rows = filtering.drop_null_ids(views.messages(spark, folder)).select(*KEEP, "node_id", "value")
+    return catalogue.with_display_name(rows, adapter.catalogue(views.events(spark, folder)))
+
+
+@register
+def catalogue_coverage(spark, folder):
+    listed = adapter.catalogue(views.events(spark, folder))
+    return catalogue.coverage(catalogue.of_node_class(listed), filtering.drop_null_ids(views.messages(spark, folder)))
+
+
+def _address_space(spark, folder):
+    return adapter.address_space(views.events(spark, folder))
+
+
+def _joined_path(df):
+    return df.withColumn("path", F.array_join("path", "/"))
+
+
+@register
+def namespace_filter(spark, folder):
+    return _joined_path(catalogue.allow_namespaces(_address_space(spark, folder), "0, 2"))
+
+
+@register
+def namespaced_ids(spark, folder):
+    return _joined_path(catalogue.namespaced_only(_address_space(spark, folder)))
+
+
+@register
+def keyword_filter(spark, folder):
+    words = (*fixed.INFRASTRUCTURE_KEYWORDS, *fixed.METHOD_KEYWORDS)
+    return _joined_path(catalogue.drop_keywords(_address_space(spark, folder), words))
+
+
+@register
+def node_class_filter(spark, folder):
+    return _joined_path(catalogue.of_node_class(_address_space(spark, folder)))
+
+
+@register
+def tags_to_sample(spark, folder):
+    return _joined_path(catalogue.tags_to_sample(_address_space(spark, folder)))
+
+
+@register
+def catalogue_cap(spark, folder):
+    return _joined_path(catalogue.cap(_address_space(spark, folder), 40))
+
+
+@register
+def subtree_filter(spark, folder):
+    return _joined_path(catalogue.drop_subtrees(_address_space(spark, folder)))
+
+
+@register
+def diagnostics_branch(spark, folder):
+    return _joined_path(catalogue.diagnostics_branch(_address_space(spark, folder)))
+
+
+# --- samples, latest values, typed values --------------------------------------------------
+
+
+@register
+def first_n_per_tag(spark, folder):
+    rows = views.hierarchy(spark, folder).select(*KEEP, "Tag", "RawData", "StatusCode", "EventTime")
+    return readings.first_samples(rows, tie_break=TIE)
+
+
+@register
+def first_many_per_tag(spark, folder):
+    rows = views.hierarchy(spark, folder).select(*KEEP, "Tag", "RawData", "EventTime")
+    return readings.first_samples(rows, tie_break=TIE, n=1500)
+
+
+@register
+def latest_per_tag(spark, folder):
+    return readings.latest_values(views.hierarchy(spark, folder, extra=False), tie_break=TIE)
+
+
+def _typed(spark, folder):
+    rows = views.messages(spark, folder, mixed_values=True).select(*KEEP, "node_id", F.col("value").alias("RawData"))
+    return readings.with_typed_value(rows)
+
+
+@register
+def typed_values(spark, folder):
+    return _typed(spark, folder)
+
+
+@register
+def typed_table(spark, folder):
+    path = scratch_path(spark, "typed")
+    Table(path, partition_by=("kind",)).write_batch(_typed(spark, folder).where("kind is not null"))
+    return read_table(spark, path)
+
+
+# --- publishing ----------------------------------------------------------------------------
+
+_ENVELOPE_FIELDS = ("node_id", "value", "status_code", "moment")
+
+
+@register
+def kafka_envelope_roundtrip(spark, folder):
+    rows = filtering.drop_null_ids(views.messages(spark, folder)).select(
+        *KEEP, "node_id", "value", "status_code", times.parse_iso("timestamp").alias("moment")
+    )
+    sent = publishing.to_messages(rows, fields=_ENVELOPE_FIELDS, keep=KEEP)
+    schema = "node_id string, value string, status_code string, moment string"
+    back = sent.select(
+        *KEEP,
+        "topic",
+        F.col("key").cast("string").alias("key"),
+        F.from_json(F.col("value").cast("string"), schema).alias("m"),
+    )
+    return back.select(
+        *KEEP, "topic", "key", "m.node_id", "m.value", "m.status_code", times.parse_iso("m.moment").alias("moment")
+    )
+
+
+@register
+def topic_fanout(spark, folder):
+    rows = views.all_messages(spark, folder).select(*KEEP, "node_id", "type", "status", "event")
+    sent = publishing.to_messages(rows, topic=publishing.topic_for("type"), keep=KEEP)
+    return sent.select(*KEEP, "topic", "key", "value")
+
+
+# --- streams -------------------------------------------------------------------------------
+
+
+def _hierarchy_stream(stream: DataFrame, **how) -> DataFrame:
+    return history.hierarchy_rows(stream, PLANT, as_of=AS_OF, keep=KEEP, **how)
+
+
+def _envelope_stream(spark, path: str, schema) -> DataFrame:
+    return FileSource(path, schema=schema, max_files_per_trigger=1).read_stream(spark)
+
+
+def _staged(spark, folder):
+    path = views.staged_envelope(spark, folder)
+    return path, views.envelope(spark, folder).schema
+
+
+@register
+def stream_hierarchy(spark, folder):
+    """The given table itself as a file stream, into the partitioned hierarchy table."""
+    views.configure(spark)
+    source = FileSource(folder, schema=adapter.SCHEMA, options={"pathGlobFilter": "events.parquet"})
+    rows = _hierarchy_stream(adapter.readings(source.read_stream(spark)))
+    path = scratch_path(spark, "stream-hierarchy")
+    table = Table(path, partition_by=fixed.HIERARCHY, files_per_partition=2, salt_from=TIE)
+    query_ = table.write_stream(
+        ingest.with_watermark(rows), f"{path}-checkpoint", ingest.ALL_THERE_IS, name="hierarchy"
+    )
+    ingest.drain(query_)
+    return read_table(spark, path)
+
+
+@register
+def stream_flat(spark, folder):
+    staged, schema = _staged(spark, folder)
+    rows = parsing.parse_flat_plain(parsing.decode(_envelope_stream(spark, staged, schema)), keep=KEEP)
+    path = scratch_path(spark, "stream-flat")
+    ingest.drain(Table(path).write_stream(rows, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_table(spark, path)
+
+
+@register
+def stream_resume(spark, folder):
+    """The same query started twice on one checkpoint: the second run finds nothing new."""
+    staged, schema = _staged(spark, folder)
+    path = scratch_path(spark, "stream-resume")
+    for _ in range(2):
+        rows = _hierarchy_stream(_envelope_stream(spark, staged, schema), extra=False)
+        ingest.drain(Table(path).write_stream(rows, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_table(spark, path)
+
+
+@register
+def stream_side_outputs(spark, folder):
+    """Readings and side tables of one stream, each row under the name of its table."""
+
+    def both(spark_, folder_):
+        source = views.events(spark_, folder_)
+        return adapter.readings(source).unionByName(adapter.controls(source))
+
+    staged = views.staged_envelope(spark, folder, build=both)
+    stream = _envelope_stream(spark, staged, both(spark, folder).schema)
+    root = scratch_path(spark, "stream-side")
+    ingest.drain(
+        side_outputs.start(stream, root, f"{root}-checkpoint", PLANT, AS_OF, KEEP, trigger=ingest.ALL_THERE_IS)
+    )
+    tables = [
+        side_outputs.read(spark, root, name).select(F.lit(name).alias("table_name"), *KEEP)
+        for name in side_outputs.TABLES
+    ]
+    result = tables[0]
+    for table in tables[1:]:
+        result = result.unionByName(table)
+    return result
+
+
+@register
+def stream_schema_evolution(spark, folder):
+    """A stream without quality, then with it, into one table: earlier rows read back as NULL."""
+    staged, path = scratch_path(spark, "envelope"), scratch_path(spark, "stream-evolution")
+    source = views.envelope(spark, folder)
+    for part, parse in enumerate((parsing.parse_flat_plain, parsing.parse_flat)):
+        source.where(F.col("offset") % 2 == part).write.mode("append").parquet(staged)
+        rows = parse(parsing.decode(_envelope_stream(spark, staged, source.schema)), keep=KEEP)
+        table = Table(path, merge_schema=True)
+        ingest.drain(table.write_stream(rows, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_parquet(spark, path, merge_schema=True)
+
+
+@register
+def stream_latest_upsert(spark, folder):
+    staged, schema = _staged(spark, folder)
+    rows = _hierarchy_stream(_envelope_stream(spark, staged, schema), extra=False)
+    root = scratch_path(spark, "stream-latest")
+    ingest.drain(
+        latest_stream.start(rows, root, f"{root}-checkpoint", tie_break=TIE, trigger=ingest.ALL_THERE_IS)
+    )
+    return latest_stream.read(spark, root)
+
+
+@register
+def compacted_history(spark, folder):
+    """A streamed table of many small files, rewritten as sorted ones."""
+    staged, schema = _staged(spark, folder)
+    path = scratch_path(spark, "small-files")
+    rows = _hierarchy_stream(_envelope_stream(spark, staged, schema))
+    table = Table(path, partition_by=fixed.HIERARCHY)
+    ingest.drain(table.write_stream(rows, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    target = scratch_path(spark, "compacted")
+    maintenance.compact(spark, path, target, **HIERARCHY_LAYOUT)
+    return read_table(spark, target)

@@ -1,0 +1,99 @@
+"""Tables the registered queries start from, all derived from ``events`` as a whole."""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gaugeline import fixed
+from gaugeline.operators.hierarchy import Plant
+from gaugeline.plans import history
+from gaugeline.session import configure, scratch_path
+from gaugeline.sinks.tables import Table
+from gaugeline.sources import events as adapter
+from gaugeline.sources.files import read_table
+
+PLANT = Plant(enterprise="Acme", site="North")
+KEEP = adapter.POSITION
+TIE = KEEP
+AS_OF = adapter.AS_OF
+
+
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return adapter.read(configure(spark), folder)
+
+
+def envelope(spark: SparkSession, folder: str, mixed_values: bool = False) -> DataFrame:
+    return adapter.readings(events(spark, folder), mixed_values)
+
+
+def all_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings, bad values, status and event messages of both topics, classified."""
+    source = events(spark, folder)
+    both = adapter.readings(source).unionByName(adapter.controls(source))
+    return history.messages(both, ("topic", *KEEP))
+
+
+def messages(spark: SparkSession, folder: str, mixed_values: bool = False) -> DataFrame:
+    return history.messages(envelope(spark, folder, mixed_values), KEEP)
+
+
+def hierarchy(spark: SparkSession, folder: str, **how) -> DataFrame:
+    return history.hierarchy_rows(envelope(spark, folder), PLANT, as_of=AS_OF, keep=KEEP, **how)
+
+
+def flat(spark: SparkSession, folder: str) -> DataFrame:
+    return history.flat_rows(envelope(spark, folder), KEEP)
+
+
+HIERARCHY_LAYOUT = {"partition_by": fixed.HIERARCHY, "sort_by": ("EventTime",)}
+FLAT_LAYOUT = {"partition_by": ("eventDate",), "sort_by": ("displayName", "eventTime")}
+
+_stored: dict[tuple[str, str, str], str] = {}
+_lock = threading.Lock()
+
+
+def _store_once(spark: SparkSession, folder: str, name: str, build, layout: dict) -> DataFrame:
+    """The table, written to the scratch folder the first time a session asks for it."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, folder, name)
+    with _lock:
+        if key not in _stored:
+            path = scratch_path(spark, name)
+            Table(path, **layout).write_batch(build(spark, folder), mode="errorifexists")
+            _stored[key] = path
+    return read_table(spark, _stored[key])
+
+
+def stored_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    return _store_once(spark, folder, "hierarchy", hierarchy, HIERARCHY_LAYOUT)
+
+
+def stored_flat(spark: SparkSession, folder: str) -> DataFrame:
+    return _store_once(spark, folder, "flat", flat, FLAT_LAYOUT)
+
+
+def staged_envelope(spark: SparkSession, folder: str, files: int = 4, build=envelope) -> str:
+    """The messages as several files, for a stream to take in several batches. Written map-only."""
+    path = scratch_path(spark, "envelope")
+    source = build(spark, folder)
+    rows = events(spark, folder).count()
+    source.write.option("maxRecordsPerFile", max(1, -(-rows // files))).parquet(path)
+    return path
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """A result for comparison with SQL: times without a zone, dates and bytes as text, the
+    position on the bus under its name in the table."""
+    columns = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.TimestampType):
+            column = column.cast("timestamp_ntz")
+        elif isinstance(field.dataType, (T.DateType, T.BinaryType)):
+            column = column.cast("string")
+        columns.append(column.alias("event_id" if field.name == "offset" else field.name))
+    return df.select(*columns)

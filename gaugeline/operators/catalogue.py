@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed
 from gaugeline.functions.tags import mentions_any, namespace_index
+from gaugeline.operators.joins import join_by_size
 
 
 def namespace_list(text: str | None) -> list[int]:
@@ -70,21 +71,20 @@ def _one_name_per_id(catalogue: DataFrame, column: str) -> DataFrame:
     return catalogue.where(F.col("node_id").isNotNull()).groupBy("node_id").agg(F.min(column).alias("catalogue_name"))
 
 
-def with_display_name(readings: DataFrame, catalogue: DataFrame, target: str = "display_name") -> DataFrame:
+def with_display_name(readings: DataFrame, catalogue: DataFrame, target: str = "display_name", **bounds) -> DataFrame:
     """Name of each reading's node from the catalogue, the node id where it has none.
 
-    No broadcast hint: Spark broadcasts the catalogue while its size is below the threshold, and
-    otherwise joins by shuffle, where adaptive execution splits the partition of a hot node.
+    ``bounds`` are those of :func:`gaugeline.operators.joins.join_by_size`.
     """
     names = _one_name_per_id(catalogue, "display_name")
-    joined = readings.join(names, "node_id", "left")
     columns = [name for name in readings.columns if name != target]
+    joined = join_by_size(readings.select(*columns), names, "node_id", "left", **bounds)
     return joined.select(*columns, F.coalesce("catalogue_name", "node_id").alias(target))
 
 
-def allow_listed(readings: DataFrame, allowed: DataFrame, column: str = "node_id") -> DataFrame:
-    """Rows whose id is in the table ``allowed``; broadcast or shuffled by its size, as above."""
-    return readings.join(allowed.select(column), column, "left_semi")
+def allow_listed(readings: DataFrame, allowed: DataFrame, column: str = "node_id", **bounds) -> DataFrame:
+    """Rows whose id is in the table ``allowed``."""
+    return join_by_size(readings, allowed.select(column).distinct(), column, "left_semi", **bounds)
 
 
 def coverage(catalogue: DataFrame, readings: DataFrame) -> DataFrame:

@@ -1,0 +1,54 @@
+"""Joins of readings, where one node may hold a third of all rows, with tables of one row a node."""
+
+from __future__ import annotations
+
+import functools
+import operator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A side within both bounds is broadcast; anything larger is joined by shuffle.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+#: Parts into which a shuffle join splits every key of the large side.
+SALTS = 64
+
+
+def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether the table is small enough to broadcast, measured by reading at most ``rows + 1`` rows.
+
+    The side is read once more for it, so a side that is costly to derive should be stored first.
+    """
+    width = functools.reduce(
+        operator.add, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(8)) for c in side.columns]
+    )
+    measured = side.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return measured["n"] <= rows and (measured["bytes"] or 0) <= size
+
+
+def join_by_size(
+    large: DataFrame,
+    side: DataFrame,
+    on: str,
+    how: str,
+    rows: int = BROADCAST_ROWS,
+    size: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+) -> DataFrame:
+    """``large`` joined with ``side``, which has each key once; ``how`` is ``left`` or ``left_semi``.
+
+    A small side is broadcast, and the large one stays where it is. Otherwise every key of the
+    large side is split over ``salts`` parts by a hash of its row, and the side is repeated for
+    each, so that a hot key is the work of as many tasks.
+    """
+    if how not in ("left", "left_semi"):
+        raise ValueError(f"cannot join {how}")
+    if fits_broadcast(side, rows, size):
+        return large.join(F.broadcast(side), on, how)
+    salt = "_salt"
+    # From the row itself: a rerun task must send each row to the same part as before.
+    salted = large.withColumn(salt, F.pmod(F.xxhash64(*large.columns), F.lit(salts)))
+    repeated = side.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    # Spark takes the repeated side for as small as the side itself: no broadcast on that account.
+    return salted.join(repeated.hint("merge"), [on, salt], how).drop(salt)

@@ -317,6 +317,10 @@ WHERE message_class = 'reading' AND {_LISTED}""",
     "name_lookup_join": f"""WITH {_MSG}, {_CATALOGUE}
 SELECT m.event_id, m.node_id, m.value, coalesce(l.display_name, m.node_id) AS display_name
 FROM msg m LEFT JOIN listed l ON m.node_id = l.node_id WHERE m.node_id IS NOT NULL""",
+    "name_lookup_large": f"""WITH {_SPACE}
+SELECT e.event_id, e.value, n.node_id,
+  CASE WHEN starts_with(n.display_name, 'view') THEN n.node_id ELSE n.display_name END AS display_name
+FROM events e JOIN nodes n ON e.user_id = n.user_id AND e.event_type = n.event_type""",
     "catalogue_coverage": f"""WITH {_MSG}, {_CATALOGUE}
 SELECT count(*) AS discovered, count(*) FILTER (WHERE node_id IN (SELECT node_id FROM msg)) AS subscribed FROM listed""",
     "namespace_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 11 <> 5 AND user_id % 4 IN (0, 2)""",

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline import fixed
-from gaugeline.functions import numbers, status, tags, times
+from gaugeline import fixed, storage
+from gaugeline.functions import status, tags, times
 from gaugeline.operators import catalogue, filtering, parsing, publishing, readings, routing
 from gaugeline.operators import hierarchy as hierarchy_operators
 from gaugeline.plans import history, maintenance
@@ -131,7 +131,7 @@ def node_allowlist(spark, folder):
 
 @register
 def allowlist_semi_join(spark, folder):
-    listed = adapter.catalogue(views.events(spark, folder))
+    listed = views.stored_catalogue(spark, folder)
     return catalogue.allow_listed(views.messages(spark, folder), listed).select(*KEEP, "node_id", "value")
 
 
@@ -400,12 +400,21 @@ def dump_rows(spark, folder):
 @register
 def name_lookup_join(spark, folder):
     rows = filtering.drop_null_ids(views.messages(spark, folder)).select(*KEEP, "node_id", "value")
-    return catalogue.with_display_name(rows, adapter.catalogue(views.events(spark, folder)))
+    return catalogue.with_display_name(rows, views.stored_catalogue(spark, folder))
+
+
+@register
+def name_lookup_large(spark, folder):
+    """The same join with a catalogue beyond the broadcast bound: one node for each user and type."""
+    source = views.events(spark, folder)
+    listed = adapter.address_space(source).select("node_id", "display_name")
+    rows = source.select("event_id", "value", adapter.space_node_id().alias("node_id"))
+    return catalogue.with_display_name(rows, listed.where(~F.col("display_name").startswith("view")), rows=1)
 
 
 @register
 def catalogue_coverage(spark, folder):
-    listed = adapter.catalogue(views.events(spark, folder))
+    listed = views.stored_catalogue(spark, folder)
     return catalogue.coverage(catalogue.of_node_class(listed), filtering.drop_null_ids(views.messages(spark, folder)))
 
 
@@ -533,7 +542,9 @@ def _hierarchy_stream(stream: DataFrame, **how) -> DataFrame:
 
 
 def _envelope_stream(spark, path: str, schema) -> DataFrame:
-    return FileSource(path, schema=schema, max_files_per_trigger=1).read_stream(spark)
+    """A stream of a few batches, however many files there are."""
+    files = max(1, storage.file_count(spark, path) // 4)
+    return FileSource(path, schema=schema, max_files_per_trigger=files).read_stream(spark)
 
 
 def _staged(spark, folder):

@@ -76,6 +76,10 @@ def stored_flat(spark: SparkSession, folder: str) -> DataFrame:
     return _store_once(spark, folder, "flat", flat, FLAT_LAYOUT)
 
 
+def stored_catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    return _store_once(spark, folder, "catalogue", lambda s, f: adapter.catalogue(events(s, f)), {})
+
+
 def staged_envelope(spark: SparkSession, folder: str, files: int = 4, build=envelope) -> str:
     """The messages as several files, for a stream to take in several batches. Written map-only."""
     path = scratch_path(spark, "envelope")

@@ -180,17 +180,27 @@ def catalogue(events: DataFrame) -> DataFrame:
         F.lit("Variable").alias("node_class"),
         F.array(*path, "display_name").alias("path"),
     )
-    silent = events.sparkSession.createDataFrame(
-        [
-            (fixed.NODE_ID_PREFIX + "Comp_Oil_run_time", "Comp_Oil_run_time", "Variable", ["Objects", "Modbus", "PLC", "Comp_Oil_run_time"]),
-            ("ns=2;s=PLC_S7_200_SMART", "PLC_S7_200_SMART", "Object", ["Objects", "Modbus", "PLC"]),
-            ("ns=0;i=2259", "State", "Variable", ["Objects", "Server", "ServerStatus", "State"]),
-        ],
-        "node_id string, display_name string, node_class string, path array<string>",
+    silent = events.sparkSession.sql(
+        f"""SELECT * FROM VALUES
+        ('{fixed.NODE_ID_PREFIX}Comp_Oil_run_time', 'Comp_Oil_run_time', 'Variable',
+          array('Objects', 'Modbus', 'PLC', 'Comp_Oil_run_time')),
+        ('ns=2;s=PLC_S7_200_SMART', 'PLC_S7_200_SMART', 'Object', array('Objects', 'Modbus', 'PLC')),
+        ('ns=0;i=2259', 'State', 'Variable', array('Objects', 'Server', 'ServerStatus', 'State'))
+        AS silent(node_id, display_name, node_class, path)"""
     )
     return rows.unionByName(silent)
 
 
+def space_node_id() -> Column:
+    """Node id of a user and event type in the wider catalogue."""
+    user = F.col("user_id").cast("string")
+    name = F.concat(user, F.lit("."), F.col("event_type"))
+    plain = F.concat(F.lit("i="), name)
+    return F.when(F.col("user_id") % 11 == 5, plain).otherwise(
+        make_node_id(F.col("user_id") % 4, F.concat(F.lit("U"), name))
+    )
+
+
 def address_space(events: DataFrame) -> DataFrame:
     """A wider catalogue: one node for each user and event type, spread over branches, classes,
     namespaces and depths."""
@@ -201,14 +211,11 @@ def address_space(events: DataFrame) -> DataFrame:
     name = F.when(F.col("user_id") % 10 == 3, F.concat(F.lit("inputarguments "), user)).otherwise(
         F.concat(F.col("event_type"), F.lit(" "), user)
     )
-    identifier = F.concat(F.lit("U"), user, F.lit("."), F.col("event_type"))
     middle = F.array_repeat(F.lit("Cell"), (F.col("user_id") % 13).cast("int"))
     above = F.concat(F.array(F.lit("Objects"), branch), middle)
     folder = F.when(F.col("event_type") == "error", F.array(F.lit("Diagnostics"))).otherwise(F.array().cast("array<string>"))
     return nodes.select(
-        F.when(F.col("user_id") % 11 == 5, F.concat(F.lit("i="), user, F.lit("."), F.col("event_type")))
-        .otherwise(make_node_id(F.col("user_id") % 4, identifier))
-        .alias("node_id"),
+        space_node_id().alias("node_id"),
         name.alias("display_name"),
         F.when(F.col("user_id") % 9 == 4, "Object").otherwise("Variable").alias("node_class"),
         F.concat(above, folder, F.array(name)).alias("path"),

@@ -23,6 +23,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    hadoop_path, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getFileCount()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)

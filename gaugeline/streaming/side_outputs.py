@@ -45,7 +45,8 @@ def start(
         parsed = messages(batch, keep).persist()
         try:
             for name, table in split(parsed, plant, as_of, keep).items():
-                table.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+                # Rebalanced, as a side table may have a few rows in each of many tasks.
+                table.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
         finally:
             parsed.unpersist()
 

@@ -21,8 +21,8 @@ def numeric_value(raw: Column | str) -> Column:
     ``max`` and poisons every ``avg``. The pattern and the range test keep them out.
     """
     text = F.trim(_col(raw))
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) <= F.lit(_LARGEST_DOUBLE), number)
+    number = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER) & (F.abs(number) <= F.lit(_LARGEST_DOUBLE)), number)
 
 
 def finite(value: Column | str) -> Column:

@@ -29,10 +29,11 @@ def is_bad_or_null(status_code: Column | str, value: Column | str) -> Column:
 def is_bad_status_text(status: Column | str) -> Column:
     """Bad flag of a status that arrives as text: by its number where it has one, else by name."""
     text = _col(status)
-    code = F.nullif(F.regexp_extract(text, r"(\d{3,})", 1), F.lit(""))
-    return F.coalesce(F.when(code.isNotNull(), is_bad_status(code)).otherwise(text.rlike(r"\bBad")), F.lit(False))
+    code = F.regexp_extract(text, r"(\d{3,})", 1)
+    return F.coalesce(F.when(code != "", is_bad_status(code)).otherwise(text.rlike(r"\bBad")), F.lit(False))
 
 
 def quality_or_good(quality: Column | str) -> Column:
     """A missing or empty quality counts as ``Good``."""
-    return F.coalesce(F.nullif(_col(quality), F.lit("")), F.lit("Good"))
+    value = _col(quality)
+    return F.when(value != "", value).otherwise("Good")

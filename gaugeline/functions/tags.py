@@ -18,28 +18,28 @@ def _quoted(text: str) -> str:
     return re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", text)
 
 
-def _extract(text: Column, pattern: str) -> Column:
-    """First group, NULL where the pattern does not match (``regexp_extract`` gives '')."""
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-
 def tag_from_node_id(node_id: Column | str, device_path: str = DEVICE_PATH) -> Column:
     """The part of the node id below the device, in any namespace."""
-    return _extract(_col(node_id), rf"^ns=\d+;s={_quoted(device_path)}\.(.+)$")
+    value, mark = _col(node_id), f";s={device_path}."
+    below = F.substring(value, F.instr(value, mark) + len(mark), F.lit(2**31 - 1))
+    return F.when(value.rlike(rf"^ns=\d+;s={_quoted(device_path)}\.."), below)
 
 
 def tag_from_name(display_name: Column | str, device_path: str = DEVICE_PATH) -> Column:
     """The part of a full-path display name below the device."""
-    return _extract(_col(display_name), rf"^{_quoted(device_path)}\.(.+)$")
+    name, above = _col(display_name), device_path + "."
+    below = F.when(name.startswith(above), F.substring(name, len(above) + 1, 2**31 - 1))
+    return F.when(below != "", below)
 
 
 def last_segment(text: Column | str) -> Column:
     """What follows the last dot; NULL if nothing does."""
-    return _extract(_col(text), r"([^.]+)$")
+    last = F.substring_index(_col(text), ".", -1)
+    return F.when(last != "", last)
 
 
 def without_spaces(text: Column | str) -> Column:
-    return F.regexp_replace(_col(text), r"\s+", "")
+    return F.translate(_col(text), " \t\n\r\f\v", "")
 
 
 def folder_safe(text: Column | str) -> Column:
@@ -64,7 +64,8 @@ def raw_tag(display_name: Column | str, node_id: Column | str, device_path: str
 
 def namespace_index(node_id: Column | str) -> Column:
     """Namespace number of an ``ns=<i>;...`` id, NULL without one."""
-    return _extract(_col(node_id), r"^ns=(\d+)").try_cast("bigint")
+    number = F.regexp_extract(_col(node_id), r"^ns=(\d+)", 1)
+    return F.when(number != "", number.try_cast("bigint"))
 
 
 def make_node_id(namespace: Column | str, identifier: Column | str) -> Column:

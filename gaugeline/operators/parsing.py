@@ -17,6 +17,16 @@ def decode(df: DataFrame, source: str = "value", target: str = "json") -> DataFr
     return df.withColumn(target, F.col(source).cast("string"))
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The table with a column that filters and projections above it do not compute again.
+
+    Catalyst moves a filter below a projection and puts the whole expression into it, a second
+    time. It does not move one below a generator that makes the column.
+    """
+    others = [f"`{c}`" for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def parse_json(
     df: DataFrame,
     schema: T.StructType,
@@ -25,12 +35,11 @@ def parse_json(
 ) -> DataFrame:
     """Columns ``keep`` plus a struct ``message`` and the flag ``unparsable``.
 
-    The payload is parsed once per record: a filter on a parsed field stops at the
-    generator, whereas below a plain projection Catalyst would parse again to test it.
+    The payload is parsed once a record, also under filters on its fields.
     """
     full = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(payload), full, {"columnNameOfCorruptRecord": schemas.CORRUPT})
-    rows = df.select(*keep, F.inline(F.array(F.struct(parsed.alias("message")))))
+    rows = computed_once(df.select(*keep, payload), "message", parsed).select(*keep, "message")
     # Text that is not an object is flagged; an empty payload gives no struct at all.
     unparsable = F.col("message").isNull() | F.col(f"message.{schemas.CORRUPT}").isNotNull()
     return rows.withColumn("unparsable", unparsable)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline import fixed
-from gaugeline.functions.numbers import integer_value, numeric_value, value_kind
+from gaugeline.functions.numbers import value_kind
 from gaugeline.operators.filtering import value_expression
+from gaugeline.operators.parsing import computed_once
 
 #: Up to this many rows per group Spark cuts each group before the shuffle (its own default).
 GROUP_LIMIT_THRESHOLD = 1000
@@ -78,11 +79,12 @@ def latest_values(
 
 def with_typed_value(df: DataFrame, source: str = "RawData") -> DataFrame:
     """``kind`` (integer, float, string; NULL for no value) and one typed column for each kind."""
-    kind = value_kind(source)
-    return df.withColumn("kind", kind).withColumns(
+    text, kind = F.trim(source), F.col("kind")
+    # The kind vouches for the casts: no need to match the patterns again.
+    return computed_once(df, "kind", value_kind(source)).withColumns(
         {
-            "value_integer": F.when(F.col("kind") == "integer", integer_value(source)),
-            "value_float": F.when(F.col("kind") == "float", numeric_value(source)),
-            "value_string": F.when(F.col("kind") == "string", F.col(source)),
+            "value_integer": F.when(kind == "integer", text.try_cast("bigint")),
+            "value_float": F.when(kind == "float", text.try_cast("double")),
+            "value_string": F.when(kind == "string", F.col(source)),
         }
     )

@@ -408,7 +408,7 @@ def name_lookup_large(spark, folder):
     """The same join with a catalogue beyond the broadcast bound: one node for each user and type."""
     source = views.events(spark, folder)
     listed = adapter.address_space(source).select("node_id", "display_name")
-    rows = source.select("event_id", "value", adapter.space_node_id().alias("node_id"))
+    rows = source.select("event_id", "value", F.expr(adapter.SPACE_NODE_ID).alias("node_id"))
     return catalogue.with_display_name(rows, listed.where(~F.col("display_name").startswith("view")), rows=1)
 
 

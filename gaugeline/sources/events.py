@@ -5,13 +5,11 @@ The rules are messy on purpose: missing values, bad payloads, missing times, nam
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeline import fixed
-from gaugeline.functions.tags import make_node_id
-from gaugeline.functions.times import MICROS, MICROS_Z
+from gaugeline.sources.files import read_parquet, spread_over_cores
 
 #: "Now" for these data: late January, so that the last days lie in the future.
 AS_OF = "2024-01-25T00:00:00"
@@ -30,155 +28,115 @@ SCHEMA = T.StructType(
     ]
 )
 
-_TAGS = {
-    "click": "Comp_Pressure",
-    "view": "Comp_Motor_Current_ A",
-    "purchase": "Comp_Motor_Speed",
-    "signup": "Comp_Freq",
-    "error": "Diagnostics.LastError",
-}
+# The adapter is SQL text: rules on columns of the table read best that way.
 
-_BRANCHES = ("Modbus", "Server", "BacNet", "Plant", "redundancy group")
+_TAG = """CASE event_type WHEN 'click' THEN 'Comp_Pressure' WHEN 'view' THEN 'Comp_Motor_Current_ A'
+  WHEN 'purchase' THEN 'Comp_Motor_Speed' WHEN 'signup' THEN 'Comp_Freq'
+  WHEN 'error' THEN 'Diagnostics.LastError' END"""
 
+_NODE_ID = f"'{fixed.NODE_ID_PREFIX}' || tag"
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
-
-
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
+# The time a message is taken in: a second after its source time, without an offset.
+_INGEST = "date_format(ts + INTERVAL 1 SECOND, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+_SOURCE = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+# Every field but the value.
+_READING = f"""
+  {_INGEST} AS timestamp,
+  IF(event_id % 97 = 0, '{fixed.TYPE_BAD_VALUE}', NULL) AS type,
+  {_NODE_ID} AS node_id,
+  IF(event_id % 97 = 0, NULL, tag) AS display_name,
+  IF(event_id % 11 = 0, NULL, 'Compressor-' || user_id % 3) AS equipment_name,
+  IF(event_id % 7 = 0, NULL, 'Line-' || user_id % 2) AS production_line,
+  CASE WHEN event_id % 97 = 0 THEN 2150891520L WHEN event_id % 31 = 0 THEN 1083179008L ELSE 0L END AS status_code,
+  CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'Bad' WHEN event_id % 31 = 0 THEN 'Uncertain'
+    ELSE 'Good' END AS quality,
+  IF(event_id % 13 = 0, NULL, {_SOURCE}) AS source_timestamp"""
 
+# Numbers, text, booleans and lists, as the wire allows them; NULL for none.
+_MIXED_VALUE = """CASE WHEN event_id % 97 = 0 THEN NULL
+  WHEN event_id % 6 = 0 THEN string(event_id)
+  WHEN event_id % 6 = 1 THEN '"' || event_type || '"'
+  WHEN event_id % 6 = 2 THEN string(user_id % 2 = 0)
+  WHEN event_id % 6 = 3 THEN '[' || user_id || ',' || event_id || ']'
+  WHEN event_id % 6 = 4 THEN user_id || 'e2'
+  ELSE string(value) END"""
 
-def tag() -> Column:
-    cases = F.lit(None).cast("string")
-    for event_type, name in _TAGS.items():
-        cases = F.when(F.col("event_type") == event_type, name).otherwise(cases)
-    return cases
+_TYPED_VALUE = """CASE WHEN event_id % 19 = 0 THEN '"abc"' WHEN event_id % 23 = 0 THEN '"NaN"' ELSE string(value) END"""
 
+_CONTROL_TYPE = f"""CASE WHEN event_id % 53 = 0 THEN '{fixed.TYPE_SUBSCRIPTION_STATUS}'
+  WHEN event_id % 59 = 0 THEN '{fixed.TYPE_EVENT_SUBSCRIPTION_STATUS}'
+  WHEN event_type = 'error' THEN '{fixed.TYPE_EVENT}' END"""
 
-def _moment() -> Column:
-    return F.col("ts").cast("timestamp")
+_BRANCHES = "array('Modbus', 'Server', 'BacNet', 'Plant', 'redundancy group')"
 
 
-def _later(seconds: int) -> Column:
-    return _moment() + F.make_dt_interval(secs=F.lit(seconds))
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_over_cores(read_parquet(spark, f"{folder}/events.parquet"), f"{folder}/events.parquet", "event_id")
 
 
-def _envelope(events: DataFrame, key: Column, payload: Column, topic: Column | str = fixed.TOPIC_VALUES) -> DataFrame:
-    return events.select(
-        key.cast("binary").alias("key"),
-        payload.cast("binary").alias("value"),
-        (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
-        F.pmod("user_id", F.lit(6)).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        _moment().alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        F.array(F.struct(F.lit("source").alias("key"), F.col("event_type").cast("binary").alias("value"))).alias(
-            "headers"
-        ),
-    )
+def _with_raw_value(json: str, raw: str) -> str:
+    """The message with a value put in as it is, which ``to_json`` would quote; none if NULL."""
+    return f"""CASE WHEN {raw} IS NULL THEN {json}
+      ELSE left({json}, length({json}) - 1) || ',"value":' || {raw} || '}}' END"""
 
 
-def _mixed_value() -> Column:
-    """Numbers, text, booleans and lists, as the wire allows them."""
-    number = F.col("event_id").cast("string")
-    text = (
-        F.when(_every(97), F.lit(None).cast("string"))
-        .when(F.col("event_id") % 6 == 0, number)
-        .when(F.col("event_id") % 6 == 1, F.concat(F.lit('"'), "event_type", F.lit('"')))
-        .when(F.col("event_id") % 6 == 2, (F.col("user_id") % 2 == 0).cast("string"))
-        .when(F.col("event_id") % 6 == 3, F.concat(F.lit("["), F.col("user_id").cast("string"), F.lit(","), number, F.lit("]")))
-        .when(F.col("event_id") % 6 == 4, F.concat(F.col("user_id").cast("string"), F.lit("e2")))
-        .otherwise(F.col("value").cast("string"))
+def _envelope(rows: DataFrame, key: str, payload: str, topic: str = f"'{fixed.TOPIC_VALUES}'") -> DataFrame:
+    return rows.selectExpr(
+        f"CAST({key} AS BINARY) AS key",
+        f"CAST({payload} AS BINARY) AS value",
+        f"{topic} AS topic",
+        "CAST(user_id % 6 AS INT) AS partition",
+        "event_id AS offset",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "0 AS timestampType",
+        "array(struct('source' AS key, CAST(event_type AS BINARY) AS value)) AS headers",
     )
-    return text
-
-
-def _with_raw_value(message: Column, raw: Column) -> Column:
-    """The message as JSON with ``raw`` put in as its value just as it is; no value if NULL."""
-    text = F.to_json(message)
-    opened = F.left(text, F.length(text) - 1)
-    return F.when(raw.isNull(), text).otherwise(F.concat(opened, F.lit(',"value":'), raw, F.lit("}")))
-
-
-def _status_code() -> Column:
-    return F.when(_every(97), 2150891520).when(_every(31), 1083179008).otherwise(0).cast("bigint")
 
 
 def readings(events: DataFrame, mixed_values: bool = False) -> DataFrame:
     """Reading and bad-value messages in the envelope of the bus, one per event."""
-    quality = F.when(_every(97), "Bad").when(_every(31), "Uncertain").otherwise("Good")
-    fields = [
-        F.date_format(_later(1), MICROS).alias("timestamp"),
-        F.when(_every(97), fixed.TYPE_BAD_VALUE).alias("type"),
-        F.concat(F.lit(fixed.NODE_ID_PREFIX), tag()).alias("node_id"),
-        _unless(_every(97), tag()).alias("display_name"),
-        _unless(_every(11), F.concat(F.lit("Compressor-"), (F.col("user_id") % 3).cast("string"))).alias("equipment_name"),
-        _unless(_every(7), F.concat(F.lit("Line-"), (F.col("user_id") % 2).cast("string"))).alias("production_line"),
-        _status_code().alias("status_code"),
-        _unless(_every(17), quality).alias("quality"),
-        _unless(_every(13), F.date_format(_moment(), MICROS_Z)).alias("source_timestamp"),
-    ]
+    rows = events.selectExpr("*", f"{_TAG} AS tag")
     if mixed_values:
-        text = _with_raw_value(F.struct(*fields), _mixed_value())
+        rows = rows.selectExpr("*", f"to_json(struct({_READING})) AS json", f"{_MIXED_VALUE} AS raw")
+        text = _with_raw_value("json", "raw")
     else:
-        text = F.to_json(F.struct(*fields, _unless(_every(97), F.col("value")).alias("value")))
-    payload = F.when(_every(101), F.lit("{bad")).otherwise(text)
-    return _envelope(events, F.concat(F.lit(fixed.NODE_ID_PREFIX), tag()), payload)
+        text = f"to_json(struct({_READING}, IF(event_id % 97 = 0, NULL, value) AS value))"
+    return _envelope(rows, _NODE_ID, f"CASE WHEN event_id % 101 = 0 THEN '{{bad' ELSE {text} END")
 
 
 def controls(events: DataFrame) -> DataFrame:
     """Status and event messages: subscription status, event subscription status, server events."""
-    code = F.when(_every(2), "BadNoCommunication").otherwise("Good")
-    kind = (
-        F.when(_every(53), fixed.TYPE_SUBSCRIPTION_STATUS)
-        .when(_every(59), fixed.TYPE_EVENT_SUBSCRIPTION_STATUS)
-        .when(F.col("event_type") == "error", fixed.TYPE_EVENT)
-    )
-    chosen = events.withColumn("kind", kind).where(F.col("kind").isNotNull())
-    is_event = F.col("kind") == fixed.TYPE_EVENT
-    message = F.struct(
-        F.date_format(_later(1), MICROS).alias("timestamp"),
-        F.col("kind").alias("type"),
-        _unless(is_event, code).alias("status"),
-        F.when(is_event, F.col("props")).alias("event"),
-        F.lit(fixed.DEFAULT_EQUIPMENT).alias("equipment_name"),
-        F.lit(fixed.DEFAULT_LINE).alias("production_line"),
-    )
-    topic = F.when(F.col("kind") == fixed.TYPE_SUBSCRIPTION_STATUS, fixed.TOPIC_VALUES).otherwise(fixed.TOPIC_EVENTS)
-    return _envelope(chosen, F.lit(None).cast("string"), F.to_json(message), topic)
+    rows = events.selectExpr("*", f"{_CONTROL_TYPE} AS type").where("type IS NOT NULL")
+    message = f"""struct({_INGEST} AS timestamp, type,
+      CASE WHEN type = '{fixed.TYPE_EVENT}' THEN NULL WHEN event_id % 2 = 0 THEN 'BadNoCommunication'
+        ELSE 'Good' END AS status,
+      IF(type = '{fixed.TYPE_EVENT}', props, NULL) AS event,
+      '{fixed.DEFAULT_EQUIPMENT}' AS equipment_name, '{fixed.DEFAULT_LINE}' AS production_line)"""
+    topic = f"IF(type = '{fixed.TYPE_SUBSCRIPTION_STATUS}', '{fixed.TOPIC_VALUES}', '{fixed.TOPIC_EVENTS}')"
+    return _envelope(rows, "CAST(NULL AS STRING)", f"to_json({message})", topic)
 
 
 def typed(events: DataFrame) -> DataFrame:
     """Messages of the typed camelCase contract; some values are text, some not finite."""
-    value = (
-        F.when(_every(19), F.lit('"abc"'))
-        .when(_every(23), F.lit('"NaN"'))
-        .otherwise(F.col("value").cast("string"))
-    )
-    message = F.struct(
-        make_node_id(F.lit(2), F.col("event_type")).alias("nodeId"),
-        _unless(_every(29), F.col("event_type")).alias("displayName"),
-        F.date_format(_moment(), MICROS_Z).alias("timestamp"),
+    rows = events.selectExpr(
+        "*",
+        f"""to_json(struct('ns=2;s=' || event_type AS nodeId, IF(event_id % 29 = 0, NULL, event_type) AS displayName,
+          {_SOURCE} AS timestamp)) AS json""",
+        f"{_TYPED_VALUE} AS raw",
     )
-    payload = F.when(_every(101), F.lit("{bad")).otherwise(_with_raw_value(message, value))
-    return _envelope(events, make_node_id(F.lit(2), F.col("event_type")), payload)
+    payload = f"CASE WHEN event_id % 101 = 0 THEN '{{bad' ELSE {_with_raw_value('json', 'raw')} END"
+    return _envelope(rows, "'ns=2;s=' || event_type", payload)
 
 
 def catalogue(events: DataFrame) -> DataFrame:
     """The device's tags as they occur, one of them unnamed, and three nodes that never report."""
-    seen = events.select(tag().alias("display_name")).distinct()
-    node_id = F.concat(F.lit(fixed.NODE_ID_PREFIX), F.col("display_name"))
-    path = [F.lit("Objects"), F.lit("Modbus"), F.lit("PLC")]
-    rows = seen.where(F.col("display_name") != "Comp_Freq").select(
-        node_id.alias("node_id"),
-        "display_name",
-        F.lit("Variable").alias("node_class"),
-        F.array(*path, "display_name").alias("path"),
+    seen = events.selectExpr(f"{_TAG} AS tag").distinct().where("tag <> 'Comp_Freq'")
+    rows = seen.selectExpr(
+        f"{_NODE_ID} AS node_id",
+        "tag AS display_name",
+        "'Variable' AS node_class",
+        "array('Objects', 'Modbus', 'PLC', tag) AS path",
     )
     silent = events.sparkSession.sql(
         f"""SELECT * FROM VALUES
@@ -191,32 +149,20 @@ def catalogue(events: DataFrame) -> DataFrame:
     return rows.unionByName(silent)
 
 
-def space_node_id() -> Column:
-    """Node id of a user and event type in the wider catalogue."""
-    user = F.col("user_id").cast("string")
-    name = F.concat(user, F.lit("."), F.col("event_type"))
-    plain = F.concat(F.lit("i="), name)
-    return F.when(F.col("user_id") % 11 == 5, plain).otherwise(
-        make_node_id(F.col("user_id") % 4, F.concat(F.lit("U"), name))
-    )
+#: Node id of a user and event type in the wider catalogue.
+SPACE_NODE_ID = """CASE WHEN user_id % 11 = 5 THEN 'i=' || user_id || '.' || event_type
+  ELSE 'ns=' || user_id % 4 || ';s=U' || user_id || '.' || event_type END"""
 
 
 def address_space(events: DataFrame) -> DataFrame:
     """A wider catalogue: one node for each user and event type, spread over branches, classes,
     namespaces and depths."""
-    nodes = events.select("user_id", "event_type").distinct()
-    branches = F.array(*[F.lit(b) for b in _BRANCHES])
-    user = F.col("user_id").cast("string")
-    branch = F.element_at(branches, (F.col("user_id") % len(_BRANCHES) + 1).cast("int"))
-    name = F.when(F.col("user_id") % 10 == 3, F.concat(F.lit("inputarguments "), user)).otherwise(
-        F.concat(F.col("event_type"), F.lit(" "), user)
-    )
-    middle = F.array_repeat(F.lit("Cell"), (F.col("user_id") % 13).cast("int"))
-    above = F.concat(F.array(F.lit("Objects"), branch), middle)
-    folder = F.when(F.col("event_type") == "error", F.array(F.lit("Diagnostics"))).otherwise(F.array().cast("array<string>"))
-    return nodes.select(
-        space_node_id().alias("node_id"),
-        name.alias("display_name"),
-        F.when(F.col("user_id") % 9 == 4, "Object").otherwise("Variable").alias("node_class"),
-        F.concat(above, folder, F.array(name)).alias("path"),
+    name = "IF(user_id % 10 = 3, 'inputarguments ' || user_id, event_type || ' ' || user_id)"
+    return events.select("user_id", "event_type").distinct().selectExpr(
+        f"{SPACE_NODE_ID} AS node_id",
+        f"{name} AS display_name",
+        "IF(user_id % 9 = 4, 'Object', 'Variable') AS node_class",
+        f"""concat(array('Objects', element_at({_BRANCHES}, CAST(user_id % 5 + 1 AS INT))),
+          array_repeat('Cell', CAST(user_id % 13 AS INT)),
+          IF(event_type = 'error', array('Diagnostics'), CAST(array() AS ARRAY<STRING>)), array({name})) AS path""",
     )

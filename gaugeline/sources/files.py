@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.storage import read_text
+from gaugeline.storage import file_bytes, read_text
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,19 @@ class FileSource:
         return reader.load(self.path)
 
 
+def spread_over_cores(df: DataFrame, path: str, by: str, size: int = 1024 * 1024) -> DataFrame:
+    """A table at ``path`` in fewer input splits than there are cores, spread over all of them.
+
+    One file of one row group is one task, however long its rows take to parse. A table in as many
+    splits as cores, as any large one is, comes back as it is, without a shuffle; so does one of
+    fewer than ``size`` bytes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or file_bytes(df.sparkSession, path) < size:
+        return df
+    return df.repartition(cores, by)
+
+
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 

@@ -28,6 +28,11 @@ def file_count(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getFileCount()
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    hadoop_path, fs = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)

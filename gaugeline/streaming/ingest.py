@@ -5,10 +5,10 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeline import fixed
+from gaugeline import fixed, storage
 
 log = logging.getLogger(__name__)
 
@@ -25,6 +25,13 @@ def with_watermark(df: DataFrame, time_column: str = "EventTime", delay: str = f
     return df.withWatermark(time_column, delay)
 
 
+def require_same_run(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Refuse a folder whose batches another checkpoint has numbered: the same numbers would now
+    stand for other rows."""
+    if storage.folders(spark, root) and not storage.exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{root} holds batches that {checkpoint} knows nothing of: give one or the other anew")
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query that ends by itself; a failure is raised with its cause."""
     try:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline import storage
 from gaugeline.operators.readings import latest_values
 from gaugeline.plans.maintenance import retire_versions
+from gaugeline.streaming.ingest import require_same_run
 
 
 def start(
@@ -32,6 +33,7 @@ def start(
     """
     if keep_versions is not None and keep_versions < 2:
         raise ValueError("at least two versions must stay")
+    require_same_run(rows.sparkSession, root, checkpoint)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeline import fixed
 from gaugeline.operators import hierarchy, routing
 from gaugeline.operators.hierarchy import Plant
 from gaugeline.plans.history import messages
+from gaugeline.streaming.ingest import require_same_run
 
 TABLES = ("readings", "bad_values", "connection_health", "events")
 
@@ -40,6 +40,7 @@ def start(
     A batch that is run again after a failure overwrites its own folders and nothing else, so each
     row lands once. The batch is parsed once and kept while its tables are written.
     """
+    require_same_run(envelope.sparkSession, root, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = messages(batch, keep).persist()

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -87,24 +89,40 @@ def test_tag_that_looks_numeric_stays_text(spark, tmp_path):
     assert {r["Tag"] for r in read_table(spark, target).collect()} == {"1", "007"}
 
 
+def forget_commit(checkpoint, batch):
+    """As if the query had died after its batch was written and before that was noted."""
+    for name in (f"{batch}", f".{batch}.crc"):
+        (checkpoint / "commits" / name).unlink()
+
+
 def test_latest_table_survives_replay(spark, staged, envelope, tmp_path):
-    root = str(tmp_path / "latest")
-    rows = hierarchy_rows(stream(spark, staged, envelope.schema))
-    ingest.drain(
-        latest_stream.start(rows, root, str(tmp_path / "c1"), tie_break=KEEP, trigger=ingest.ALL_THERE_IS)
-    )
+    root, checkpoint = str(tmp_path / "latest"), tmp_path / "c"
+
+    def run(**how):
+        rows = hierarchy_rows(stream(spark, staged, envelope.schema))
+        query = latest_stream.start(rows, root, str(checkpoint), tie_break=KEEP, trigger=ingest.ALL_THERE_IS, **how)
+        return ingest.drain(query)
+
+    run()
     expected = rows_of(readings.latest_values(hierarchy_rows(envelope), tie_break=KEEP))
     assert rows_of(latest_stream.read(spark, root)) == expected
     assert storage.versions(spark, root) == [0, 1, 2, 3, 4]
-    # A lost checkpoint runs every batch again over the same versions.
-    rows = hierarchy_rows(stream(spark, staged, envelope.schema))
-    ingest.drain(
-        latest_stream.start(
-            rows, root, str(tmp_path / "c2"), tie_break=KEEP, trigger=ingest.ALL_THERE_IS, keep_versions=2
-        )
-    )
-    assert rows_of(latest_stream.read(spark, root)) == expected
-    assert storage.versions(spark, root) == [3, 4]
+    for _ in range(2):
+        forget_commit(checkpoint, 4)
+        replay = run(keep_versions=2)
+        assert [p["batchId"] for p in replay.recentProgress if p["numInputRows"]] == [4]
+        assert rows_of(latest_stream.read(spark, root)) == expected
+        assert storage.versions(spark, root) == [3, 4]
+
+
+def test_a_new_checkpoint_needs_a_new_folder(spark, staged, envelope, tmp_path):
+    root = str(tmp_path / "out")
+    rows = stream(spark, staged, envelope.schema, files=5)
+    ingest.drain(side_outputs.start(rows, root, str(tmp_path / "c1"), PLANT, AS_OF, KEEP, ingest.ALL_THERE_IS))
+    with pytest.raises(ValueError, match="holds batches"):
+        side_outputs.start(rows, root, str(tmp_path / "c2"), PLANT, AS_OF, KEEP)
+    with pytest.raises(ValueError, match="holds batches"):
+        latest_stream.start(rows, root, str(tmp_path / "c2"))
 
 
 def test_incomplete_versions_are_not_read(spark, tmp_path):
@@ -126,9 +144,11 @@ def test_side_outputs_land_once_after_a_replay(spark, small, tmp_path):
     both = adapter.readings(source).unionByName(adapter.controls(source))
     staged, root = str(tmp_path / "staged"), str(tmp_path / "out")
     both.repartition(3, "offset").write.parquet(staged)
-    for checkpoint in ("c1", "c2"):
+    for attempt in range(2):
+        if attempt:
+            forget_commit(tmp_path / "c", 2)
         query = side_outputs.start(
-            stream(spark, staged, both.schema), root, str(tmp_path / checkpoint), PLANT, AS_OF, KEEP, ingest.ALL_THERE_IS
+            stream(spark, staged, both.schema), root, str(tmp_path / "c"), PLANT, AS_OF, KEEP, ingest.ALL_THERE_IS
         )
         ingest.drain(query)
     expected = side_outputs.split(history.messages(both, KEEP), PLANT, AS_OF, KEEP)
@@ -197,14 +217,16 @@ def test_source_steps_destination(spark, staged, envelope, tmp_path):
 
 
 def test_cached_snapshot_sees_new_rows_next_time(spark, tmp_path):
-    path = str(tmp_path / "table")
-    spark.range(3).write.parquet(path)
-    with cached(read_table(spark, path)) as snapshot:
-        spark.range(2).write.mode("append").parquet(path)
-        assert snapshot.count() == 3
+    path = tmp_path / "table"
+    spark.range(3).coalesce(1).write.parquet(str(path))
+    with cached(read_table(spark, str(path))) as snapshot:
+        # Another writer, whose rows this session hears nothing of.
+        shutil.copy(next(path.glob("part-*.parquet")), path / "part-other.parquet")
         assert snapshot.is_cached
-    with cached(read_table(spark, path)) as snapshot:
-        assert snapshot.count() == 5
+        assert snapshot.count() == 3
+    assert not snapshot.is_cached
+    with cached(read_table(spark, str(path))) as snapshot:
+        assert snapshot.count() == 6
 
 
 def test_compaction_keeps_rows_and_cuts_hot_partitions(spark, tmp_path):

@@ -172,7 +172,7 @@ SELECT event_id, {columns} FROM (
 
 _HISTORY_ROWS = f"WITH {_PLACED} SELECT {_ALL} FROM history WHERE message_class = 'reading' AND {_LISTED}"
 _TYPED_COLUMNS = """event_id, node_id, raw AS "RawData", kind,
-  CASE WHEN kind = 'integer' THEN event_id END AS value_integer,
+  CASE WHEN kind = 'integer' THEN CAST(event_id AS VARCHAR) END AS value_integer,
   CASE WHEN kind = 'float' THEN number END AS value_float,
   CASE WHEN kind = 'string' THEN raw END AS value_string"""
 
@@ -221,7 +221,7 @@ FROM control WHERE type <> 'opcua_event'""",
 SELECT event_id, timestamp, props AS event, 'Compressor' AS equipment_name, 'Line-1' AS production_line
 FROM control WHERE type = 'opcua_event'""",
     "status_severity": f"""WITH {_MSG}
-SELECT event_id, CAST(code AS VARCHAR) AS status_code, CAST(code >> 30 AS INTEGER) AS severity,
+SELECT event_id, CAST(code AS VARCHAR) AS status_code, CAST(code >> 30 AS VARCHAR) AS severity,
   coalesce(code >> 30 = 2, FALSE) OR value IS NULL AS bad_or_null
 FROM msg""",
     "drop_null_ids": f"""WITH {_MSG}
@@ -312,6 +312,12 @@ WHERE message_class = 'reading' AND {_LISTED} AND "ProductionLine" = 'Line-1' AN
   AND "Tag" = 'Comp_Motor_Current_A' AND "ValueDouble" BETWEEN 2 AND 90
   AND "EventTime" BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-24 00:00:00'
 ORDER BY "EventTime" DESC NULLS LAST, event_id DESC LIMIT 250""",
+    "query_path_by_date": f"""WITH {_PLACED}
+SELECT {_ALL}, "ValueDouble" AS value FROM history
+WHERE message_class = 'reading' AND {_LISTED} AND "ProductionLine" = 'Line-0' AND "Equipment" = 'Compressor'
+  AND "Tag" = 'Comp_Freq'
+  AND "EventTime" BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-15 00:00:00'
+ORDER BY "EventTime" DESC NULLS LAST, event_id DESC LIMIT 1000""",
     "dump_count": f"""WITH {_PLACED} SELECT count(*) AS count FROM history
 WHERE message_class = 'reading' AND {_LISTED}""",
     "name_lookup_join": f"""WITH {_MSG}, {_CATALOGUE}

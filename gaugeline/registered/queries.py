@@ -111,7 +111,7 @@ def status_severity(spark, folder):
     return views.messages(spark, folder).select(
         *KEEP,
         "status_code",
-        status.status_severity("status_code").alias("severity"),
+        status.status_severity("status_code").cast("string").alias("severity"),
         status.is_bad_or_null("status_code", "value").alias("bad_or_null"),
     )
 
@@ -384,6 +384,23 @@ def query_path(spark, folder):
     )
 
 
+@register
+def query_path_by_date(spark, folder):
+    """The same query on the layout for many tags: dates as partitions, rows sorted by tag."""
+    return query.query_path(
+        views.stored_by_date(spark, folder),
+        PLANT.enterprise,
+        PLANT.site,
+        "Line-0",
+        "Compressor",
+        "Comp_Freq",
+        start="2024-01-08T00:00:00",
+        end="2024-01-15T00:00:00",
+        limit=1000,
+        tie_break=TIE,
+    )
+
+
 @register
 def dump_count(spark, folder):
     return query.dump(views.stored_hierarchy(spark, folder))[0]
@@ -492,16 +509,21 @@ def _typed(spark, folder):
     return readings.with_typed_value(rows)
 
 
+def _whole_as_text(df):
+    """Whole numbers with gaps as text: a data frame in memory would make them floats."""
+    return df.withColumn("value_integer", F.col("value_integer").cast("string"))
+
+
 @register
 def typed_values(spark, folder):
-    return _typed(spark, folder)
+    return _whole_as_text(_typed(spark, folder))
 
 
 @register
 def typed_table(spark, folder):
     path = scratch_path(spark, "typed")
     Table(path, partition_by=("kind",)).write_batch(_typed(spark, folder).where("kind is not null"))
-    return read_table(spark, path)
+    return _whole_as_text(read_table(spark, path))
 
 
 # --- publishing ----------------------------------------------------------------------------

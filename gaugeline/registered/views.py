@@ -50,6 +50,7 @@ def flat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 HIERARCHY_LAYOUT = {"partition_by": fixed.HIERARCHY, "sort_by": ("EventTime",)}
+DATE_LAYOUT = {"partition_by": ("EventDate",), "sort_by": ("Tag", "EventTime")}
 FLAT_LAYOUT = {"partition_by": ("eventDate",), "sort_by": ("displayName", "eventTime")}
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -72,6 +73,10 @@ def stored_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
     return _store_once(spark, folder, "hierarchy", hierarchy, HIERARCHY_LAYOUT)
 
 
+def stored_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    return _store_once(spark, folder, "by-date", hierarchy, DATE_LAYOUT)
+
+
 def stored_flat(spark: SparkSession, folder: str) -> DataFrame:
     return _store_once(spark, folder, "flat", flat, FLAT_LAYOUT)
 

@@ -46,6 +46,12 @@ def test_path_query_prunes_partitions_and_pushes_bounds(spark, small):
     assert "TakeOrderedAndProject" in text
 
 
+def test_path_query_prunes_dates_where_they_are_partitions(spark, small):
+    text = formatted(QUERIES["query_path_by_date"](spark, small))
+    assert re.search(r"PartitionFilters: .*EventDate#\d+ >= 2024-01-07.*EventDate#\d+ <= 2024-01-16", text)
+    assert re.search(r"PushedFilters: .*EqualTo\(Tag,Comp_Freq\)", text)
+
+
 def test_time_range_prunes_dates_and_pushes_times(spark, small):
     text = formatted(QUERIES["query_by_time"](spark, small))
     assert re.search(r"PartitionFilters: .*eventDate#\d+ >= 2024-01-04.*eventDate#\d+ <= 2024-01-13", text)

@@ -27,8 +27,8 @@ SAMPLE = 4000
 BITS = 18
 PREFIXES = (4, 5)
 EPOCHS, RATE, PENALTY = 3, 0.3, 6e-4
-#: Documents of the sample that a feature must occur in.
-LEAST_DOCUMENTS = 8
+#: Share of the sample's documents that a feature must occur in, and two at least; steps at least.
+LEAST_SHARE, LEAST_STEPS = 0.0015, 250
 #: A sentence at or above this score offends.
 OFFENDS = 0.5
 
@@ -107,10 +107,10 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     # A feature of few documents tells nothing but these documents: it stays without weight.
     pairs = np.unique(of_word * len(found) + codes)
     spread = np.unique((pairs // len(found))[:, None] * (1 << BITS) + found[pairs % len(found)])
-    frequent = np.bincount(spread % (1 << BITS), minlength=1 << BITS) >= LEAST_DOCUMENTS
+    frequent = np.bincount(spread % (1 << BITS), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * len(column)))
     found = np.where(frequent[found], found, 0)
     rng = np.random.default_rng(seed)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS * 64 // len(column)))):
         order = rng.permutation(len(column))
         for begin in range(0, len(order), 64):
             rows = order[begin:begin + 64]

@@ -26,13 +26,6 @@ from gaugeline.llm import ragged
 _UNSAFE = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)"
 
 
-def byte_characters() -> list[str]:
-    """For each byte its printable character: itself where it has one, else the next one from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in own]
-    return [chr(256 + others.index(b)) if b in others else chr(b) for b in range(256)]
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -54,7 +47,7 @@ def load(path: str, pattern: str):
     """The library's tokenizer for the ranks in ``path`` and the characters of each id. Once a process."""
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-    ranks, shown = read_ranks(path), byte_characters()
+    ranks, shown = read_ranks(path), ragged.byte_characters()
     text = {token: "".join(shown[b] for b in token) for token in ranks}
     merges = []
     for token in sorted(ranks, key=ranks.get):
@@ -136,31 +129,47 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
 def token_bytes(path: str, pattern: str = public_tokenizers.PATTERN) -> list[bytes]:
     """The bytes of each id, through the reversed byte table."""
-    back = {c: b for b, c in enumerate(byte_characters())}
+    back = {c: b for b, c in enumerate(ragged.byte_characters())}
     characters = load(path, pattern)[1]
     return [bytes(back[c] for c in characters[i]) if i in characters else b"" for i in range(max(characters) + 1)]
 
 
-def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded, text)`` of rows of :func:`encode`: the decoded bytes and
-    the same as text, where an incomplete character shows as U+FFFD. Null ids count as none."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded", pa.binary()), ("text", pa.string())])
+def _rows(column: pa.Array) -> list[list[int]]:
+    """The ids of each row; a null list is empty."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0))).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _decoding(encoded: DataFrame, schema: pa.Schema, columns: str, row, path: str, pattern: str) -> DataFrame:
+    """``row(ids, bytes)`` of each row of ``encoded``, a few rows at a time, for their texts' sake."""
 
     def run(batches):
         table = token_bytes(path, pattern)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):  # decoded texts of a few rows at a time
-                part = batch.slice(begin, 512)
-                rows = [r or [] for r in part.column("ids").to_pylist()]
-                decoded = [b"".join([table[i] for i in r]) for r in rows]
-                digests = [hashlib.sha256(",".join(map(str, r)).encode()).hexdigest() for r in rows]
-                yield ragged.table(schema, [part.column("doc_id"), [len(r) for r in rows], digests, decoded, [d.decode("utf-8", "replace") for d in decoded]])
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                found = [row(ids, b"".join([table[i] for i in ids])) for ids in _rows(part.column("ids"))]
+                yield ragged.table(schema, [part.column("doc_id"), *zip(*found)])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, columns)
+
+
+def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``(doc_id, decoded, text)`` of rows of :func:`encode`: the decoded bytes and the same as text, where
+    an incomplete character shows as U+FFFD. Null ids count as none."""
+    schema = pa.schema([("doc_id", pa.int64()), ("decoded", pa.binary()), ("text", pa.string())])
+    return _decoding(encoded, schema, "doc_id long, decoded binary, text string", lambda ids, data: (data, data.decode("utf-8", "replace")), path, pattern)
+
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary, text string")
+def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: every text encoded, the ids decoded again."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    digits = [str(i) for i in range(1 << 16)]
 
+    def row(ids, data):
+        listed = ",".join([digits[i] if i < 1 << 16 else str(i) for i in ids])
+        return len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(data).hexdigest()
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: every text encoded, and the ids decoded again."""
-    decoded = decode(encode(docs, path, with_offsets=False), path)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode(docs, path, pattern, with_offsets=False)
+    return _decoding(encoded, schema, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", row, path, pattern)

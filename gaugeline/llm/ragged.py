@@ -115,18 +115,35 @@ def table(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def byte_characters() -> list[str]:
+    """For each byte its printable character: itself where it has one, else the next one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return [chr(256 + others.index(b)) if b in others else chr(b) for b in range(256)]
+
+
+#: Marks that end words, none of them a letter, digit, blank or apostrophe.
+MARKS = ".,;:!?"
+#: Letters from here on take the longer way: which they are depends on the version of Unicode.
+_LATIN = "\u0250"
+
+
 class Known:
     """Ids of strings by a tokenizer of the tokenizers library, each distinct string encoded once.
 
     All ids lie in one array; a string has a place in ``begins`` and ``sizes``. Beyond ``most`` strings
-    the store starts afresh, which bounds its memory.
+    the store starts afresh, which bounds its memory. ``lower`` tells that the tokenizer ignores case.
+
+    A plain word, letters alone behind at most one space, is one match of the tokenizer's pattern, so it
+    goes to the tokenizer's model as it is, in byte characters, unless offsets are wanted.
     """
 
     most = 400_000
 
-    def __init__(self, tokenizer, with_offsets: bool = False):
+    def __init__(self, tokenizer, with_offsets: bool = False, lower: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-        self.tokenizer, self.with_offsets = tokenizer, with_offsets
+        self.tokenizer, self.with_offsets, self.lower = tokenizer, with_offsets, lower
+        self.bytes = str.maketrans(dict(enumerate(byte_characters())))
         self._clear()
 
     def _clear(self) -> None:
@@ -134,21 +151,60 @@ class Known:
         self.ids, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.offsets = np.zeros((0, 2), np.int32)
 
+    def _plain(self, string: str) -> str | None:
+        """A plain word's bytes as characters."""
+        letters = string[1:] if string[:1] == " " and not self.lower else string
+        if self.lower:
+            string = letters = letters.lower()
+        if not letters.isalpha() or max(letters) >= _LATIN:
+            return None
+        return string.encode().decode("latin-1").translate(self.bytes)
+
+    def _encoded(self, strings: list[str]) -> tuple[list[list[int]], np.ndarray | None]:
+        if self.with_offsets:
+            encoded = self.tokenizer.encode_batch(strings, add_special_tokens=False)
+            spans = itertools.chain.from_iterable(itertools.chain.from_iterable(e.offsets for e in encoded))
+            return [e.ids for e in encoded], np.fromiter(spans, np.int32).reshape(-1, 2)
+        plain = [self._plain(s) for s in strings]
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(p)] if p else None for p in plain]
+        rest = [i for i, p in enumerate(plain) if not p]
+        for i, e in zip(rest, self.tokenizer.encode_batch([strings[i] for i in rest], add_special_tokens=False)):
+            ids[i] = e.ids
+        return ids, None
+
+    def _add(self, strings: list[str], sizes: np.ndarray, ids: np.ndarray, offsets: np.ndarray | None) -> None:
+        self._places.update(zip(strings, range(len(self._places), len(self._places) + len(strings))))
+        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        if offsets is not None:
+            self.offsets = np.concatenate([self.offsets, offsets])
+
     def places(self, strings: list[str]) -> np.ndarray:
         """The place of each of some distinct strings. Places hold until the next call."""
         if len(self._places) > self.most:
             self._clear()
         new = [s for s in strings if s not in self._places]
         if new:
-            encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            ids = [e.ids for e in encoded]
+            # A letter and a mark after it never share a token: word and marks are looked up apart.
+            heads = [s.rstrip(MARKS) for s in new]
+            cut = [h if len(h) < len(s) and h and h[-1] < _LATIN and h[-1].lower()[-1].isalpha() else "" for h, s in zip(heads, new)]
+            tails = [s[len(h):] if h else "" for h, s in zip(cut, new)]
+            atoms = dict.fromkeys([*(h or s for h, s in zip(cut, new)), *filter(None, tails)])
+            atoms = [a for a in atoms if a not in self._places]
+            ids, offsets = self._encoded(atoms)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
-            if self.with_offsets:
-                spans = itertools.chain.from_iterable(itertools.chain.from_iterable(e.offsets for e in encoded))
-                self.offsets = np.concatenate([self.offsets, np.fromiter(spans, np.int32, 2 * len(flat)).reshape(-1, 2)])
-            self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
-            self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.ids = np.concatenate([self.ids, flat])
+            self._add(atoms, sizes, flat, offsets)
+            both = [(s, h, t) for s, h, t in zip(new, cut, tails) if h]
+            if both:
+                whole, own_heads, own_tails = zip(*both)
+                at = np.array([(self._places[h], self._places[t]) for h, t in zip(own_heads, own_tails)]).ravel()
+                begins, sizes = self.begins[at], self.sizes[at]
+                if self.with_offsets:
+                    shift = np.zeros(len(at), np.int32)
+                    shift[1::2] = np.fromiter(map(len, own_heads), np.int32, len(own_heads))
+                    offsets = take(self.offsets, begins, sizes) + np.repeat(shift, sizes)[:, None]
+                self._add(list(whole), sizes.reshape(-1, 2).sum(axis=1), take(self.ids, begins, sizes), offsets)
         return np.fromiter(map(self._places.__getitem__, strings), np.int64, len(strings))

@@ -178,10 +178,11 @@ def _word_ids(path: str) -> _WordIds:
 
 
 class _WordIds:
-    """Ids of texts by a tokenizer that drops white space: each distinct word is encoded once."""
+    """Ids of texts by a byte-level tokenizer that drops white space and case: each distinct word is
+    encoded once."""
 
     def __init__(self, tokenizer):
-        self.known = ragged.Known(tokenizer)
+        self.known = ragged.Known(tokenizer, lower=True)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""

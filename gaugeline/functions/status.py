@@ -27,10 +27,17 @@ def is_bad_or_null(status_code: Column | str, value: Column | str) -> Column:
 
 
 def is_bad_status_text(status: Column | str) -> Column:
-    """Bad flag of a status that arrives as text: by its number where it has one, else by name."""
+    """Bad flag of a status that arrives as text: by its name where it has one, else by a hexadecimal
+    code, else by a number that stands alone or as ``value=``. Other numbers, such as durations, say nothing."""
     text = _col(status)
-    code = F.regexp_extract(text, r"(\d{3,})", 1)
-    return F.coalesce(F.when(code != "", is_bad_status(code)).otherwise(text.rlike(r"\bBad")), F.lit(False))
+    code = F.regexp_extract(text, r"0[xX]([0-9A-Fa-f]{8})(?![0-9A-Fa-f])", 1)
+    number = F.regexp_extract(text, r"(?:^\s*|value=)(\d+)(?=\s*$|\))", 1)
+    flag = (
+        F.when(text.rlike(r"\b(Good|Uncertain|Bad)"), text.rlike(r"\bBad"))
+        .when(code != "", is_bad_status(F.conv(code, 16, 10)))
+        .when(number != "", is_bad_status(number))
+    )
+    return F.coalesce(flag, F.lit(False))
 
 
 def quality_or_good(quality: Column | str) -> Column:

@@ -63,9 +63,9 @@ def raw_tag(display_name: Column | str, node_id: Column | str, device_path: str
 
 
 def namespace_index(node_id: Column | str) -> Column:
-    """Namespace number of an ``ns=<i>;...`` id, NULL without one."""
+    """Namespace number of an ``ns=<i>;...`` id; an id without one is in namespace 0."""
     number = F.regexp_extract(_col(node_id), r"^ns=(\d+)", 1)
-    return F.when(number != "", number.try_cast("bigint"))
+    return F.when(number != "", number.try_cast("bigint")).when(_col(node_id).isNotNull(), F.lit(0).cast("bigint"))
 
 
 def make_node_id(namespace: Column | str, identifier: Column | str) -> Column:

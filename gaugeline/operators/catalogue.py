@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed
 from gaugeline.functions.tags import mentions_any, namespace_index
-from gaugeline.operators.joins import join_by_size
 
 
 def namespace_list(text: str | None) -> list[int]:
@@ -47,17 +46,31 @@ def cap(catalogue: DataFrame, limit: int = 0) -> DataFrame:
 def drop_subtrees(
     catalogue: DataFrame, keywords=fixed.INFRASTRUCTURE_KEYWORDS, max_depth: int | None = fixed.MAX_BROWSE_DEPTH
 ) -> DataFrame:
-    """Nodes with no excluded step on their path, at most ``max_depth`` levels below the root."""
-    rows = catalogue.where(~F.exists("path", lambda step: F.coalesce(mentions_any(step, keywords), F.lit(False))))
-    return rows if max_depth is None else rows.where(F.size("path") <= max_depth + 1)
+    """Nodes with no excluded step on their path, at most ``max_depth`` levels below the root. A node
+    whose path is not known, as from a tag list, is kept."""
+    excluded = F.exists("path", lambda step: F.coalesce(mentions_any(step, keywords), F.lit(False)))
+    rows = catalogue.where(~F.coalesce(excluded, F.lit(False)))
+    return rows if max_depth is None else rows.where(F.coalesce(F.size("path") <= max_depth + 1, F.lit(True)))
 
 
 def diagnostics_branch(catalogue: DataFrame, include: bool = False) -> DataFrame:
-    """Without ``include``, drop variables that sit below a step named for diagnostics."""
+    """Without ``include``, drop variables that sit below a step named for diagnostics, at any depth. A
+    path or step that is not known excludes nothing."""
     if include:
         return catalogue
     above = F.slice("path", F.lit(1), F.greatest(F.size("path") - 1, F.lit(0)))
-    return catalogue.where(~F.exists(above, lambda step: step.contains("Diagnostics")))
+    below = F.exists(above, lambda step: F.coalesce(step.contains("Diagnostics"), F.lit(False)))
+    return catalogue.where(~F.coalesce(below, F.lit(False)))
+
+
+def device_variables(catalogue: DataFrame, device: str, include_diagnostics: bool = False) -> DataFrame:
+    """Variables directly below the step ``device``; with ``include_diagnostics`` also those directly
+    below a step of it named for diagnostics. Nodes without a path are none of these."""
+    step = lambda back: F.try_element_at("path", F.lit(-back))
+    direct = step(2) == device
+    diagnostics = step(2).contains("Diagnostics") & (step(3) == device)
+    wanted = direct | diagnostics if include_diagnostics else direct
+    return of_node_class(catalogue).where(F.coalesce(wanted, F.lit(False)))
 
 
 def tags_to_sample(catalogue: DataFrame) -> DataFrame:
@@ -71,20 +84,21 @@ def _one_name_per_id(catalogue: DataFrame, column: str) -> DataFrame:
     return catalogue.where(F.col("node_id").isNotNull()).groupBy("node_id").agg(F.min(column).alias("catalogue_name"))
 
 
-def with_display_name(readings: DataFrame, catalogue: DataFrame, target: str = "display_name", **bounds) -> DataFrame:
+def with_display_name(readings: DataFrame, catalogue: DataFrame, target: str = "display_name") -> DataFrame:
     """Name of each reading's node from the catalogue, the node id where it has none.
 
-    ``bounds`` are those of :func:`gaugeline.operators.joins.join_by_size`.
+    A plain equi-join, also of a stream with the stored catalogue: Spark broadcasts a catalogue that it
+    knows to be small, and adaptive execution splits a node with very many readings.
     """
     names = _one_name_per_id(catalogue, "display_name")
     columns = [name for name in readings.columns if name != target]
-    joined = join_by_size(readings.select(*columns), names, "node_id", "left", **bounds)
+    joined = readings.select(*columns).join(names, "node_id", "left")
     return joined.select(*columns, F.coalesce("catalogue_name", "node_id").alias(target))
 
 
-def allow_listed(readings: DataFrame, allowed: DataFrame, column: str = "node_id", **bounds) -> DataFrame:
+def allow_listed(readings: DataFrame, allowed: DataFrame, column: str = "node_id") -> DataFrame:
     """Rows whose id is in the table ``allowed``."""
-    return join_by_size(readings, allowed.select(column).distinct(), column, "left_semi", **bounds)
+    return readings.join(allowed.select(column).distinct(), column, "left_semi")
 
 
 def coverage(catalogue: DataFrame, readings: DataFrame) -> DataFrame:

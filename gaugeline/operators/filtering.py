@@ -19,13 +19,15 @@ def drop_null_ids(df: DataFrame, column: str = "node_id") -> DataFrame:
     return df.where(F.col(column).isNotNull())
 
 
-def device_node_ids(prefix: str = fixed.NODE_ID_PREFIX, tags: Sequence[str] = fixed.DEVICE_TAGS) -> list[str]:
-    return [prefix + tag for tag in tags]
+def device_node_ids(device_path: str = fixed.DEVICE_PATH, tags: Sequence[str] = fixed.DEVICE_TAGS, namespace: int = 2) -> list[str]:
+    """Node ids of a device's tags."""
+    return [f"ns={namespace};s={device_path}.{tag}" for tag in tags]
 
 
 def allow_node_ids(df: DataFrame, ids: Sequence[str] | None = None, column: str = "node_id") -> DataFrame:
-    """Rows with one of the exact ids; ``isin`` reaches a parquet scan as ``In``."""
-    return df.where(F.col(column).isin(list(device_node_ids() if ids is None else ids)))
+    """Rows with one of the exact ids; ``isin`` reaches a parquet scan as ``In``. No list, or an empty
+    one, keeps everything."""
+    return df.where(F.col(column).isin(list(ids))) if ids else df
 
 
 def split_list(text: str | None) -> list[str]:
@@ -33,9 +35,9 @@ def split_list(text: str | None) -> list[str]:
     return [item.strip() for item in (text or "").split(",") if item.strip()]
 
 
-def allow_tags(df: DataFrame, tags: str | Sequence[str] = fixed.DEFAULT_CLEAN_TAGS, column: str = "Tag") -> DataFrame:
-    """Rows with one of the clean tags; an empty list keeps everything."""
-    wanted = split_list(tags) if isinstance(tags, str) else list(tags)
+def allow_tags(df: DataFrame, tags: str | Sequence[str] | None = None, column: str = "Tag") -> DataFrame:
+    """Rows with one of the clean tags; no list, or an empty one, keeps everything."""
+    wanted = split_list(tags) if isinstance(tags, str) else list(tags or ())
     return df.where(F.col(column).isin(wanted)) if wanted else df
 
 

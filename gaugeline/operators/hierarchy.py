@@ -26,6 +26,14 @@ class Plant:
     device_path: str = fixed.DEVICE_PATH
 
 
+@dataclass(frozen=True)
+class Times:
+    """How times are read: the offset of text without one, and how far ahead of now a time may be."""
+
+    default_offset: str = "+00:00"
+    max_future_seconds: int = fixed.MAX_FUTURE_SECONDS
+
+
 def value_or_default(value: Column | str, default: str) -> Column:
     """The value unless missing or empty: an empty partition value would read back as NULL."""
     column = F.col(value) if isinstance(value, str) else value
@@ -53,15 +61,16 @@ def with_tag(
     return tagged.withColumn(target, value_or_default(target, empty))
 
 
-def with_event_time(df: DataFrame, as_of=None, default_offset: str = "+00:00") -> DataFrame:
+def with_event_time(df: DataFrame, as_of=None, times: Times = Times()) -> DataFrame:
     """``EventTime`` (source, else ingest, else now; never far in the future) and ``EventDate``."""
     # One step after the other: each uses the one before more than once.
-    first = df.withColumn("EventTime", event_time("source_timestamp", "timestamp", as_of, default_offset))
-    return first.withColumn("EventTime", clamp_future("EventTime", as_of)).withColumn("EventDate", event_date("EventTime"))
+    first = df.withColumn("EventTime", event_time("source_timestamp", "timestamp", as_of, times.default_offset))
+    return first.withColumn("EventTime", clamp_future("EventTime", as_of, times.max_future_seconds)).withColumn("EventDate", event_date("EventTime"))
 
 
 def to_hierarchy(
-    tagged: DataFrame, plant: Plant = Plant(), as_of=None, keep: Sequence[str] = (), extra: bool = True
+    tagged: DataFrame, plant: Plant = Plant(), as_of=None, keep: Sequence[str] = (), extra: bool = True,
+    times: Times = Times(),
 ) -> DataFrame:
     """The nine columns of the hierarchy table.
 
@@ -69,7 +78,7 @@ def to_hierarchy(
     value as a number (a bound on a cast of text would not reach the scan).
     """
     added = (F.col("node_id").alias("NodeId"), numeric_value("value").alias("ValueDouble")) if extra else ()
-    return with_event_time(tagged, as_of).select(
+    return with_event_time(tagged, as_of, times).select(
         *keep,
         F.lit(plant.enterprise).alias("Enterprise"),
         F.lit(plant.site).alias("Site"),

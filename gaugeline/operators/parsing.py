@@ -39,7 +39,8 @@ def parse_json(
     """
     full = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(payload), full, {"columnNameOfCorruptRecord": schemas.CORRUPT})
-    rows = computed_once(df.select(*keep, payload), "message", parsed).select(*keep, "message")
+    needed = dict.fromkeys([*keep, payload])
+    rows = computed_once(df.select(*needed), "message", parsed).select(*keep, "message")
     # Text that is not an object is flagged; an empty payload gives no struct at all.
     unparsable = F.col("message").isNull() | F.col(f"message.{schemas.CORRUPT}").isNotNull()
     return rows.withColumn("unparsable", unparsable)
@@ -108,11 +109,15 @@ def with_numeric_value(df: DataFrame, source: str = "RawData", target: str = "va
 
 
 def json_safe(column: Column, data_type: T.DataType) -> Column:
-    """A column as it may go into a message: nested data as JSON text, times as ISO text,
-    non-finite numbers as NULL, everything else as it is."""
-    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(column, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-                                  "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    """A column as it may go into a message: times as ISO text, non-finite numbers as NULL, also within
+    nested data, which stays nested, and everything else as it is."""
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda item: json_safe(item, data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return F.transform_values(column, lambda _, item: json_safe(item, data_type.valueType))
+    if isinstance(data_type, T.StructType):
+        fields = [json_safe(column[f.name], f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
     if isinstance(data_type, T.TimestampType):
         return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     if isinstance(data_type, T.TimestampNTZType):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeline import fixed
 from gaugeline.operators.parsing import normalise_values
@@ -23,16 +24,34 @@ def to_messages(
     fields: Sequence[str] | None = None,
     topic: Column | str = fixed.TOPIC_VALUES,
     keep: Sequence[str] = (),
+    as_read: Sequence[str] = ("value", "status_code"),
 ) -> DataFrame:
     """``topic``, binary ``key`` and binary JSON ``value``, ready for the Kafka sink.
 
-    A NULL key leaves the choice of partition to the producer, as for status messages.
+    A NULL key leaves the choice of partition to the producer, as for status messages. Text columns of
+    ``as_read`` hold the text of a parsed JSON value: a number, boolean, list or object goes out as such,
+    at the end of the message, anything else as text.
     """
     names = [n for n in df.columns if n not in keep] if fields is None else list(fields)
+    texts = [n for n in as_read if n in names and isinstance(df.schema[n].dataType, T.StringType)]
     safe = normalise_values(df, *names)
+    plain = F.to_json(F.struct(*[n for n in names if n not in texts])) if len(texts) < len(names) else F.lit("{}")
+    added = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), json_text(n)) for n in texts])  # NULLs stay out
+    inner = F.substring(plain, F.lit(2), F.length(plain) - 2)
+    payload = F.concat(F.lit("{"), F.concat_ws(",", F.nullif(inner, F.lit("")), F.nullif(added, F.lit(""))), F.lit("}")) if texts else plain
     return safe.select(
         *keep,
         (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
         F.col(key).cast("binary").alias("key"),
-        F.to_json(F.struct(*names)).cast("binary").alias("value"),
+        payload.cast("binary").alias("value"),
     )
+
+
+def json_text(column: str) -> Column:
+    """The JSON of a text column: the text itself if it is a JSON number, boolean, list or object, else a
+    JSON string."""
+    text = F.col(column)
+    scalar = text.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$") | text.isin("true", "false")
+    nested = text.rlike(r"^[\[{]") & F.try_parse_json(text).isNotNull()
+    quoted = F.to_json(F.array(text))
+    return F.when(scalar | nested, text).when(text.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))

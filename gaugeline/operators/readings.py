@@ -12,10 +12,6 @@ from gaugeline.functions.numbers import value_kind
 from gaugeline.operators.filtering import value_expression
 from gaugeline.operators.parsing import computed_once
 
-#: Up to this many rows per group Spark cuts each group before the shuffle (its own default).
-GROUP_LIMIT_THRESHOLD = 1000
-_SALTS = 256
-
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values, NULL included."""
@@ -40,39 +36,32 @@ def first_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n
     """The first ``n`` rows of each group.
 
     Spark cuts every group to ``n`` rows in each input partition before the shuffle, so a hot
-    group reaches its task already small. Above the threshold at which it stops doing so the
-    group is first cut within salted parts, spread over tasks, and then as a whole.
+    group reaches its task already small; the session setting for that allows for any sensible ``n``.
     """
     rank = "_rank"
-    if n >= GROUP_LIMIT_THRESHOLD:
-        salt = "_salt"
-        # Salt from the row itself, so that a rerun task gives every row the same part again.
-        df = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
-        parts = Window.partitionBy(*by, salt).orderBy(*order)
-        df = df.withColumn(rank, F.row_number().over(parts)).where(F.col(rank) <= n).drop(rank, salt)
     whole = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= n).drop(rank)
 
 
 def first_samples(
     df: DataFrame,
-    by: Sequence[str] = ("Tag",),
+    by: Sequence[str] = fixed.HIERARCHY,
     time: str = "EventTime",
     tie_break: Sequence[str] = (),
     n: int = fixed.SAMPLES_PER_TAG,
 ) -> DataFrame:
-    """The first ``n`` samples of each tag."""
+    """The first ``n`` samples of each place: a tag is unique only within its equipment."""
     order = [F.asc_nulls_last(time), *[F.asc_nulls_last(c) for c in tie_break]]
     return first_per_group(df, by, order, n)
 
 
 def latest_values(
     df: DataFrame,
-    by: Sequence[str] = ("Tag",),
+    by: Sequence[str] = fixed.HIERARCHY,
     time: str = "EventTime",
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
-    """The latest row of each tag. Associative, so batches can be folded into a stored result."""
+    """The latest row of each place in the hierarchy: a tag is unique only within its equipment. Associative, so batches can be folded into a stored result."""
     order = [F.desc_nulls_last(time), *[F.desc_nulls_last(c) for c in tie_break]]
     return first_per_group(df, by, order, 1)
 

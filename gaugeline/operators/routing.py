@@ -74,6 +74,11 @@ def connection_health(classified: DataFrame, keep=()) -> DataFrame:
     )
 
 
+def dead_letters(classified: DataFrame, payload: str, keep=()) -> DataFrame:
+    """Side table of messages that no other table takes, with the payload as it came."""
+    return of_class(classified, UNPARSABLE, UNKNOWN).select(*keep, "message_class", F.col(payload).alias("payload"))
+
+
 def events(classified: DataFrame, keep=()) -> DataFrame:
     """Side table of server events."""
     return of_class(classified, EVENT).select(*keep, "timestamp", "event", "equipment_name", "production_line")

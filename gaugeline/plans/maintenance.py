@@ -20,20 +20,22 @@ def compact(
     sort_by: Sequence[str] = (),
     table_format: str = "parquet",
     only: Column | None = None,
+    file_bytes: int = 128 * 1024 * 1024,
 ) -> None:
     """Rewrite a table of many small files as a new table at ``target``.
 
     With ``sort_by`` each file gets a range of it: a hot table partition is cut along the range,
     and later scans skip files and row groups by their statistics. Without, rows are rebalanced by
     table partition and by size. ``only`` limits the work to some partitions, such as the days
-    since the last run. The old table stays as it is; readers move to the new path when the write
+    since the last run. There are as many ranges as the old table has ``file_bytes``. The old table stays as it is; readers move to the new path when the write
     has succeeded.
     """
     rows = read_table(spark, path, table_format)
     if only is not None:
         rows = rows.where(only)
     table = Table(target, table_format, partition_by, sort_by)
-    table.write_batch(rows, mode="errorifexists", by_range=bool(sort_by))
+    ranges = max(2, -(-storage.file_bytes(spark, path) // file_bytes)) if sort_by else None
+    table.write_batch(rows, mode="errorifexists", ranges=ranges)
 
 
 def file_sizes(spark: SparkSession, path: str):

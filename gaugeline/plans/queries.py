@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline import fixed
@@ -45,18 +45,21 @@ def _value_column(df: DataFrame) -> str:
     return name
 
 
-def _newest(df: DataFrame, time: Column, n: int, tie_break: Sequence[str], narrow_first: bool) -> DataFrame:
+def _newest(df: DataFrame, time: Column, n: int | None, tie_break: Sequence[str], date_partition: str | None) -> DataFrame:
     """The ``n`` newest rows.
 
-    ``narrow_first`` is for wide stored tables: one pass over the time column alone finds the time
-    of the n-th newest row, and a second reads only the row groups that reach it. Rows without a
-    time come last and are looked up on their own, in row groups that have any.
+    ``date_partition`` is for tables stored by date: rows are counted by date, which reads no more than
+    the filter's columns, and only the newest dates that hold ``n`` rows are read, through a pushed
+    scalar subquery on the partition. Rows without a date are those without a time; they come last, and
+    are read too if the dates hold fewer than ``n``.
     """
-    if narrow_first and n > 0:
-        newest = df.select(time.alias("t")).where(F.col("t").isNotNull()).orderBy(F.col("t").desc()).limit(n)
-        timed = df.where(time >= newest.agg(F.min("t")).scalar())
-        untimed = _limited(df.where(time.isNull()).orderBy(*_newest_first(time, tie_break)), n)
-        df = timed.unionByName(untimed)
+    if date_partition and n:
+        date = F.col(date_partition)
+        newer = Window.orderBy(F.col("d").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        days = df.groupBy(date.alias("d")).agg(F.count(F.lit(1)).alias("n"))  # one row a date
+        days = days.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0))).where(F.col("newer") < n)
+        first, none = days.agg(F.min("d")).scalar(), days.agg(F.coalesce(F.bool_or(F.col("d").isNull()), F.lit(False))).scalar()
+        df = df.where((date >= first) | (date.isNull() & none))
     return _limited(df.orderBy(*_newest_first(time, tie_break)), n)
 
 
@@ -68,13 +71,13 @@ def list_nodes(df: DataFrame) -> DataFrame:
 def latest_for_node(
     df: DataFrame,
     node: str,
-    limit: int = fixed.LATEST_LIMIT,
+    limit: int | None = fixed.LATEST_LIMIT,
     tie_break: Sequence[str] = (),
-    narrow_first: bool = False,
+    date_partition: str | None = None,
 ) -> DataFrame:
-    """The newest rows of one node."""
+    """The newest rows of one node; ``limit=None`` for all."""
     rows = df.where(F.col(_name_column(df)) == node)
-    return _newest(rows, filtering.time_expression(df), limit, tie_break, narrow_first)
+    return _newest(rows, filtering.time_expression(df), limit, tie_break, date_partition)
 
 
 def node_stats(df: DataFrame, node: str | None = None, value: str | None = None) -> DataFrame:
@@ -127,12 +130,13 @@ def filter_readings(
 
 
 def latest(
-    df: DataFrame, n: int = fixed.LATEST_LIMIT, tie_break: Sequence[str] = (), narrow_first: bool = False
+    df: DataFrame, n: int | None = fixed.LATEST_LIMIT, tie_break: Sequence[str] = (), date_partition: str | None = None
 ) -> DataFrame:
-    """The newest rows by whichever time column there is; without one, any ``n`` rows."""
+    """The newest rows by whichever time column there is; without one the first by ``tie_break``, or
+    without that any ``n`` rows."""
     if filtering.find_column(df, fixed.TIME_COLUMNS) is None:
-        return _limited(df, n)
-    return _newest(df, filtering.time_expression(df), n, tie_break, narrow_first)
+        return _limited(df.orderBy(*tie_break) if tie_break else df, n)
+    return _newest(df, filtering.time_expression(df), n, tie_break, date_partition)
 
 
 def query_path(
@@ -146,15 +150,15 @@ def query_path(
     end=None,
     min_value: float | None = None,
     max_value: float | None = None,
-    limit: int = fixed.PATH_LIMIT,
+    limit: int | None = fixed.PATH_LIMIT,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """The newest rows of one place in the hierarchy, with the number read from the text as ``value``.
 
     Bounds go to the stored number where the table has one, and so to the scan.
     """
-    if not 0 <= limit <= fixed.PATH_LIMIT_MAX:
-        raise ValueError(f"limit must be between 0 and {fixed.PATH_LIMIT_MAX}")
+    if limit is not None and not 0 <= limit <= fixed.PATH_LIMIT_MAX:
+        raise ValueError(f"limit must be None for all, or between 0 and {fixed.PATH_LIMIT_MAX}")
     place = zip(fixed.HIERARCHY, (enterprise, site, line, equipment, tag))
     number = filtering.value_expression(df, filtering.find_column(df, ("ValueDouble", "RawData")))
     conditions = [
@@ -164,9 +168,9 @@ def query_path(
         *filtering.value_bounds(number, min_value, max_value),
     ]
     rows = filtering.where_all(df, conditions).withColumn("value", number)
-    return rows.orderBy(*_newest_first(F.col("EventTime"), tie_break)).limit(limit)
+    return _limited(rows.orderBy(*_newest_first(F.col("EventTime"), tie_break)), limit)
 
 
-def dump(df: DataFrame, n: int = fixed.DUMP_LIMIT) -> tuple[DataFrame, DataFrame]:
-    """How many rows there are, and up to ``n`` of them in no order."""
-    return readings.row_count(df), df.limit(n)
+def dump(df: DataFrame, n: int | None = fixed.DUMP_LIMIT, order_by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """How many rows there are, and the first ``n`` of them by ``order_by``; ``n=None`` for all."""
+    return readings.row_count(df), _limited(df.orderBy(*order_by) if order_by else df, n)

@@ -51,7 +51,9 @@ control AS (
   SELECT event_id, props,
     CASE WHEN event_id % 53 = 0 THEN 'opcua_subscription_status'
       WHEN event_id % 59 = 0 THEN 'opcua_event_subscription_status' ELSE 'opcua_event' END AS type,
-    CASE WHEN event_id % 2 = 0 THEN 'BadNoCommunication' ELSE 'Good' END AS code_name,
+    CASE event_id % 6 WHEN 0 THEN 'BadNoCommunication' WHEN 1 THEN 'BadNoCommunication (0x80310000)'
+      WHEN 2 THEN 'Bad (timeout after 5000 ms)' WHEN 3 THEN 'StatusCode(value=2150694912)'
+      WHEN 4 THEN 'code 0x00000000 after 300 ms' ELSE 'Good' END AS code_name,
     strftime(ts + INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
     CASE WHEN event_id % 53 = 0 THEN 'OPCUA' ELSE 'OPCUA_EVENTS' END AS topic
   FROM events
@@ -147,17 +149,18 @@ space AS (
 ),
 nodes AS (
   SELECT node_id, display_name, node_class,
-    'Objects/' || branch || repeat('/Cell', CAST(user_id % 13 AS INTEGER))
-      || CASE WHEN event_type = 'error' THEN '/Diagnostics' ELSE '' END || '/' || display_name AS path,
+    CASE WHEN user_id % 19 <> 7 THEN 'Objects/' || branch || repeat('/Cell', CAST(user_id % 13 AS INTEGER))
+      || CASE WHEN event_type = 'error' THEN '/Diagnostics' ELSE '' END || '/' || display_name END AS path,
     user_id, event_type, branch,
-    3 + user_id % 13 + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS steps
+    3 + user_id % 13 + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END + CASE WHEN user_id % 17 = 3 THEN 1 ELSE 0 END AS steps
   FROM space
 )"""
 _NODE = "node_id, display_name, node_class, path"
 
+_PLACE = '"Enterprise", "Site", "ProductionLine", "Equipment", "Tag"'
 _LATEST = f"""
 SELECT event_id, {_NINE} FROM (
-  SELECT *, row_number() OVER (PARTITION BY "Tag" ORDER BY "EventTime" DESC, event_id DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY {_PLACE} ORDER BY "EventTime" DESC, event_id DESC) AS rn
   FROM history WHERE message_class = 'reading' AND {_LISTED}
 ) WHERE rn = 1"""
 
@@ -165,7 +168,7 @@ SELECT event_id, {_NINE} FROM (
 def _first(n: int, columns: str) -> str:
     return f"""WITH {_PLACED}
 SELECT event_id, {columns} FROM (
-  SELECT *, row_number() OVER (PARTITION BY "Tag" ORDER BY "EventTime" ASC, event_id ASC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY {_PLACE} ORDER BY "EventTime" ASC, event_id ASC) AS rn
   FROM history WHERE message_class = 'reading' AND {_LISTED}
 ) WHERE rn <= {n}"""
 
@@ -196,7 +199,7 @@ FROM msg m JOIN mixed x ON m.event_id = x.event_id""",
     "numeric_value": f"""WITH {_MIXED} SELECT event_id, raw AS "RawData", number AS value FROM mixed""",
     "normalise_values": """
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS moment,
-  '[' || user_id || ',' || event_id || ']' AS pair,
+  '[' || user_id || ',' || event_id || ']' AS pair, '[' || value || ',null]' AS series,
   '{"user_id":' || user_id || ',"event_type":"' || event_type || '","at":"'
     || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS detail,
   CASE WHEN event_id % 23 <> 0 THEN value END AS number, event_type
@@ -215,7 +218,7 @@ SELECT event_id, timestamp, node_id, equipment_name, production_line, CAST(code
 FROM msg WHERE message_class = 'bad_value'""",
     "connection_health": f"""WITH {_CONTROL}
 SELECT event_id, timestamp, type, code_name AS status, 'Compressor' AS equipment_name, 'Line-1' AS production_line,
-  event_id % 2 = 0 AS is_bad
+  event_id % 6 < 4 AS is_bad
 FROM control WHERE type <> 'opcua_event'""",
     "event_messages": f"""WITH {_CONTROL}
 SELECT event_id, timestamp, props AS event, 'Compressor' AS equipment_name, 'Line-1' AS production_line
@@ -271,6 +274,10 @@ SELECT event_id, quality, coalesce(quality, 'Good') AS quality_or_good FROM msg"
     "hierarchy_with_bad": f"""WITH {_PLACED} SELECT event_id, {_NINE} FROM history WHERE {_LISTED}""",
     "hierarchy_by_tag": f"""WITH {_PLACED} SELECT event_id, {_NINE} FROM history
 WHERE message_class = 'reading' AND event_type IN ('click', 'view', 'purchase')""",
+    "hierarchy_unfiltered": f"WITH {_PLACED} SELECT {_ALL} FROM history WHERE message_class = 'reading'",
+    "hierarchy_other_device": f"""WITH {_PLACED}
+SELECT event_id, {_NINE}, replace("NodeId", 'PLC_S7_200_SMART.Compressor', 'OTHER.Dev') AS "NodeId", "ValueDouble"
+FROM history WHERE message_class = 'reading' AND {_LISTED}""",
     "stored_hierarchy": _HISTORY_ROWS,
     "source_enrichment": f"""WITH {_MSG}
 SELECT event_id, node_id, value, 'Compressor' AS equipment_name, 'Line-1' AS production_line FROM msg""",
@@ -306,6 +313,10 @@ SELECT * FROM flat WHERE "displayName" = 'Comp_Freq' AND "valueDouble" BETWEEN 5
     "result_count": f"""WITH {_FLAT}
 SELECT count(*) AS count FROM flat WHERE quality = 'Good' AND "eventTime" >= {_START}""",
     "latest_any": f"""{_HISTORY_ROWS} ORDER BY "EventTime" DESC NULLS LAST, event_id DESC LIMIT 10""",
+    "latest_untimed": f"""WITH {_FLAT} SELECT event_id, "displayName", value FROM flat ORDER BY event_id LIMIT 10""",
+    "cached_snapshot": f"""WITH {_FLAT}
+SELECT "displayName", max("valueDouble") AS max_value, min("valueDouble") AS min_value, count(*) AS count
+FROM flat GROUP BY "displayName\"""",
     "query_path": f"""WITH {_PLACED}
 SELECT {_ALL}, "ValueDouble" AS value FROM history
 WHERE message_class = 'reading' AND {_LISTED} AND "ProductionLine" = 'Line-1' AND "Equipment" = 'Compressor-1'
@@ -320,6 +331,9 @@ WHERE message_class = 'reading' AND {_LISTED} AND "ProductionLine" = 'Line-0' AN
 ORDER BY "EventTime" DESC NULLS LAST, event_id DESC LIMIT 1000""",
     "dump_count": f"""WITH {_PLACED} SELECT count(*) AS count FROM history
 WHERE message_class = 'reading' AND {_LISTED}""",
+    "dump_rows": f"{_HISTORY_ROWS} ORDER BY event_id LIMIT 10000",
+    "tag_list": f"""WITH {_SENT}, {_CATALOGUE}
+SELECT node_id, display_name FROM listed UNION ALL SELECT 'ns=2;s=PLC_S7_200_SMART', 'PLC_S7_200_SMART'""",
     "name_lookup_join": f"""WITH {_MSG}, {_CATALOGUE}
 SELECT m.event_id, m.node_id, m.value, coalesce(l.display_name, m.node_id) AS display_name
 FROM msg m LEFT JOIN listed l ON m.node_id = l.node_id WHERE m.node_id IS NOT NULL""",
@@ -329,7 +343,7 @@ SELECT e.event_id, e.value, n.node_id,
 FROM events e JOIN nodes n ON e.user_id = n.user_id AND e.event_type = n.event_type""",
     "catalogue_coverage": f"""WITH {_MSG}, {_CATALOGUE}
 SELECT count(*) AS discovered, count(*) FILTER (WHERE node_id IN (SELECT node_id FROM msg)) AS subscribed FROM listed""",
-    "namespace_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 11 <> 5 AND user_id % 4 IN (0, 2)""",
+    "namespace_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 11 = 5 OR user_id % 4 IN (0, 2)""",
     "namespaced_ids": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 11 <> 5""",
     "keyword_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 10 <> 3""",
     "node_class_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE user_id % 9 <> 4""",
@@ -337,10 +351,12 @@ SELECT count(*) AS discovered, count(*) FILTER (WHERE node_id IN (SELECT node_id
 WHERE user_id % 9 <> 4 AND user_id % 11 <> 5 AND user_id % 10 <> 3""",
     "catalogue_cap": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes ORDER BY node_id LIMIT 40""",
     "subtree_filter": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes
-WHERE branch IN ('Modbus', 'Plant') AND event_type <> 'error' AND steps <= 11""",
-    "diagnostics_branch": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE event_type <> 'error'""",
-    "first_n_per_tag": _first(5, '"Tag", "RawData", "StatusCode", "EventTime"'),
-    "first_many_per_tag": _first(1500, '"Tag", "RawData", "EventTime"'),
+WHERE user_id % 19 = 7 OR (branch IN ('Modbus', 'Plant') AND event_type <> 'error' AND steps <= 11)""",
+    "device_variables": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes
+WHERE node_class = 'Variable' AND user_id % 19 <> 7 AND user_id % 17 <> 3 AND user_id % 13 > 0""",
+    "diagnostics_branch": f"""WITH {_SPACE} SELECT {_NODE} FROM nodes WHERE event_type <> 'error' OR user_id % 19 = 7""",
+    "first_n_per_tag": _first(5, f'{_PLACE}, "RawData", "StatusCode", "EventTime"'),
+    "first_many_per_tag": _first(1500, f'{_PLACE}, "RawData", "EventTime"'),
     "latest_per_tag": f"WITH {_PLACED} {_LATEST}",
     "typed_values": f"""WITH {_MIXED} SELECT {_TYPED_COLUMNS} FROM mixed""",
     "typed_table": f"""WITH {_MIXED} SELECT {_TYPED_COLUMNS} FROM mixed WHERE kind IS NOT NULL""",
@@ -348,6 +364,11 @@ WHERE branch IN ('Modbus', 'Plant') AND event_type <> 'error' AND steps <= 11"""
 SELECT event_id, 'OPCUA' AS topic, node_id AS key, node_id, value, CAST(code AS VARCHAR) AS status_code,
   ingest_time AS moment
 FROM msg WHERE node_id IS NOT NULL""",
+    "published_payload": f"""WITH {_MIXED}
+SELECT m.event_id, CASE WHEN m.broken THEN '{{}}' ELSE '{{"node_id":"' || m.node_id || '"'
+  || CASE WHEN raw IS NULL THEN '' WHEN m.event_id % 6 = 1 THEN ',"value":"' || raw || '"' ELSE ',"value":' || raw END
+  || ',"status_code":' || code || '}}' END AS payload
+FROM msg m JOIN mixed x ON m.event_id = x.event_id""",
     "topic_fanout": f"""WITH {_MSG}, {_CONTROL}
 SELECT event_id, 'OPCUA' AS topic, node_id AS key,
   CASE WHEN broken THEN '{{}}' ELSE '{{"node_id":"' || node_id || '"'
@@ -363,11 +384,27 @@ FROM control""",
 SELECT event_id, "nodeId", "displayName", value, timestamp, "sourceTimestamp" FROM flat WHERE "nodeId" IS NOT NULL""",
     "stream_resume": f"""WITH {_PLACED} SELECT event_id, {_NINE} FROM history
 WHERE message_class = 'reading' AND {_LISTED}""",
-    "stream_side_outputs": f"""WITH {_MSG}, {_CONTROL}
-SELECT 'readings' AS table_name, event_id FROM msg WHERE message_class = 'reading'
-UNION ALL SELECT 'bad_values', event_id FROM msg WHERE message_class = 'bad_value'
-UNION ALL SELECT 'connection_health', event_id FROM control WHERE type <> 'opcua_event'
-UNION ALL SELECT 'events', event_id FROM control WHERE type = 'opcua_event'""",
+    "stream_side_outputs": f"""WITH {_PLACED}, {_CONTROL}
+SELECT 'readings' AS table_name, {_ALL} FROM history WHERE message_class = 'reading'
+UNION ALL BY NAME SELECT 'bad_values' AS table_name, event_id, timestamp, node_id, equipment_name, production_line,
+  CAST(code AS VARCHAR) AS status_code, source_timestamp, CAST(NULL AS VARCHAR) AS server_timestamp, TRUE AS bad_status
+FROM msg WHERE message_class = 'bad_value'
+UNION ALL BY NAME SELECT 'connection_health' AS table_name, event_id, timestamp, type, code_name AS status,
+  'Compressor' AS equipment_name, 'Line-1' AS production_line, event_id % 6 < 4 AS is_bad
+FROM control WHERE type <> 'opcua_event'
+UNION ALL BY NAME SELECT 'events' AS table_name, event_id, timestamp, props AS event, 'Compressor' AS equipment_name,
+  'Line-1' AS production_line FROM control WHERE type = 'opcua_event'
+UNION ALL BY NAME SELECT 'dead_letters' AS table_name, event_id, message_class, '{{bad' AS payload FROM msg WHERE broken""",
+    "stream_name_lookup": f"""WITH {_MSG}, {_CATALOGUE}
+SELECT m.event_id, m.node_id, m.value, coalesce(l.display_name, m.node_id) AS display_name
+FROM msg m LEFT JOIN listed l ON m.node_id = l.node_id WHERE m.node_id IS NOT NULL""",
+    "stream_job": f"""WITH {_PLACED}, timed AS (
+  SELECT h.* EXCLUDE ("EventTime", "EventDate"), coalesce(source_time, ingest_time - INTERVAL 330 MINUTE) AS t
+  FROM history h JOIN msg m ON h.event_id = m.event_id
+), clamped AS (
+  SELECT * EXCLUDE (t), CASE WHEN t <= {_AS_OF} + INTERVAL 86400 SECOND THEN t ELSE {_AS_OF} END AS "EventTime" FROM timed
+), dated AS (SELECT *, CAST(CAST("EventTime" AS DATE) AS VARCHAR) AS "EventDate" FROM clamped)
+SELECT {_ALL} FROM dated WHERE message_class = 'reading' AND {_LISTED}""",
     "stream_schema_evolution": f"""WITH {_FLAT}
 SELECT event_id, "nodeId", "displayName", value, timestamp, "sourceTimestamp",
   CASE WHEN event_id % 2 = 1 THEN quality END AS quality

@@ -15,8 +15,9 @@ SESSION_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Above this many rows "order by ... limit n" uses the spilling sort, not an in-memory heap.
-    "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    # Up to this many rows a group are kept in each input partition before the shuffle of "first n of each
+    # group", so that a hot group reaches its task small.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 

@@ -13,10 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 def spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int, salt_from: Sequence[str]) -> DataFrame:
     """Rows of a table partition together, in ``files_per_partition`` tasks and so files.
 
-    Without this every task writes a file for every tag it holds. The salt is taken from the row,
-    so that a rerun task routes its rows as before.
+    Without this every task writes a file for every tag it holds. The salt is taken from the row, by
+    default from all of it, so that a rerun task routes its rows as before and rows of equal time part.
     """
-    salt = F.pmod(F.xxhash64(*salt_from), F.lit(files_per_partition))
+    salt = F.pmod(F.xxhash64(*(salt_from or df.columns)), F.lit(files_per_partition))
     return df.repartition(*partition_by, salt)
 
 
@@ -35,7 +35,7 @@ class Table:
     sort_by: Sequence[str] = ()
     merge_schema: bool = False
     files_per_partition: int | None = None
-    salt_from: Sequence[str] = ("EventTime",)
+    salt_from: Sequence[str] = ()
     options: Mapping[str, str] = field(default_factory=dict)
 
     def _options(self) -> dict[str, str]:
@@ -65,10 +65,11 @@ class Table:
             writer = writer.queryName(name)
         return writer.start(self.path)
 
-    def write_batch(self, df: DataFrame, mode: str = "append", by_range: bool = False) -> None:
-        """``by_range`` gives each file a range of ``sort_by``, at the price of a pass to sample it."""
-        if by_range:
-            df = df.repartitionByRange(*self.partition_by, *self.sort_by)
+    def write_batch(self, df: DataFrame, mode: str = "append", ranges: int | None = None) -> None:
+        """With ``ranges`` that many tasks each write a range of ``sort_by``, at the price of a pass to
+        sample it; rows of equal time are told apart by a hash of the row."""
+        if ranges:
+            df = df.repartitionByRange(ranges, *self.partition_by, *self.sort_by, F.xxhash64(*df.columns))
         elif self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
         if self.partition_by or self.sort_by:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeline import fixed
-from gaugeline.sources.files import read_parquet, spread_over_cores
+from gaugeline.sources.files import read_parquet
 
 #: "Now" for these data: late January, so that the last days lie in the future.
 AS_OF = "2024-01-25T00:00:00"
@@ -72,7 +72,7 @@ _BRANCHES = "array('Modbus', 'Server', 'BacNet', 'Plant', 'redundancy group')"
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_over_cores(read_parquet(spark, f"{folder}/events.parquet"), f"{folder}/events.parquet", "event_id")
+    return read_parquet(spark, f"{folder}/events.parquet")
 
 
 def _with_raw_value(json: str, raw: str) -> str:
@@ -109,7 +109,9 @@ def controls(events: DataFrame) -> DataFrame:
     """Status and event messages: subscription status, event subscription status, server events."""
     rows = events.selectExpr("*", f"{_CONTROL_TYPE} AS type").where("type IS NOT NULL")
     message = f"""struct({_INGEST} AS timestamp, type,
-      CASE WHEN type = '{fixed.TYPE_EVENT}' THEN NULL WHEN event_id % 2 = 0 THEN 'BadNoCommunication'
+      CASE WHEN type = '{fixed.TYPE_EVENT}' THEN NULL WHEN event_id % 6 = 0 THEN 'BadNoCommunication'
+        WHEN event_id % 6 = 1 THEN 'BadNoCommunication (0x80310000)' WHEN event_id % 6 = 2 THEN 'Bad (timeout after 5000 ms)'
+        WHEN event_id % 6 = 3 THEN 'StatusCode(value=2150694912)' WHEN event_id % 6 = 4 THEN 'code 0x00000000 after 300 ms'
         ELSE 'Good' END AS status,
       IF(type = '{fixed.TYPE_EVENT}', props, NULL) AS event,
       '{fixed.DEFAULT_EQUIPMENT}' AS equipment_name, '{fixed.DEFAULT_LINE}' AS production_line)"""
@@ -162,7 +164,8 @@ def address_space(events: DataFrame) -> DataFrame:
         f"{SPACE_NODE_ID} AS node_id",
         f"{name} AS display_name",
         "IF(user_id % 9 = 4, 'Object', 'Variable') AS node_class",
-        f"""concat(array('Objects', element_at({_BRANCHES}, CAST(user_id % 5 + 1 AS INT))),
+        f"""IF(user_id % 19 = 7, NULL, concat(array('Objects', element_at({_BRANCHES}, CAST(user_id % 5 + 1 AS INT))),
           array_repeat('Cell', CAST(user_id % 13 AS INT)),
-          IF(event_type = 'error', array('Diagnostics'), CAST(array() AS ARRAY<STRING>)), array({name})) AS path""",
+          IF(user_id % 17 = 3, array(CAST(NULL AS STRING)), CAST(array() AS ARRAY<STRING>)),
+          IF(event_type = 'error', array('Diagnostics'), CAST(array() AS ARRAY<STRING>)), array({name}))) AS path""",
     )

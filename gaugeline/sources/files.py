@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import json
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -12,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.storage import file_bytes, read_text
 
 
 @dataclass(frozen=True)
@@ -40,19 +38,6 @@ class FileSource:
         return reader.load(self.path)
 
 
-def spread_over_cores(df: DataFrame, path: str, by: str, size: int = 1024 * 1024) -> DataFrame:
-    """A table at ``path`` in fewer input splits than there are cores, spread over all of them.
-
-    One file of one row group is one task, however long its rows take to parse. A table in as many
-    splits as cores, as any large one is, comes back as it is, without a shuffle; so does one of
-    fewer than ``size`` bytes.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or file_bytes(df.sparkSession, path) < size:
-        return df
-    return df.repartition(cores, by)
-
-
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
@@ -75,19 +60,9 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
 
 
 def read_tag_list(spark: SparkSession, path: str) -> DataFrame:
-    """Node ids and names from a ``nodes`` list in a JSON or YAML file; entries without an id are dropped."""
-    if path.endswith((".yaml", ".yml")):
-        # A hand-written settings file, as small as any: Spark reads no YAML.
-        import yaml
-
-        listed = (yaml.safe_load(read_text(spark, path)) or {}).get("nodes") or []
-        rows = [json.dumps(entry) for entry in listed]
-        nodes = spark.createDataFrame([(row,) for row in rows], "entry string").select(
-            F.from_json("entry", "node_id string, display_name string, name string").alias("node")
-        )
-    else:
-        schema = "nodes array<struct<node_id: string, display_name: string, name: string>>"
-        nodes = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("nodes").alias("node"))
+    """Node ids and names from a ``nodes`` list in a JSON file; entries without an id are dropped."""
+    schema = "nodes array<struct<node_id: string, display_name: string, name: string>>"
+    nodes = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("nodes").alias("node"))
     return nodes.where("node.node_id is not null").select(
         "node.node_id",
         F.coalesce("node.display_name", "node.name", "node.node_id").alias("display_name"),

@@ -1,4 +1,4 @@
-"""A table of the latest value of each tag, kept by a stream."""
+"""A table of the latest value of each place, kept by a stream."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeline import storage
+from gaugeline import fixed, storage
 from gaugeline.operators.readings import latest_values
 from gaugeline.plans.maintenance import retire_versions
 from gaugeline.streaming.ingest import require_same_run
@@ -17,19 +17,19 @@ def start(
     rows: DataFrame,
     root: str,
     checkpoint: str,
-    by: Sequence[str] = ("Tag",),
+    by: Sequence[str] = fixed.HIERARCHY,
     time: str = "EventTime",
     tie_break: Sequence[str] = (),
     trigger: Mapping | None = None,
-    keep_versions: int | None = None,
+    keep_versions: int | None = 3,
 ) -> StreamingQuery:
     """Fold each batch into the table below ``root``.
 
     A batch writes a whole new version, named by its number, from the version before it and its
-    own rows; the table has one row a tag, so that stays small however long the history is. A batch
+    own rows; the table has one row a place, so that stays small however long the history is. A batch
     that is run again starts from the same earlier version and overwrites only its own. Readers
     take the newest complete version and never one that is being written. ``keep_versions`` deletes
-    older ones; two at least stay, as a batch run again needs the version before its own.
+    older ones (``None`` keeps all); two at least stay, as a batch run again needs the version before its own.
     """
     if keep_versions is not None and keep_versions < 2:
         raise ValueError("at least two versions must stay")
@@ -37,11 +37,11 @@ def start(
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # First within the batch, so that only one row a tag meets the stored table.
+        # First within the batch, so that only one row a place meets the stored table.
         latest = latest_values(batch, by, time, tie_break)
-        earlier = [v for v in storage.versions(spark, root) if v < batch_id]
-        if earlier:
-            stored = spark.read.schema(batch.schema).parquet(f"{root}/version={earlier[-1]}")
+        earlier = storage.newest_version(spark, root, below=batch_id)
+        if earlier is not None:
+            stored = spark.read.schema(batch.schema).parquet(f"{root}/version={earlier}")
             latest = latest_values(stored.unionByName(latest), by, time, tie_break)
         latest.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
         if keep_versions is not None:
@@ -53,7 +53,7 @@ def start(
 
 def read(spark: SparkSession, root: str) -> DataFrame:
     """The newest complete version."""
-    complete = storage.versions(spark, root)
-    if not complete:
+    newest = storage.newest_version(spark, root)
+    if newest is None:
         raise FileNotFoundError(f"no complete version below {root}")
-    return spark.read.parquet(f"{root}/version={complete[-1]}")
+    return spark.read.parquet(f"{root}/version={newest}")

@@ -7,22 +7,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeline import storage
 from gaugeline.operators import hierarchy, routing
 from gaugeline.operators.hierarchy import Plant
 from gaugeline.plans.history import messages
 from gaugeline.streaming.ingest import require_same_run
 
-TABLES = ("readings", "bad_values", "connection_health", "events")
+TABLES = ("readings", "bad_values", "connection_health", "events", "dead_letters")
+
+#: The message as it came, which a dead letter keeps.
+PAYLOAD = "json"
 
 
 def split(classified: DataFrame, plant: Plant = Plant(), as_of=None, keep: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The tables of :data:`TABLES` from classified messages."""
+    """The tables of :data:`TABLES` from classified messages that have kept their payload: every message
+    is a row of one of them."""
     rows = hierarchy.with_tag(routing.readings(classified), plant, by_name=True)
     return {
         "readings": hierarchy.to_hierarchy(rows, plant, as_of, keep),
         "bad_values": routing.bad_values(classified, keep),
         "connection_health": routing.connection_health(classified, keep),
         "events": routing.events(classified, keep),
+        "dead_letters": routing.dead_letters(classified, PAYLOAD, keep),
     }
 
 
@@ -34,20 +40,27 @@ def start(
     as_of=None,
     keep: Sequence[str] = (),
     trigger: Mapping | None = None,
+    table_format: str = "parquet",
 ) -> StreamingQuery:
     """Write every table below ``root``, each batch to a folder of its own.
 
     A batch that is run again after a failure overwrites its own folders and nothing else, so each
-    row lands once. The batch is parsed once and kept while its tables are written.
+    row lands once. The batch is parsed once and kept while its tables are written. A table format with
+    transactions gets one table each instead, and drops a batch that it has already.
     """
     require_same_run(envelope.sparkSession, root, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = messages(batch, keep).persist()
+        parsed = messages(batch, (*keep, PAYLOAD), payload=PAYLOAD).persist()
         try:
             for name, table in split(parsed, plant, as_of, keep).items():
                 # Rebalanced, as a side table may have a few rows in each of many tasks.
-                table.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+                rows = table.hint("rebalance")
+                if table_format == "parquet":
+                    rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+                else:
+                    done = {"txnAppId": f"{checkpoint}/{name}", "txnVersion": str(batch_id)}
+                    rows.write.format(table_format).mode("append").options(**done).save(f"{root}/{name}")
         finally:
             parsed.unpersist()
 
@@ -56,4 +69,15 @@ def start(
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/{table}").parquet(f"{root}/{table}").drop("batch")
+    """The batches of a parquet side table that are complete: one that is being written, or written
+    again, has no success marker and stays out."""
+    path = f"{root}/{table}"
+    batches = [f"{path}/{name}" for name in storage.folders(spark, path) if storage.exists(spark, f"{path}/{name}/_SUCCESS")]
+    if not batches:
+        raise FileNotFoundError(f"no complete batch below {path}")
+    return spark.read.option("basePath", path).parquet(*batches).drop("batch")
+
+
+def compact(spark: SparkSession, root: str, table: str, target: str) -> None:
+    """Rewrite the complete batches of a side table as a table of larger files at ``target``."""
+    read(spark, root, table).hint("rebalance").write.mode("errorifexists").parquet(target)

@@ -194,7 +194,8 @@ def test_status(spark):
     assert column(spark, list(cases), status.is_bad_status) == [False, False, True, True, False, False]
     texts = {
         "BadNoCommunication": True, "Good": False, "StatusCode(value=2150891520)": True,
-        "StatusCode(value=0)": False, None: False, "NotBad": False,
+        "StatusCode(value=0)": False, None: False, "NotBad": False, "Bad (timeout after 5000 ms)": True,
+        "BadNoCommunication (0x80310000)": True, "0x80310000": True, "2150891520": True, "after 5000 ms": False,
     }
     assert column(spark, list(texts), status.is_bad_status_text) == list(texts.values())
 
@@ -210,6 +211,7 @@ def test_diagnostics_and_null_ids(spark):
     )
     assert [r["Tag"] for r in filtering.drop_diagnostics(rows).collect()] == ["d"]
     assert filtering.allow_node_ids(rows, ["ns=2;s=d"]).count() == 1
+    assert filtering.allow_node_ids(rows).count() == filtering.allow_node_ids(rows, []).count() == 4
     assert filtering.drop_null_ids(rows).count() == 3
 
 
@@ -233,6 +235,7 @@ def test_tag_list_setting(spark):
     rows = spark.createDataFrame([("a",), ("b",)], "Tag string")
     assert filtering.allow_tags(rows, " a , ,").count() == 1
     assert filtering.allow_tags(rows, "").count() == 2
+    assert filtering.allow_tags(rows).count() == 2
 
 
 def test_contracts_of_both_producers_give_one_table(spark):

@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.check import compare, connect
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+from gaugeline.registered.oracles import ORACLES
+from gaugeline.registered.queries import REGISTERED as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,11 +24,5 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-def test_dump_rows_are_rows_of_the_table(spark, small):
-    rows = QUERIES["dump_rows"](spark, small)
-    table = QUERIES["stored_hierarchy"](spark, small)
-    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, table.select(*rows.columns).collect()))
-
-
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0

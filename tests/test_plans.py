@@ -5,12 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from gaugeline.operators import catalogue, filtering
-from gaugeline.plans import queries
 from gaugeline.registered import views
+from gaugeline.registered.queries import REGISTERED
 
-QUERIES = entry.queries()
+QUERIES = REGISTERED
 
 
 def plan(df):
@@ -71,10 +70,10 @@ def test_allow_list_is_pushed_as_in(spark, small):
     assert "In(nodeId, [a,b])" in text
 
 
-def test_newest_rows_look_at_one_column_first(spark, small):
-    text = formatted(QUERIES["latest_any"](spark, small))
-    assert "ReadSchema: struct<EventTime:timestamp>" in text
-    assert "GreaterThanOrEqual(EventTime,ScalarSubquery" in text
+@pytest.mark.parametrize("name, date", [("latest_any", "EventDate"), ("latest_for_node", "eventDate")])
+def test_newest_rows_read_the_newest_dates_only(spark, small, name, date):
+    text = formatted(QUERIES[name](spark, small))
+    assert re.search(rf"PartitionFilters: .*{date}#\d+ >= .*[sS]ubquery", text)
 
 
 def test_samples_are_cut_before_the_shuffle(spark, small):
@@ -83,16 +82,25 @@ def test_samples_are_cut_before_the_shuffle(spark, small):
     assert "row_number(), 5, Partial" in text
 
 
-def test_small_catalogue_is_broadcast_and_large_one_is_salted(spark):
+def test_samples_of_any_size_have_one_plan(spark, small):
+    text = plan(QUERIES["first_many_per_tag"](spark, small))
+    assert text.index("Exchange") < text.rindex("WindowGroupLimit")
+    assert "row_number(), 1500, Partial" in text
+
+
+def test_no_job_runs_while_a_lookup_is_built(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise("x").alias("node_id"))
     listed = spark.createDataFrame([("hot", "Hot"), ("x", "X")], "node_id string, display_name string")
-    assert "BroadcastHashJoin" in plan(catalogue.with_display_name(rows, listed))
-    salted = plan(catalogue.with_display_name(rows, listed, rows=1))
-    assert "BroadcastHashJoin" not in salted
-    assert re.search(r"hashpartitioning\(node_id#\d+, _salt#", salted)
+    spark.sparkContext.setJobGroup("lookup", "building a plan")
+    catalogue.with_display_name(rows, listed)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+
+
+LARGER = "/root/testdata/sf0.1"
 
 
-def test_large_limits_use_the_spilling_sort(spark):
-    rows = spark.range(1 << 40).select("id", F.timestamp_seconds("id").alias("ts"))
-    assert "TakeOrderedAndProject" in plan(queries.latest(rows, 1000))
-    assert "TakeOrderedAndProject" not in plan(queries.latest(rows, 10_000_000))
+@pytest.mark.parametrize("name", ["hierarchy_table", "parse_flat", "typed_values"])
+def test_ingest_is_map_only_at_any_size(spark, name):
+    assert "Exchange" not in plan(QUERIES[name](spark, LARGER))

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import catalogue, filtering, joins, readings
+from gaugeline.operators import catalogue, filtering, readings
 from gaugeline.plans import queries
 
 
@@ -34,11 +34,16 @@ def test_latest_breaks_ties(flat):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 6, 10])
-def test_narrow_first_gives_the_same_rows(flat, n):
-    typed = flat.withColumn("eventTime", filtering.time_expression(flat)).drop("timestamp")
+def test_newest_dates_give_the_same_rows(flat, n):
+    typed = flat.withColumn("eventTime", filtering.time_expression(flat) + F.expr("make_dt_interval(id % 3)")).drop("timestamp")
+    typed = typed.withColumn("eventDate", F.col("eventTime").cast("date").cast("string"))
     plain = queries.latest(typed, n, ("id",))
-    assert ids(queries.latest(typed, n, ("id",), narrow_first=True)) == ids(plain)
-    assert ids(queries.latest(flat, n, ("id",), narrow_first=True)) == ids(plain)
+    assert ids(queries.latest(typed, n, ("id",), date_partition="eventDate")) == ids(plain)
+
+
+def test_no_limit_gives_all_rows(flat):
+    assert queries.latest(flat, None, ("id",)).count() == 6
+    assert ids(queries.latest_for_node(flat, "a", None, ("id",), date_partition=None)) == [3, 2, 1]
 
 
 def test_latest_without_a_time_column(spark):
@@ -107,24 +112,31 @@ def test_first_samples_of_hot_groups(spark, n):
         expected.setdefault(r["Tag"], []).append(r["id"])
     expected = {tag: sorted(found[:n]) for tag, found in expected.items()}
     found = {}
-    for r in readings.first_samples(rows, tie_break=("id",), n=n).collect():
+    for r in readings.first_samples(rows, ("Tag",), tie_break=("id",), n=n).collect():
         found.setdefault(r["Tag"], []).append(r["id"])
     assert {tag: sorted(v) for tag, v in found.items()} == expected
 
 
-@pytest.mark.parametrize("bounds", [{}, {"rows": 3}, {"size": 10}, {"rows": 3, "salts": 1}])
-def test_name_lookup_by_broadcast_and_by_shuffle(spark, bounds):
+@pytest.mark.parametrize("bound", ["10m", "-1"])
+def test_name_lookup_by_broadcast_and_by_shuffle(spark, bound):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    try:
+        _look_up(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _look_up(spark):
     rows = hot(spark).select(F.col("Tag").alias("node_id"), "id").union(spark.sql("SELECT NULL, 1L"))
     listed = spark.createDataFrame(
         [("hot", "Hot"), ("hot", "Another"), ("t1", "One"), ("t2", None), (None, "x"), ("t9", "Nine")],
         "node_id string, display_name string",
     )
-    assert joins.fits_broadcast(listed.distinct(), **{k: v for k, v in bounds.items() if k != "salts"}) == (not bounds)
     names = {"hot": "Another", "t1": "One", "t9": "Nine"}
-    found = catalogue.with_display_name(rows, listed, **bounds).collect()
+    found = catalogue.with_display_name(rows, listed).collect()
     assert len(found) == rows.count()
     assert all(r["display_name"] == names.get(r["node_id"], r["node_id"]) for r in found)
-    allowed = catalogue.allow_listed(rows, listed, **bounds)
+    allowed = catalogue.allow_listed(rows, listed)
     assert allowed.count() == rows.where(F.col("node_id").isin("hot", "t1", "t2", "t9")).count()
 
 
@@ -144,6 +156,9 @@ def nodes(spark):
             ("ns=3;s=c", "x", "Variable", ["Objects", "bacnet devices", "x"]),
             ("i=5", "Count", "Object", ["Objects", "PLC", "Diagnostics", "Count"]),
             ("ns=2;s=d", None, "Variable", ["Objects"] + ["c"] * 10 + ["d"]),
+            ("ns=2;s=e", "Count", "Variable", ["Objects", "PLC", "Diagnostics", "Count"]),
+            ("ns=2;s=f", "Listed", "Variable", None),
+            ("ns=2;s=g", "Gap", "Variable", ["Objects", None, "Gap"]),
         ],
         "node_id string, display_name string, node_class string, path array<string>",
     )
@@ -155,7 +170,7 @@ def listed_ids(df):
 
 def test_catalogue_filters(nodes):
     everything = listed_ids(nodes)
-    assert listed_ids(catalogue.allow_namespaces(nodes, "0, 3")) == ["ns=0;i=1", "ns=3;s=c"]
+    assert listed_ids(catalogue.allow_namespaces(nodes, "0, 3")) == ["i=5", "ns=0;i=1", "ns=3;s=c"]
     assert listed_ids(catalogue.allow_namespaces(nodes, "")) == everything
     assert listed_ids(catalogue.allow_namespaces(nodes, "x,2")) == everything
     assert listed_ids(catalogue.drop_keywords(nodes)) == sorted(set(everything) - {"ns=0;i=1"})
@@ -163,8 +178,10 @@ def test_catalogue_filters(nodes):
     assert listed_ids(catalogue.of_node_class(nodes, "Object")) == ["i=5"]
     assert listed_ids(catalogue.cap(nodes, 2)) == everything[:2]
     assert listed_ids(catalogue.cap(nodes, 0)) == everything
-    assert listed_ids(catalogue.drop_subtrees(nodes)) == ["ns=2;s=a", "ns=2;s=b"]
-    assert listed_ids(catalogue.drop_subtrees(nodes, max_depth=None)) == ["ns=2;s=a", "ns=2;s=b", "ns=2;s=d"]
-    assert listed_ids(catalogue.diagnostics_branch(nodes)) == sorted(set(everything) - {"i=5"})
+    assert listed_ids(catalogue.drop_subtrees(nodes)) == ["ns=2;s=a", "ns=2;s=b", "ns=2;s=f", "ns=2;s=g"]
+    assert listed_ids(catalogue.drop_subtrees(nodes, max_depth=None)) == ["ns=2;s=a", "ns=2;s=b", "ns=2;s=d", "ns=2;s=f", "ns=2;s=g"]
+    assert listed_ids(catalogue.diagnostics_branch(nodes)) == sorted(set(everything) - {"i=5", "ns=2;s=e"})
+    assert listed_ids(catalogue.device_variables(nodes, "PLC")) == ["ns=2;s=a", "ns=2;s=b"]
+    assert listed_ids(catalogue.device_variables(nodes, "PLC", True)) == ["ns=2;s=a", "ns=2;s=b", "ns=2;s=e"]
     assert listed_ids(catalogue.diagnostics_branch(nodes, include=True)) == everything
-    assert listed_ids(catalogue.tags_to_sample(nodes)) == ["ns=2;s=a", "ns=2;s=d", "ns=3;s=c"]
+    assert listed_ids(catalogue.tags_to_sample(nodes)) == ["ns=2;s=a", "ns=2;s=d", "ns=2;s=e", "ns=2;s=f", "ns=2;s=g", "ns=3;s=c"]

@@ -81,9 +81,15 @@ def decode(unit: np.ndarray, blocks: int = BLOCKS, code: int = CODE, reach: floa
     return home, angle, rows, filters, np.arccos(np.clip(sums, -1, 1))
 
 
-def _unit_rows(column: pa.Array) -> np.ndarray:
+def _rows(column: pa.Array) -> np.ndarray:
+    """The vectors of one length, each scaled by a power of two, which is exact: squares of very large or
+    small components must neither overflow nor vanish."""
     vectors = np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1)
-    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # else squares may overflow or vanish
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
+def _unit_rows(column: pa.Array) -> np.ndarray:
+    vectors = _rows(column)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -155,8 +161,7 @@ def _compare(schema: pa.Schema, similarity: float):
                 sides = []
                 for side in (lives, ~lives):
                     own = rows.filter(pa.array(side)).combine_chunks()
-                    v = own["v"].combine_chunks()
-                    sides.append((np.asarray(own["id"]), np.asarray(own["angle"]), np.asarray(own["n"]), np.asarray(v.flatten()).astype(np.float64).reshape(len(v), -1)))
+                    sides.append((np.asarray(own["id"]), np.asarray(own["angle"]), np.asarray(own["n"]), _rows(own["v"].combine_chunks())))
                 found = list(block(*sides))
                 if found:
                     yield ragged.table(schema, list(zip(*found)))

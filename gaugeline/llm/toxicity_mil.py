@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm import ragged
 
 #: Labelled documents of each class that the model is fitted on, at most.
-SAMPLE = 4000
+SAMPLE = 2500
 #: Hashed features: 2 ** this many weights.
 BITS = 18
 PREFIXES = (4, 5)
@@ -105,9 +105,10 @@ def train(column: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     edges = np.searchsorted(of_word, np.arange(len(column) + 1))
     sentence_edges = np.searchsorted(document, np.arange(len(column) + 1))
     # A feature of few documents tells nothing but these documents: it stays without weight.
-    pairs = np.unique(of_word * len(found) + codes)
-    spread = np.unique((pairs // len(found))[:, None] * (1 << BITS) + found[pairs % len(found)])
-    frequent = np.bincount(spread % (1 << BITS), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * len(column)))
+    frequent = np.zeros(1 << BITS, np.int32)
+    for column_ in found.T:
+        frequent += np.bincount(np.unique((of_word << BITS) | column_[codes]) & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.int32)
+    frequent = frequent >= max(2, round(LEAST_SHARE * len(column)))
     found = np.where(frequent[found], found, 0)
     rng = np.random.default_rng(seed)
     for _ in range(max(epochs, -(-LEAST_STEPS * 64 // len(column)))):

@@ -9,8 +9,9 @@ have to be looked at: about k ln k darts a set, however many elements it has.
 
 Texts are sets of word shingles. Signatures are cut into bands, texts that agree in a band are
 candidates, and candidates are compared by their whole texts. A group of very many near copies is not
-expanded into pairs: in each band's bucket members are first compared with one pivot and merged, a few
-rounds long with other pivots; only what is not connected by then is compared pair by pair.
+expanded into pairs. All members of a bucket are compared with one of them, the hub, and merged, and what
+stays apart with a pivot of its own, a few rounds long. Of the pairs that are not connected by then, only
+those are compared that may be similar, which follows from how each differs from their hub.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ COORDINATES, BAND_ROWS = 240, 6
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Rounds in which bucket members are compared with one pivot only, before all that is left is compared.
 PIVOT_ROUNDS = 3
+#: Bytes of the bitmap of what sets two texts apart; rows of a family that are compared at a time.
+BITMAP, FAMILY_PART = 128, 512
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _CELLS = 1 << 18
@@ -122,34 +125,93 @@ def sketch(docs: DataFrame, k: int, rows: int, words: int, weight: str, seed: in
     return docs.mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
-def similar(pairs: DataFrame, docs: DataFrame, words: int, similarity: float, weight: str) -> DataFrame:
-    """The pairs ``(a, b)`` of ids whose texts have a (weighted) Jaccard similarity of ``similarity`` or more."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _compared(pairs: DataFrame, texts: DataFrame, words: int, weight: str) -> DataFrame:
+    """Pairs ``(id, hub)`` with what their whole texts share: ``shared`` shingles, ``missing`` ones that only
+    the hub has, ``added`` ones that only the other has, and a bitmap ``bits`` of the last two."""
+    schema = pa.schema([("id", pa.int64()), ("hub", pa.int64()), ("shared", pa.int64()), ("missing", pa.int64()), ("added", pa.int64()), ("bits", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            sizes = np.asarray(pc.add(pc.binary_length(batch.column("ta")), pc.binary_length(batch.column("tb"))))
-            cuts = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // ragged.SLICE_BYTES)) + 1
+            sizes = np.asarray(pc.add(pc.binary_length(batch.column("t")), pc.binary_length(batch.column("h")))).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // ragged.SLICE_BYTES)) + 1
             for part in (batch.slice(s, e - s) for s, e in zip([0, *cuts], [*cuts, batch.num_rows])):
                 n = part.num_rows
-                both = pa.concat_arrays([ragged.texts(part.column("ta")), ragged.texts(part.column("tb"))])
+                if not n:
+                    continue
+                both = pa.concat_arrays([ragged.texts(part.column("t")), ragged.texts(part.column("h"))])
                 sets, elements, counts = ragged.shingles(both, words)
                 counts = counts if weight == "count" else np.ones(len(counts), np.int64)
-                pair = sets % n
-                order = np.lexsort((elements, pair))
-                pair, elements, counts = pair[order], elements[order], counts[order]
-                same = np.flatnonzero((pair[1:] == pair[:-1]) & (elements[1:] == elements[:-1]))
-                shared = np.bincount(pair[same], np.minimum(counts[same], counts[same + 1]), n)
-                union = np.bincount(pair, counts, n) - shared
-                keep = np.flatnonzero((union > 0) & (shared >= similarity * union - 1e-9))
-                yield ragged.table(schema, [part.column("a").take(pa.array(keep)), part.column("b").take(pa.array(keep))])
-
-    # ``docs`` lies in buckets by id and is not shuffled; only the texts of pairs are. Many pairs of one
-    # document lie in one shuffled partition of the last join, which adaptive execution may split.
-    firsts = docs.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
-    seconds = pairs.join(docs.withColumnsRenamed({"id": "b", "text": "tb"}), "b")
-    joined = seconds.join(firsts.withColumnsRenamed({"id": "a", "text": "ta"}), "a")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+                pair, of_hub = sets % n, sets >= n
+                order = np.lexsort((of_hub, elements, pair))
+                pair, elements, counts, of_hub = pair[order], elements[order], counts[order], of_hub[order]
+                second = np.zeros(len(pair), bool)  # the hub's row of an element that both have
+                second[1:] = (pair[1:] == pair[:-1]) & (elements[1:] == elements[:-1])
+                first = np.append(second[1:], False)[: len(pair)]
+                same = np.zeros(len(pair), np.int64)
+                at = np.flatnonzero(second)
+                same[at] = same[at - 1] = np.minimum(counts[at], counts[at - 1])
+                more = counts - same  # copies that the other text lacks
+                shared = np.bincount(pair[first], same[first], n)
+                missing, added = np.bincount(pair, more * of_hub, n), np.bincount(pair, more * ~of_hub, n)
+                copies = np.repeat(np.arange(len(pair)), more)
+                number = np.arange(len(copies)) - np.repeat(np.cumsum(more) - more, more)
+                bit = ragged.mix(elements[copies] * np.uint64(2) + of_hub[copies] + ragged.mix(number.astype(np.uint64))) % np.uint64(8 * BITMAP)
+                bits = np.zeros((n, 8 * BITMAP), np.uint8)
+                bits[pair[copies], bit.astype(np.int64)] = 1
+                packed = np.packbits(bits, axis=1)
+                yield ragged.table(schema, [part.column("id"), part.column("hub"), shared.astype(np.int64), missing.astype(np.int64), added.astype(np.int64), [row.tobytes() for row in packed]])
+
+    # ``texts`` lies in buckets by id and is not shuffled; only the texts of pairs are. Many pairs of one
+    # hub lie in one shuffled partition of the last join, which adaptive execution may split.
+    hubs = texts.join(pairs.select(F.col("hub").alias("id")).distinct(), "id", "left_semi").withColumnsRenamed({"id": "hub", "text": "h"})
+    joined = pairs.join(texts.withColumnRenamed("text", "t"), "id").join(hubs, "hub")
+    return joined.select("id", "hub", "t", "h").mapInArrow(run, "id long, hub long, shared long, missing long, added long, bits binary")
+
+
+def _links_of(compared: DataFrame, similarity: float) -> DataFrame:
+    union = F.col("shared") + F.col("missing") + F.col("added")
+    return compared.where((union > 0) & (F.col("shared") >= similarity * union - 1e-9)).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+
+
+def _possible(families: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(id, hub)`` of a family that are in different components and may be similar.
+
+    All of a family have been compared with its hub H. Two of them, x and y, share
+    ``|H| - missing(x) - missing(y)`` shingles and those that both lack or both add to H, of which their
+    bitmaps bound the number. Only pairs that this allows to be similar come out, so a large family of
+    near copies costs a product of small matrices and hardly any rows. Large families come in parts.
+    """
+    schema = pa.schema([("id", pa.int64()), ("hub", pa.int64())])
+
+    def side(rows):
+        bits = np.unpackbits(np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
+        number = {name: np.asarray(rows[name].combine_chunks()) for name in ("id", "component", "size", "missing", "added")}
+        return bits, number, number["missing"] + number["added"] - bits.sum(axis=1)
+
+    def run(batches):
+        for rows in ragged.groups(batches, "block"):
+            part = np.asarray(rows["part"].combine_chunks())
+            low, high = rows.filter(pa.array(part == part.min())), rows.filter(pa.array(part == part.max()))
+            if np.asarray(rows["two"].combine_chunks())[0] and part.min() == part.max():
+                continue  # of two parts of a family only one has rows here
+            (x, a, hidden_a), (y, b, hidden_b) = side(low), side(high)
+            both = x @ y.T + np.minimum(hidden_a[:, None], hidden_b)
+            shared = a["size"][:, None] - a["missing"][:, None] - b["missing"] + both
+            total = (a["size"] - a["missing"] + a["added"])[:, None] + (b["size"] - b["missing"] + b["added"])
+            may = (shared >= similarity * (total - shared) - 1e-6) & (a["component"][:, None] != b["component"])
+            i, j = np.nonzero(may)
+            first, second = a["id"][i], b["id"][j]
+            pairs = np.unique(np.stack([np.minimum(first, second), np.maximum(first, second)]), axis=1)
+            yield ragged.table(schema, [pairs[0], pairs[1]])
+
+    sizes = families.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    parted = families.join(sizes.select("hub", F.ceil(F.col("n") / FAMILY_PART).alias("parts")), "hub")
+    parted = parted.withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    parted = parted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    low, high = F.least("part", "other"), F.greatest("part", "other")
+    parted = parted.withColumn("block", F.xxhash64("hub", low, high)).withColumn("two", low != high)
+    dealt = parted.select("block", "part", "two", "id", "component", "size", "missing", "added", "bits")
+    return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(run, "id long, hub long")
 
 
 def near_duplicates(
@@ -195,24 +257,29 @@ def near_duplicates(
 
 def _linked(classed: DataFrame, members: DataFrame, texts: DataFrame, words: int, similarity: float, weight: str) -> DataFrame:
     """Links ``(a, b)`` that connect what the links of all candidate pairs connect."""
-    links = written(classed.where("id <> text_id").select(F.col("id").alias("a"), F.col("text_id").alias("b")).distinct(), "links")
-    for turn in range(PIVOT_ROUNDS + 1):
+    links = classed.where("id <> text_id").select(F.col("id").alias("a"), F.col("text_id").alias("b")).distinct()
+    # All members of a bucket with its hub; two members of a bucket are always of one hub's family.
+    hubs = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("hub"))
+    pairs = written(members.join(hubs, "key").where("id <> hub").select("id", "hub").distinct(), "pairs")
+    compared = written(_compared(pairs, texts, words, weight), "compared")
+    links = links.unionByName(_links_of(compared, similarity))
+    for turn in range(1, PIVOT_ROUNDS):
         found = components(links)
         states = members.join(found.withColumnRenamed("node", "id"), "id", "left")
-        states = states.select("key", "id", F.coalesce("component", "id").alias("component"))
-        # Buckets that hold more than one component, the component with most members there, and its pivot.
-        sizes = states.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("p"))
-        split = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "p", "component")).alias("most")).where("parts > 1")
-        open_ = written(states.join(split.select("key", F.col("most.component").alias("main"), F.col("most.p.id").alias("pivot")), "key"), "open")
-        rest = open_.where("component <> main")
-        if turn < PIVOT_ROUNDS:
-            pairs = rest.select("id", F.col("pivot").alias("other"))
-        else:  # whatever is not connected yet, with every member of another component
-            members_of = open_.select("key", F.col("id").alias("other"), F.col("component").alias("second"))
-            pairs = rest.join(members_of, "key").where("component <> second").select("id", "other")
-        pairs = written(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        more = similar(pairs, texts, words, similarity, weight)
-        links = written(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "links")
-    return links
+        states = written(states.select("key", "id", F.coalesce("component", "id").alias("component")), "states")
+        # What is not in the component with most members of its bucket meets a pivot of its own kind.
+        sizes = states.groupBy("key", "component").agg(F.count("*").alias("n"))
+        main = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")).where("parts > 2")
+        rest = states.join(main.select("key", "main"), "key").where("component <> main")
+        pivots = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")).alias("p"))
+        pairs = rest.join(pivots, "key").where("component <> p.component").select("id", F.col("p.id").alias("hub")).distinct()
+        more = _links_of(_compared(written(pairs, "pairs"), texts, words, weight), similarity)
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+    found = components(links)
+    families = compared.withColumn("size", F.col("shared") + F.col("missing")).select("hub", "id", "size", "missing", "added", "bits")
+    none = F.lit(0).cast("long")
+    centres = families.select("hub", F.col("hub").alias("id"), "size", none.alias("missing"), none.alias("added"), F.lit(bytes(BITMAP)).alias("bits")).distinct()
+    families = families.unionByName(centres).join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    pairs = written(_possible(families, similarity).distinct(), "pairs")
+    more = _links_of(_compared(pairs, texts, words, weight), similarity)
+    return written(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "links")

@@ -39,6 +39,22 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = end
 
 
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of each value of ``key``, which equal values must follow each other in; held one group at a time."""
+    held, current = [], None
+    for batch in batches:
+        keys = np.asarray(batch.column(key))
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
+        for begin, end in zip(edges, edges[1:]):
+            if held and keys[begin] != current:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            current = keys[begin]
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def take(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs ``values[start:start + length]``, one after the other."""
     ends = np.cumsum(lengths)

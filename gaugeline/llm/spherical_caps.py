@@ -152,10 +152,7 @@ def _compare(schema: pa.Schema, similarity: float):
         yield from ((1, i, j) for i, j in zip(ids_b, label_b) if i != j)
 
     def run(batches):
-        held, key = [], None
-
-        def flush():
-            rows = pa.Table.from_batches(held).combine_chunks()
+        for rows in ragged.groups(batches, "bucket"):
             lives = np.asarray(rows["lives"].combine_chunks())
             if lives.any() and not lives.all():
                 sides = []
@@ -166,22 +163,6 @@ def _compare(schema: pa.Schema, similarity: float):
                 if found:
                     yield ragged.table(schema, list(zip(*found)))
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column("bucket").to_pylist()
-            begin = 0
-            for end in range(1, len(keys) + 1):
-                if end == len(keys) or keys[end] != keys[begin]:
-                    if held and key != keys[begin]:
-                        yield from flush()
-                        held = []
-                    key = keys[begin]
-                    held.append(batch.slice(begin, end - begin))
-                    begin = end
-        if held:
-            yield from flush()
-
     return run
 
 

@@ -14,8 +14,6 @@ words of a passage of 51 lie in whole chunks of both, enough for a run.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -63,48 +61,44 @@ def cuts(data: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray
 
 
 def _chunks(text: str, window: int):
-    """A text's bytes, where its chunks begin and end, and the words of each."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    """The chunks of a text: its bytes, where each begins and ends, and its words and its digest (empty without words)."""
+    raw = text.encode("utf-8", "surrogatepass")
+    data = np.frombuffer(raw, np.uint8)
     starts, begins = cuts(data, window)
-    ends = np.append(starts[1:], len(data))
+    ends = np.append(starts[1:], len(data))[: len(starts)]
     counts = np.diff(np.append(np.searchsorted(begins, starts), len(begins)))
-    return data, starts[: len(ends)], ends[: len(starts)], counts
+    digests = [xxhash.xxh3_128_digest(raw[s:e]) if n else b"" for s, e, n in zip(starts.tolist(), ends.tolist(), counts.tolist())]
+    return raw, starts, ends, counts, digests
 
 
 def chunk_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(id, seq, digest, check)``: one row a chunk with words, its digest being 96 bits in two numbers."""
-    schema = pa.schema([("id", pa.int64()), ("seq", pa.int32()), ("digest", pa.int64()), ("check", pa.int32())])
+    """``(id, digest, check)``: a row for each different chunk of a text, the digest being 96 bits in two numbers."""
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("check", pa.int32())])
 
     def run(batches):
         for batch in ragged.sliced(batches):
-            ids, seqs, digests = [], [], []
-            for doc_id, text in zip(batch.column("id").to_pylist(), ragged.strings(ragged.texts(batch.column("text")))):
-                data, starts, ends, counts = _chunks(text, window)
-                view = memoryview(data)
-                full = np.flatnonzero(counts)
-                digests += [xxhash.xxh3_128_digest(view[s:e]) for s, e in zip(starts[full].tolist(), ends[full].tolist())]
-                ids.append(np.full(len(full), doc_id))
-                seqs.append(full)
-            both = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 4)
-            yield ragged.table(schema, [np.concatenate(ids), np.concatenate(seqs).astype(np.int32), both[:, :2].copy().view(np.int64).ravel(), both[:, 2]])
+            strings = ragged.strings(ragged.texts(batch.column("text")))
+            found = [dict.fromkeys(filter(None, _chunks(text, window)[-1])) for text in strings]
+            both = np.frombuffer(b"".join(b"".join(d) for d in found), np.int32).reshape(-1, 4)
+            ids = np.repeat(np.asarray(batch.column("id")), [len(d) for d in found])
+            yield ragged.table(schema, [ids, both[:, :2].copy().view(np.int64).ravel(), both[:, 2]])
 
-    return docs.mapInArrow(run, "id long, seq int, digest long, check int")
+    return docs.mapInArrow(run, "id long, digest long, check int")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(id, seqs, firsts)``: of each document with repeated chunks their places and, for each, the
-    document that holds the first. The list of a document is no longer than its chunks.
+    """``(id, digests, firsts)``: of each document the chunks that an earlier document has too and, for each,
+    the first such document. The lists of a document are no longer than its chunks.
 
     Chunks are counted before and after the shuffle; only the digest joins them again, and many rows of
     one digest may be split by adaptive execution, as the other side has one row a digest.
     """
     chunks = chunk_table(docs, window)
-    place = F.struct("id", "seq")
-    first = chunks.groupBy("digest", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where("first <> last").drop("last")
-    later = chunks.join(first, ["digest", "check"]).where(place > F.col("first"))
-    return later.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("seq", F.col("first.id").alias("first")))).alias("found")).select(
-        "id", F.col("found.seq").alias("seqs"), F.col("found.first").alias("firsts"))
+    key = ["digest", "check"]
+    first = chunks.groupBy(*key).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = chunks.join(first, key).where("id > first")
+    return later.groupBy("id").agg(F.collect_list(F.struct("digest", "first")).alias("found")).select(
+        "id", F.col("found.digest").alias("digests"), F.col("found.first").alias("firsts"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, min_words: int = MIN_WORDS) -> DataFrame:
@@ -113,28 +107,32 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, min_words: int = MIN_W
 
     The first copy, by doc_id and place in the text, stays; later ones go if a run of them has at least
     ``min_words`` words, within a document too. Null texts stay null, empty ones and texts without words
-    empty or as they are. Rows that repeat a doc_id are one document: they keep and lose the same chunks.
-    A row without doc_id is left as it is. Columns of these names are replaced; an empty table stays so.
+    empty or as they are. Rows that repeat a doc_id are one document: no chunk of one is a repeat of the
+    other. A row without doc_id is no document's copy; only what it repeats itself goes. Columns of these
+    names are replaced; an empty table stays so.
     """
     added = ["clean_text", "n_chunks", "n_removed", "removed_words", "removed_spans", "first_docs"]
-    docs = docs.drop(*added)
+    docs = docs.drop(*added, "_digests", "_firsts", "_clean")
     known = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).where("id is not null and text is not null")
-    found = written(repeats(known, window).withColumnsRenamed({"id": "doc_id"}), "repeats")
-    schema = pa.schema([("text", pa.string()), ("n_chunks", pa.int32()), ("n_removed", pa.int32()), ("removed_words", pa.int32()),
-                        ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("first_docs", pa.list_(pa.int64()))])
-
-    def clean(text: str, seqs, firsts):
-        data, starts, ends, counts = _chunks(text, window)
-        repeated = np.zeros(len(starts), bool)
-        places = np.array(seqs or [], np.int64)
-        repeated[places[places < len(starts)]] = True  # rows that share a doc_id may differ in length
+    found = written(repeats(known, window).withColumnsRenamed({"id": "doc_id", "digests": "_digests", "firsts": "_firsts"}), "repeats")
+    fields = [pa.field("text", pa.string()), pa.field("n_chunks", pa.int32()), pa.field("n_removed", pa.int32()), pa.field("removed_words", pa.int32()),
+              pa.field("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), pa.field("first_docs", pa.list_(pa.int64()))]
+
+    def clean(doc_id, text: str, elsewhere, firsts):
+        raw, starts, ends, counts, digests = _chunks(text, window)
+        origin = dict(zip(elsewhere or [], firsts or []))
+        origins, seen = [], set()  # of each chunk: the document of its first copy, None where this is the first
+        for digest in digests:
+            first = origin.get(int.from_bytes(digest[:8], "little", signed=True)) if digest else None
+            origins.append((doc_id if first is None else first, ) if digest and (first is not None or digest in seen) else None)
+            seen.add(digest)
+        repeated = np.array([o is not None for o in origins], bool)
         edges = np.flatnonzero(np.diff(np.concatenate([[False], repeated, [False]]).astype(np.int8)))
         sizes = np.append(0, np.cumsum(counts))
         runs = [(b, e) for b, e in zip(edges[::2], edges[1::2]) if sizes[e] - sizes[b] >= min_words]
         if not runs:
             return text, len(starts), 0, 0, [], []
-        raw, keep, spans, gone, at, chars = data.tobytes(), [], [], set(), 0, 0
-        origin = dict(zip(seqs, firsts))
+        keep, spans, gone, at, chars = [], [], set(), 0, 0
         for b, e in runs:
             begin, end = int(starts[b]), int(ends[e - 1])
             kept = raw[at:begin]
@@ -142,21 +140,18 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, min_words: int = MIN_W
             first_char = chars + len(kept.decode("utf-8", "surrogatepass"))
             chars = first_char + len(raw[begin:end].decode("utf-8", "surrogatepass"))
             spans.append({"begin": first_char, "end": chars})
-            gone.update(origin[s] for s in range(b, e) if s in origin)
+            gone.update(o[0] for o in origins[b:e] if o[0] is not None)
             at = end
         keep.append(raw[at:])
         return b"".join(keep).decode("utf-8", "surrogatepass"), len(starts), sum(e - b for b, e in runs), int(sum(sizes[e] - sizes[b] for b, e in runs)), spans, sorted(gone)
 
     @F.arrow_udf("struct<text:string,n_chunks:int,n_removed:int,removed_words:int,spans:array<struct<begin:int,end:int>>,first_docs:array<long>>")
-    def cleaned(text: pa.Array, seqs: pa.Array, firsts: pa.Array) -> pa.Array:
-        rows = [clean(t, s, f) if t is not None else (None, 0, 0, 0, [], []) for t, s, f in zip(text.to_pylist(), seqs.to_pylist(), firsts.to_pylist())]
-        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], fields=list(schema))
+    def cleaned(doc_id: pa.Array, text: pa.Array, elsewhere: pa.Array, firsts: pa.Array) -> pa.Array:
+        columns = zip(*(c.to_pylist() for c in (doc_id, text, elsewhere, firsts)))
+        rows = [clean(i, t, d, f) if t is not None else (None, 0, 0, 0, [], []) for i, t, d, f in columns]
+        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, fields)], fields=fields)
 
-    joined = docs.join(found.withColumnsRenamed({"seqs": "_seqs", "firsts": "_firsts"}), "doc_id", "left")
-    joined = joined.withColumn("_clean", cleaned(F.col("text").cast("string"), F.col("_seqs"), F.col("_firsts")))
+    joined = docs.join(found, "doc_id", "left")
+    joined = joined.withColumn("_clean", cleaned(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("_digests"), F.col("_firsts")))
     return joined.select(*docs.columns, F.col("_clean.text").alias("clean_text"), "_clean.n_chunks", "_clean.n_removed",
                          "_clean.removed_words", F.col("_clean.spans").alias("removed_spans"), "_clean.first_docs")
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm import ragged
-from gaugeline.llm.tables import bucketed, components, written
+from gaugeline.llm.tables import bucketed, components, discard, written
 
 COORDINATES, BAND_ROWS = 240, 6
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -260,26 +260,29 @@ def _linked(classed: DataFrame, members: DataFrame, texts: DataFrame, words: int
     links = classed.where("id <> text_id").select(F.col("id").alias("a"), F.col("text_id").alias("b")).distinct()
     # All members of a bucket with its hub; two members of a bucket are always of one hub's family.
     hubs = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("hub"))
-    pairs = written(members.join(hubs, "key").where("id <> hub").select("id", "hub").distinct(), "pairs")
-    compared = written(_compared(pairs, texts, words, weight), "compared")
+    used: list[str] = []
+    pairs = written(members.join(hubs, "key").where("id <> hub").select("id", "hub").distinct(), "pairs", used)
+    compared = written(_compared(pairs, texts, words, weight), "compared", used)
     links = links.unionByName(_links_of(compared, similarity))
     for turn in range(1, PIVOT_ROUNDS):
         found = components(links)
         states = members.join(found.withColumnRenamed("node", "id"), "id", "left")
-        states = written(states.select("key", "id", F.coalesce("component", "id").alias("component")), "states")
+        states = written(states.select("key", "id", F.coalesce("component", "id").alias("component")), "states", used)
         # What is not in the component with most members of its bucket meets a pivot of its own kind.
         sizes = states.groupBy("key", "component").agg(F.count("*").alias("n"))
         main = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component"))["component"].alias("main")).where("parts > 2")
         rest = states.join(main.select("key", "main"), "key").where("component <> main")
         pivots = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "component")).alias("p"))
         pairs = rest.join(pivots, "key").where("component <> p.component").select("id", F.col("p.id").alias("hub")).distinct()
-        more = _links_of(_compared(written(pairs, "pairs"), texts, words, weight), similarity)
+        more = _links_of(_compared(written(pairs, "pairs", used), texts, words, weight), similarity)
         links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     found = components(links)
     families = compared.withColumn("size", F.col("shared") + F.col("missing")).select("hub", "id", "size", "missing", "added", "bits")
     none = F.lit(0).cast("long")
     centres = families.select("hub", F.col("hub").alias("id"), "size", none.alias("missing"), none.alias("added"), F.lit(bytes(BITMAP)).alias("bits")).distinct()
     families = families.unionByName(centres).join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    pairs = written(_possible(families, similarity).distinct(), "pairs")
+    pairs = written(_possible(families, similarity).distinct(), "pairs", used)
     more = _links_of(_compared(pairs, texts, words, weight), similarity)
-    return written(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "links")
+    links = written(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "links")
+    discard(links.sparkSession, used)
+    return links

@@ -28,7 +28,7 @@ def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = chunk_dedup.remove_repeats(documents(spark, folder))
+    found = chunk_dedup.remove_repeats(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", "n_chunks", "n_removed", "removed_words", "removed_spans", "first_docs",
                         F.sha2("clean_text", 256).alias("clean_sha256"))
 

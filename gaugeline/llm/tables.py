@@ -8,17 +8,27 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline import storage
 from gaugeline.session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again: cuts the lineage, survives lost
+    executors. The path is added to ``paths``, for :func:`discard`."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing reads any more."""
+    while paths:
+        storage.delete(spark, paths.pop())
+
+
 @contextlib.contextmanager
 def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     """``df`` written in buckets by ``key``, so that joins on it do not shuffle it again. The table is
@@ -32,6 +42,7 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        storage.delete(spark, path)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,14 +60,16 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     """
     edges = written(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull()).distinct(), name)
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull()).distinct(), name, old := [])
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = written(both.where("v >= u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), name)
+        large = written(both.where("v >= u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), name, old)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
+        edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name, new := [])
+        discard(edges.sparkSession, old)
+        old = new
         # Every smallest node has a link with itself, so one link a node means that all are stars.
         if edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             break

@@ -181,8 +181,8 @@ def test_any_passage_of_51_words_is_caught():
         a, b = (f"{draw(30)} {passage} {draw(30)}" for _ in range(2))
         sides = []
         for text in (a, b):
-            data, starts, ends, counts = chunk_dedup._chunks(text, chunk_dedup.WINDOW)
-            sides.append([(bytes(data[s:e]), n) for s, e, n in zip(starts, ends, counts)])
+            raw, starts, ends, counts, _ = chunk_dedup._chunks(text, chunk_dedup.WINDOW)
+            sides.append([(raw[s:e], n) for s, e, n in zip(starts, ends, counts)])
         known, best, run = {c for c, _ in sides[0]}, 0, 0
         for chunk, n in sides[1]:
             run = run + n if chunk in known else 0

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline import fixed
+from gaugeline import fixed, storage
 from gaugeline.operators import filtering
 from gaugeline.operators.hierarchy import Plant
 from gaugeline.plans import history
@@ -55,14 +55,15 @@ HIERARCHY_LAYOUT = {"partition_by": fixed.HIERARCHY, "sort_by": ("EventTime",)}
 DATE_LAYOUT = {"partition_by": ("EventDate",), "sort_by": ("Tag", "EventTime")}
 FLAT_LAYOUT = {"partition_by": ("eventDate",), "sort_by": ("displayName", "eventTime")}
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
 def _store_once(spark: SparkSession, folder: str, name: str, build, layout: dict) -> DataFrame:
-    """The table, written to the scratch folder the first time a session asks for it."""
+    """The table, written to the scratch folder when a session first asks for it, and again when the
+    events that it is made from have changed since."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (spark.sparkContext.applicationId, folder, name, storage.fingerprint(spark, f"{folder}/events.parquet"))
     with _lock:
         if key not in _stored:
             path = scratch_path(spark, name)
@@ -71,6 +72,13 @@ def _store_once(spark: SparkSession, folder: str, name: str, build, layout: dict
     return read_table(spark, _stored[key])
 
 
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what :func:`_store_once` has written for this session."""
+    with _lock:
+        for key in [k for k in _stored if k[0] == spark.sparkContext.applicationId]:
+            storage.delete(spark, _stored.pop(key))
+
+
 def stored_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
     return _store_once(spark, folder, "hierarchy", hierarchy, HIERARCHY_LAYOUT)
 

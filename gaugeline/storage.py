@@ -33,6 +33,13 @@ def file_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files, bytes and the latest change below a path: tells whether a table is still the same."""
+    hadoop_path, fs = _path(spark, path)
+    files = [s for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return len(files), sum(s.getLen() for s in files), max((s.getModificationTime() for s in files), default=0)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)

@@ -138,10 +138,16 @@ def byte_characters() -> list[str]:
     return [chr(256 + others.index(b)) if b in others else chr(b) for b in range(256)]
 
 
-#: Marks that end words, none of them a letter, digit, blank or apostrophe.
-MARKS = ".,;:!?"
 #: Letters from here on take the longer way: which they are depends on the version of Unicode.
 _LATIN = "\u0250"
+#: A letter below that and the marks after it, which never share a token with it. Not so U+0130, whose
+#: lower case ends in a mark.
+_MARKED = "([a-zA-ZÀ-ÖØ-öø-\u012f\u0131-\u024f])([.,;:!?]+)"
+
+
+def apart(column: pa.Array, separator: str) -> pa.Array:
+    """Texts with ``separator`` between words and marks after them, so that a word is one string with any."""
+    return pc.replace_substring_regex(column, _MARKED, rf"\1{separator}\2")
 
 
 class Known:
@@ -154,7 +160,7 @@ class Known:
     goes to the tokenizer's model as it is, in byte characters, unless offsets are wanted.
     """
 
-    most = 400_000
+    most = 500_000
 
     def __init__(self, tokenizer, with_offsets: bool = False, lower: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -189,38 +195,18 @@ class Known:
             ids[i] = e.ids
         return ids, None
 
-    def _add(self, strings: list[str], sizes: np.ndarray, ids: np.ndarray, offsets: np.ndarray | None) -> None:
-        self._places.update(zip(strings, range(len(self._places), len(self._places) + len(strings))))
-        self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, ids])
-        if offsets is not None:
-            self.offsets = np.concatenate([self.offsets, offsets])
-
     def places(self, strings: list[str]) -> np.ndarray:
         """The place of each of some distinct strings. Places hold until the next call."""
         if len(self._places) > self.most:
             self._clear()
         new = [s for s in strings if s not in self._places]
         if new:
-            # A letter and a mark after it never share a token: word and marks are looked up apart.
-            heads = [s.rstrip(MARKS) for s in new]
-            cut = [h if len(h) < len(s) and h and h[-1] < _LATIN and h[-1].lower()[-1].isalpha() else "" for h, s in zip(heads, new)]
-            tails = [s[len(h):] if h else "" for h, s in zip(cut, new)]
-            atoms = dict.fromkeys([*(h or s for h, s in zip(cut, new)), *filter(None, tails)])
-            atoms = [a for a in atoms if a not in self._places]
-            ids, offsets = self._encoded(atoms)
+            ids, offsets = self._encoded(new)
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))
-            self._add(atoms, sizes, flat, offsets)
-            both = [(s, h, t) for s, h, t in zip(new, cut, tails) if h]
-            if both:
-                whole, own_heads, own_tails = zip(*both)
-                at = np.array([(self._places[h], self._places[t]) for h, t in zip(own_heads, own_tails)]).ravel()
-                begins, sizes = self.begins[at], self.sizes[at]
-                if self.with_offsets:
-                    shift = np.zeros(len(at), np.int32)
-                    shift[1::2] = np.fromiter(map(len, own_heads), np.int32, len(own_heads))
-                    offsets = take(self.offsets, begins, sizes) + np.repeat(shift, sizes)[:, None]
-                self._add(list(whole), sizes.reshape(-1, 2).sum(axis=1), take(self.ids, begins, sizes), offsets)
+            self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
+            self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+            if offsets is not None:
+                self.offsets = np.concatenate([self.offsets, offsets])
         return np.fromiter(map(self._places.__getitem__, strings), np.int64, len(strings))

@@ -186,6 +186,9 @@ class _WordIds:
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
+        column = ragged.apart(ragged.texts(column), " ")
+        # Case may go first where no mark could make one character of a letter in one case only.
+        column = pc.if_else(pc.match_substring_regex(column, r"\p{M}"), column, pc.ascii_lower(column))
         codes, vocabulary, offsets = ragged.words(column)
         found = self.known.places(ragged.strings(vocabulary))[codes]
         sizes = self.known.sizes[found]
@@ -209,7 +212,7 @@ def files(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         def flush():
             return ragged.table(schema, [[shard], [part], [held], [to_file(pa.concat_arrays(doc_ids), np.concatenate(sizes), np.concatenate(ids))]])
 
-        for batch in ragged.sliced(batches):
+        for batch in ragged.sliced(batches, limit=3 * ragged.SLICE_BYTES):
             flat, counts = encode(batch.column("text"))
             ends = np.cumsum(counts + 1) - 1
             with_end = np.full(len(flat) + len(counts), end_id, np.uint32)

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm import ragged
 
-#: A space before white space or the end: there the text must not be cut.
-_UNSAFE = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)"
+_CUT = "\x00"
+#: A space before white space or the end, where a text must not be cut; and the character that marks cuts.
+_UNSAFE = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)|\x00"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,8 +65,8 @@ def load(path: str, pattern: str):
 
 
 class _Encoder:
-    """Encodes texts, each distinct segment once. A segment is a space and what follows up to the next
-    space: before a single space the pattern always begins a new match, so segments may be encoded apart."""
+    """Encodes texts, each distinct segment once. Texts are cut before single spaces and between a word and
+    the marks after it: there the pattern always begins a new match, so segments may be encoded apart."""
 
     def __init__(self, tokenizer, with_offsets: bool = True):
         self.tokenizer, self.known = tokenizer, ragged.Known(tokenizer, with_offsets)
@@ -74,14 +75,10 @@ class _Encoder:
         """Ids of each text, and the characters ``[begin, end)`` that each id comes from."""
         column, known = ragged.texts(column), self.known
         unsafe = np.asarray(pc.match_substring_regex(column, _UNSAFE))
-        lists = pc.split_pattern(column, " ")
+        lists = pc.split_pattern(pc.replace_substring(ragged.apart(column, _CUT), " ", f"{_CUT} "), _CUT)
         coded = lists.flatten().dictionary_encode()
-        starts = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-        later = np.ones(len(coded), np.int64)
-        later[starts[:-1]] = 0
-        used, keys = np.unique(np.asarray(coded.indices).astype(np.int64) * 2 + later, return_inverse=True)
-        pieces = ragged.strings(coded.dictionary.take(pa.array(used // 2)))
-        segments = [" " + p if k % 2 else p for p, k in zip(pieces, used)]
+        keys, starts = np.asarray(coded.indices), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        segments = ragged.strings(coded.dictionary)
         places = known.places(segments)
         widths = np.fromiter(map(len, segments), np.int64, len(segments))
         for row, direct in enumerate(unsafe):
@@ -115,7 +112,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
     def run(batches):
         encoder = _encoder(path, pattern, with_offsets)
-        for batch in ragged.sliced(batches):
+        for batch in ragged.sliced(batches, limit=3 * ragged.SLICE_BYTES):
             ids, spans = zip(*encoder(batch.column("text")))
             offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
             lists = lambda flat: pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

@@ -112,7 +112,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
     def run(batches):
         encoder = _encoder(path, pattern, with_offsets)
-        for batch in ragged.sliced(batches, limit=3 * ragged.SLICE_BYTES):
+        for batch in ragged.sliced(batches, limit=2 * ragged.SLICE_BYTES):
             ids, spans = zip(*encoder(batch.column("text")))
             offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
             lists = lambda flat: pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))

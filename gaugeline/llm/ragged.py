@@ -37,6 +37,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -160,9 +161,8 @@ class Known:
     goes to the tokenizer's model as it is, in byte characters, unless offsets are wanted.
     """
 
-    most = 500_000
-
-    def __init__(self, tokenizer, with_offsets: bool = False, lower: bool = False):
+    def __init__(self, tokenizer, with_offsets: bool = False, lower: bool = False, most: int = 150_000):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer, self.with_offsets, self.lower = tokenizer, with_offsets, lower
         self.bytes = str.maketrans(dict(enumerate(byte_characters())))

@@ -182,7 +182,7 @@ class _WordIds:
     encoded once."""
 
     def __init__(self, tokenizer):
-        self.known = ragged.Known(tokenizer, lower=True)
+        self.known = ragged.Known(tokenizer, lower=True, most=500_000)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""

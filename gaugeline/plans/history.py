@@ -9,20 +9,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeline import schemas
 from gaugeline.functions.numbers import numeric_value
 from gaugeline.functions.times import event_date, parse_iso
 from gaugeline.operators import filtering, hierarchy, parsing, routing
 from gaugeline.operators.hierarchy import Plant, Times
 
 
-#: Columns that the hierarchy table must get.
-HIERARCHY_SCHEMA = T.StructType([
-    *(T.StructField(n, T.StringType()) for n in ("Enterprise", "Site", "ProductionLine", "Equipment", "Tag", "RawData", "StatusCode")),
-    T.StructField("EventTime", T.TimestampType()),
-    T.StructField("EventDate", T.DateType()),
-])
-
-
 class Source(Protocol):
     def read_stream(self, spark: SparkSession) -> DataFrame: ...
 
@@ -114,7 +107,7 @@ def hierarchy_job(
         lambda df: filtering.allow_node_ids(routing.readings(df), ids),
         lambda df: hierarchy.to_hierarchy(hierarchy.with_tag(df, plant), plant, as_of, keep, True, times),
     ]
-    return run_stream(spark, source, steps, destination, HIERARCHY_SCHEMA, checkpoint=checkpoint, trigger=trigger, name=name)
+    return run_stream(spark, source, steps, destination, schemas.HIERARCHY_TABLE, checkpoint=checkpoint, trigger=trigger, name=name)
 
 
 def require_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm import ragged
 
 #: Labelled documents of each class that the model is fitted on, at most.
-SAMPLE = 2500
+SAMPLE = 2000
 #: Hashed features: 2 ** this many weights.
 BITS = 18
 PREFIXES = (4, 5)

@@ -5,13 +5,15 @@ document is the sum of the log-probabilities of all its words, each given its ne
 
 A word's probability is that of its class, which the network predicts from its window, times the word's
 share of its class in the corpus, so a step costs as many outputs as there are classes. The vocabulary
-is the most frequent words; all others fall into buckets by a hash. Words are counted over the whole
-corpus. Training sees every document: in each round all partitions start from the same network, train
+is the words above a count that follows the size of the corpus; all others fall into buckets by a hash,
+and have their share of the bucket by their own counts, which stay a table. Words are counted over the
+whole corpus. Training sees every document: in each round all partitions start from the same network, train
 on masked places of their documents, each document in one of the rounds, and their networks are averaged by words trained on.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm import ragged
-from gaugeline.llm.tables import written
+from gaugeline.llm.tables import discard, written
 
 VOCABULARY, BUCKETS, CLASSES, SIDE, DIMENSION = 8192, 256, 64, 3, 24
+#: Words that occur a so-manieth of the square root of all words are in the vocabulary, VOCABULARY words at least.
+LEAST = 40
 #: Rounds of training, the share of a text's places masked, places of a step, and the step's size.
 ROUNDS, MASKED, BATCH, RATE = 2, 0.15, 2048, 0.25
 #: Networks are summed as whole numbers in these units, so that the order of summation does not matter.
@@ -40,24 +44,38 @@ def class_of(ids: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Words by rank, and the log of each id's share of its class (known words, then buckets)."""
+    """Words by rank; of each id (known words, then buckets) how often it occurs, and once more; and
+    ``rest(hash, n)``, a table of how often each other word occurs, by its hash."""
 
     words: list[str]
-    log_share: np.ndarray
+    n: np.ndarray
+    rest: DataFrame | None = None
 
     def __post_init__(self):
+        own = class_of(np.arange(self.size))
+        self.log_share = np.log(self.n / np.bincount(own, self.n, CLASSES)[own]).astype(np.float32)
         self._words = pa.array(self.words, pa.large_string())
 
+    def __getstate__(self):
+        return {**self.__dict__, "rest": None}  # tasks have no tables
+
     @property
     def size(self) -> int:
-        return VOCABULARY + BUCKETS
+        return len(self.n)
 
-    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words of a column of texts, and where each text's begin."""
+    def coded(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of all words of a column of texts, where each text's begin, and of each code the id and
+        the hash of the word."""
         codes, vocabulary, offsets = ragged.words(column)
-        buckets = VOCABULARY + (ragged.hashed(vocabulary) % np.uint64(BUCKETS)).astype(np.int64)
+        hashes = ragged.hashed(vocabulary)
+        buckets = self.size - BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
         known = np.asarray(pc.fill_null(pc.index_in(vocabulary, value_set=self._words), -1)).astype(np.int64)
-        return np.where(known >= 0, known, buckets)[codes] if len(codes) else codes, offsets
+        return codes, offsets, np.where(known >= 0, known, buckets), hashes
+
+    def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of a column of texts, and where each text's begin."""
+        codes, offsets, ids, _ = self.coded(column)
+        return ids[codes] if len(codes) else codes, offsets
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -73,56 +91,61 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def lexicon(docs: DataFrame) -> Lexicon:
-    """The vocabulary and the shares of classes, from all texts. Only the most frequent words and a count
-    for each bucket come to the driver."""
-    counts = written(word_counts(docs), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY)
-    rows = top.collect()  # at most VOCABULARY
-    words = [r["word"] for r in rows]
-    schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
+    """The vocabulary and the counts of all words, from all texts. Only the vocabulary and a count for each
+    bucket come to the driver.
+
+    In the vocabulary are words that occur a ``LEAST``-th of the square root of all words or more often,
+    and ``VOCABULARY`` words at least: it grows with the corpus, but not above ``LEAST`` times that root."""
+    counts = written(word_counts(docs), "words", old := [])
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    size = max(VOCABULARY, counts.where(F.col("n") >= max(1, math.isqrt(total) // LEAST)).count())
+    top = counts.orderBy(F.desc("n"), "word").limit(size)
+    rows = top.collect()  # at most LEAST times the root of all words, or VOCABULARY
+    schema = pa.schema([("hash", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            buckets = (ragged.hashed(batch.column("word")) % np.uint64(BUCKETS)).astype(np.int64)
-            sums = np.bincount(buckets, np.asarray(batch.column("n")).astype(float), BUCKETS).astype(np.int64)
-            yield ragged.table(schema, [np.arange(BUCKETS, dtype=np.int32), sums])
+            hashes = ragged.hashed(batch.column("word"))
+            yield ragged.table(schema, [hashes.view(np.int64), (hashes % np.uint64(BUCKETS)).astype(np.int32), batch.column("n")])
 
-    rest = counts.join(F.broadcast(top.select("word")), "word", "left_anti").mapInArrow(run, "bucket int, n long")
-    size = VOCABULARY + BUCKETS
-    n = np.ones(size)  # each id once more than seen
+    known = F.broadcast(docs.sparkSession.createDataFrame([(r["word"],) for r in rows], "word string"))
+    rest = written(counts.join(known, "word", "left_anti").mapInArrow(run, "hash long, bucket int, n long"), "rest")
+    discard(docs.sparkSession, old)
+    n = np.ones(size + BUCKETS)  # each id once more than seen
     n[: len(rows)] += [r["n"] for r in rows]
     for row in rest.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # BUCKETS rows
-        n[VOCABULARY + row["bucket"]] += row["n"]
-    own = class_of(np.arange(size))
-    return Lexicon(words, np.log(n / np.bincount(own, n, CLASSES)[own]).astype(np.float32))
+        n[size + row["bucket"]] += row["n"]
+    return Lexicon([r["word"] for r in rows], n, rest)
 
 
 class Network:
     """Window embeddings, weighted by place, summed through tanh into the scores of classes."""
 
-    SHAPES = {"e": (VOCABULARY + BUCKETS + 1, DIMENSION), "p": (2 * SIDE, DIMENSION), "b": (DIMENSION,), "w": (DIMENSION, CLASSES), "c": (CLASSES,)}
-
-    def __init__(self, flat: np.ndarray):
-        at = 0
-        for name, shape in self.SHAPES.items():
+    def __init__(self, flat: np.ndarray, n_ids: int = VOCABULARY + BUCKETS):
+        self.n_ids, at = n_ids, 0
+        for name, shape in self.shapes(n_ids).items():
             size = int(np.prod(shape))
             setattr(self, name, flat[at:at + size].reshape(shape).astype(np.float32))
             at += size
 
     @classmethod
-    def start(cls, seed: int = 1) -> Network:
+    def start(cls, seed: int = 1, n_ids: int = VOCABULARY + BUCKETS) -> Network:
         rng = np.random.default_rng(seed)
-        made = cls(rng.normal(0, 0.1, cls.size()))
+        made = cls(rng.normal(0, 0.1, cls.size(n_ids)), n_ids)
         made.p = np.ones_like(made.p)
         made.b[:], made.c[:] = 0, 0
         return made
 
+    @staticmethod
+    def shapes(n_ids: int) -> dict[str, tuple]:
+        return {"e": (n_ids + 1, DIMENSION), "p": (2 * SIDE, DIMENSION), "b": (DIMENSION,), "w": (DIMENSION, CLASSES), "c": (CLASSES,)}
+
     @classmethod
-    def size(cls) -> int:
-        return sum(int(np.prod(s)) for s in cls.SHAPES.values())
+    def size(cls, n_ids: int) -> int:
+        return sum(int(np.prod(s)) for s in cls.shapes(n_ids).values())
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([getattr(self, n).ravel() for n in self.SHAPES])
+        return np.concatenate([getattr(self, n).ravel() for n in self.shapes(self.n_ids)])
 
     def forward(self, around: np.ndarray):
         """Class log-probabilities of windows of ids, and what training needs of the way there."""
@@ -154,8 +177,8 @@ class Network:
         self.p -= place
 
 
-#: The id of places beyond the ends of a text.
-EDGE = VOCABULARY + BUCKETS
+#: The id of places beyond the ends of a text: the last embedding, however many there are.
+EDGE = -1
 
 
 def around(ids: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -176,7 +199,7 @@ def _trained(docs: DataFrame, lexicon_: Lexicon, network: Network, round_: int,
     edges = np.linspace(0, size, SHARDS + 1).astype(int)
 
     def train(batches):
-        own, seen, rows = Network(start), 0, 0
+        own, seen, rows = Network(start, lexicon_.size), 0, 0
         for batch in ragged.sliced(batches):
             turn = np.flatnonzero((np.arange(batch.num_rows) + rows) % rounds == round_)
             rows += batch.num_rows
@@ -209,12 +232,13 @@ def _trained(docs: DataFrame, lexicon_: Lexicon, network: Network, round_: int,
     parts = docs.select(F.col("text").cast("string")).mapInArrow(train, columns)
     summed = parts.repartition(SHARDS, "shard").mapInArrow(total, columns)
     rows = {r["shard"]: np.frombuffer(r["weights"], np.float64) * UNIT for r in summed.collect()}  # one network
-    return Network(np.concatenate([rows[s] for s in range(SHARDS)])) if rows else network
+    return Network(np.concatenate([rows[s] for s in range(SHARDS)]), lexicon_.size) if rows else network
 
 
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Lexicon, Network]:
     """The vocabulary and network of a corpus. Without any words the network is the untrained one."""
-    words, network = lexicon(docs), Network.start()
+    words = lexicon(docs)
+    network = Network.start(n_ids=words.size)
     for round_ in range(rounds):
         network = _trained(docs, words, network, round_, rounds)
     return words, network
@@ -234,18 +258,36 @@ def pseudo_likelihood(network: Network, lexicon_: Lexicon, ids: np.ndarray, offs
 def score(docs: DataFrame, lexicon_: Lexicon, network: Network) -> DataFrame:
     """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` of each row of ``docs(doc_id, text)``.
 
-    Null and empty texts have no words, a sum of 0 and no mean. Equal rows score alike; other columns
-    are ignored; an empty table gives none.
+    A word outside the vocabulary has its own share of its bucket, from the counts of all words. One that
+    the lexicon never saw has that of a word seen once. Null and empty texts have no words, a sum of 0
+    and no mean. Equal rows score alike; other columns are ignored; an empty table gives none.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64()), ("mean_log_likelihood", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.float64()), ("hashes", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in ragged.sliced(batches):
-            ids, offsets = lexicon_.ids(batch.column("text"))
-            sums = np.append(0, np.cumsum(pseudo_likelihood(network, lexicon_, ids, offsets)))
+            codes, offsets, of_code, hashes = lexicon_.coded(batch.column("text"))
+            ids = of_code[codes] if len(codes) else codes
+            logs = pseudo_likelihood(network, lexicon_, ids, offsets)
+            # Words outside the vocabulary: here by the size of their bucket, their own counts follow.
+            outside = np.flatnonzero(ids >= lexicon_.size - BUCKETS)
+            logs[outside] -= np.log(lexicon_.n[ids[outside]])
+            sums = np.append(0, np.cumsum(logs))
             n, total = np.diff(offsets), sums[offsets[1:]] - sums[offsets[:-1]]
-            mean = [t / k if k else None for t, k in zip(total, n)]
-            yield ragged.table(schema, [batch.column("doc_id"), n, total, mean])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+            row = np.searchsorted(offsets, outside, side="right") - 1
+            found, times = np.unique(row * max(len(hashes), 1) + codes[outside], return_counts=True)
+            edges = np.searchsorted(found, np.arange(batch.num_rows + 1) * max(len(hashes), 1)).astype(np.int32)
+            own = hashes[found % max(len(hashes), 1)].view(np.int64)
+            lists = [pa.ListArray.from_arrays(edges, pa.array(v)) for v in (own, times.astype(np.int32))]
+            yield ragged.table(schema, [batch.column("doc_id"), n, total, *lists])
+
+    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, n_tokens long, known double, hashes array<long>, times array<int>")
+    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
+    words = scored.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("w")).select("row", F.col("w.hashes").alias("hash"), "w.times")
+    # The log of 1 is 0, so words seen once need no row. Whole numbers sum up alike in any order.
+    counts = lexicon_.rest.where("n > 1").groupBy("hash").agg(F.round(F.log(F.sum("n")) / UNIT).cast("long").alias("units"))
+    sums = words.join(counts, "hash").groupBy("row").agg(F.sum(F.col("times") * F.col("units")).alias("units"))
+    total = F.col("known") + F.coalesce(F.col("units") * UNIT, F.lit(0.0))
+    return scored.join(sums, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))

@@ -1,10 +1,12 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -224,6 +226,27 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert pseudo_likelihood.score(empty, *pseudo_likelihood.fit(empty)).count() == 0
 
 
+def test_pseudo_likelihood_counts_words_outside_the_vocabulary(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "VOCABULARY", 40)
+    monkeypatch.setattr(pseudo_likelihood, "LEAST", 1)
+    rows = [(i, " ".join([*(f"common{j}" for j in range(50)), f"once{i}", "often" if i % 2 else ""])) for i in range(80)]
+    words, network = pseudo_likelihood.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert words.size == 50 + pseudo_likelihood.BUCKETS  # grown beyond 40 words by their counts
+    asked = spark.createDataFrame([(1, "common1 often"), (2, "common1 once3"), (3, "common1 unseen"), (4, "often often")], "doc_id long, text string")
+    found = {i: r[0]["log_likelihood"] for i, r in by_id(pseudo_likelihood.score(asked, words, network)).items()}
+    counts = {"often": 40, "once3": 1, "unseen": 1}
+    for i, text in asked.collect():
+        ids, offsets = words.ids(pa.array([text]))
+        own = sum(math.log(counts[w] / words.n[i]) for w, i in zip(text.split(), ids) if w in counts)
+        assert found[i] == pytest.approx(place_logs(network, words, ids, offsets).sum() + own, abs=1e-4)
+    shares = {r["hash"]: r["n"] for r in words.rest.collect()}
+    assert sorted(shares.values()) == [1] * 80 + [40]
+
+
+def place_logs(network, words, ids, offsets):
+    return pseudo_likelihood.pseudo_likelihood(network, words, ids, offsets)
+
+
 def test_source_schedule(spark, docs, empty):
     rows = source_schedule.taken_words(docs).collect()
     assert len(rows) == len(ROWS)

@@ -3,12 +3,14 @@
 A small network predicts each word from the words on both sides of it, itself masked. The score of a
 document is the sum of the log-probabilities of all its words, each given its neighbours.
 
-A word's probability is that of its class, which the network predicts from its window, times the word's
-share of its class in the corpus, so a step costs as many outputs as there are classes. The vocabulary
+A word's probability is that of its class, which the network predicts from its window, times that of the
+word within its class, which it predicts from the window too: a binary tree over the words of the class
+has an output at each fork, and an output of 0 parts the words by how often they occur. So a step costs
+as many outputs as there are classes and forks above the word, and all words sum up to 1. The vocabulary
 is the words above a count that follows the size of the corpus; all others fall into buckets by a hash,
 and have their share of the bucket by their own counts, which stay a table. Words are counted over the
 whole corpus. Training sees every document: in each round all partitions start from the same network, train
-on masked places of their documents, each document in one of the rounds, and their networks are averaged by words trained on.
+on all places of their documents, each document in one of the rounds, and their networks are averaged by words trained on.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from gaugeline.llm.tables import discard, written
 VOCABULARY, BUCKETS, CLASSES, SIDE, DIMENSION = 8192, 256, 64, 3, 24
 #: Words that occur a so-manieth of the square root of all words are in the vocabulary, VOCABULARY words at least.
 LEAST = 40
-#: Rounds of training, the share of a text's places masked, places of a step, and the step's size.
-ROUNDS, MASKED, BATCH, RATE = 2, 0.15, 2048, 0.25
+#: Rounds of training, places of a step, and the step's size.
+ROUNDS, BATCH, RATE = 2, 2048, 0.25
 #: Networks are summed as whole numbers in these units, so that the order of summation does not matter.
 UNIT = 2.0**-30
 SHARDS = 16
@@ -55,6 +57,29 @@ class Lexicon:
         own = class_of(np.arange(self.size))
         self.log_share = np.log(self.n / np.bincount(own, self.n, CLASSES)[own]).astype(np.float32)
         self._words = pa.array(self.words, pa.large_string())
+        self._plant(own)
+
+    def _plant(self, own: np.ndarray) -> None:
+        """The trees: the forks above each id, whether it lies right (1) or left (-1) of each (0: no more
+        forks), and of each fork the log odds of its right side by counts. Words of a class follow each
+        other by rank and are halved at a fork, which has the number of the first word on its right."""
+        order = np.argsort(own, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(self.size)
+        upto = np.append(0, np.cumsum(self.n[order]))
+        low, high = np.searchsorted(own[order], own), np.searchsorted(own[order], own, side="right")
+        self.odds, forks, sides = np.zeros(self.size, np.float32), [], []
+        while (parted := high - low > 1).any():
+            middle = np.where(parted, (low + high) // 2, 0)
+            right = place >= middle
+            at = middle[parted]
+            self.odds[at] = np.log((upto[high[parted]] - upto[at]) / (upto[at] - upto[low[parted]]))
+            forks.append(middle)
+            sides.append(np.where(parted, np.where(right, 1, -1), 0))
+            low, high = np.where(parted & right, middle, low), np.where(parted & ~right, middle, high)
+        shape = (len(forks), self.size)
+        self.forks = np.array(forks, np.int32).reshape(shape).T.copy()
+        self.sides = np.array(sides, np.int8).reshape(shape).T.copy()
 
     def __getstate__(self):
         return {**self.__dict__, "rest": None}  # tasks have no tables
@@ -119,7 +144,7 @@ def lexicon(docs: DataFrame) -> Lexicon:
 
 
 class Network:
-    """Window embeddings, weighted by place, summed through tanh into the scores of classes."""
+    """Window embeddings, weighted by place, summed through tanh into the scores of classes and of forks."""
 
     def __init__(self, flat: np.ndarray, n_ids: int = VOCABULARY + BUCKETS):
         self.n_ids, at = n_ids, 0
@@ -133,12 +158,12 @@ class Network:
         rng = np.random.default_rng(seed)
         made = cls(rng.normal(0, 0.1, cls.size(n_ids)), n_ids)
         made.p = np.ones_like(made.p)
-        made.b[:], made.c[:] = 0, 0
+        made.b[:], made.c[:], made.v[:] = 0, 0, 0
         return made
 
     @staticmethod
     def shapes(n_ids: int) -> dict[str, tuple]:
-        return {"e": (n_ids + 1, DIMENSION), "p": (2 * SIDE, DIMENSION), "b": (DIMENSION,), "w": (DIMENSION, CLASSES), "c": (CLASSES,)}
+        return {"e": (n_ids + 1, DIMENSION), "p": (2 * SIDE, DIMENSION), "b": (DIMENSION,), "w": (DIMENSION, CLASSES), "c": (CLASSES,), "v": (n_ids, DIMENSION)}
 
     @classmethod
     def size(cls, n_ids: int) -> int:
@@ -155,28 +180,45 @@ class Network:
         scores -= scores.max(axis=1, keepdims=True)
         return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True)), hidden, found
 
-    def step(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+    def within(self, hidden: np.ndarray, ids: np.ndarray, lexicon_: Lexicon):
+        """Scores of the right side at the forks above each id, the sides it takes, the forks and their weights."""
+        forks = lexicon_.forks[ids]
+        weights = self.v[forks]
+        return np.einsum("nfd,nd->nf", weights, hidden) + lexicon_.odds[forks], lexicon_.sides[ids], forks, weights
+
+    def step(self, around: np.ndarray, ids: np.ndarray, lexicon_: Lexicon, rate: float) -> None:
         logs, hidden, found = self.forward(around)
         slope = np.exp(logs)
-        slope[np.arange(len(target)), target] -= 1
+        n = len(ids)
+        slope[np.arange(n), class_of(ids)] -= 1
         slope *= rate
-        before = (slope @ self.w.T) * (1 - hidden**2)
-        n = len(target)
+        back = slope @ self.w.T
+        deep = np.flatnonzero(lexicon_.sides[ids, :1].any(axis=1))  # of classes with more than one word
+        if len(deep):
+            scores, sides, forks, weights = self.within(hidden[deep], ids[deep], lexicon_)
+            fork_slope = (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - (sides > 0)) * (rate * (sides != 0)).astype(np.float32)
+            back[deep] += np.einsum("nf,nfd->nd", fork_slope, weights)
+            _move(self.v, forks, fork_slope[:, :, None] * hidden[deep][:, None, :])
+        before = back * (1 - hidden**2)
         self.w -= hidden.T @ slope / n * 8
         self.c -= slope.sum(axis=0) / n * 8
         place = np.einsum("nkd,nd->kd", found, before) / n
-        by_word = (before[:, None, :] * self.p).reshape(-1, DIMENSION)
         # embeddings are rare: each moves by its own windows, not by their share of the batch
-        ids = around.ravel()
-        order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(ids[order]) > 0))
-        sums = np.add.reduceat(by_word[order], first, axis=0)
-        counts = np.diff(np.append(first, len(ids)))[:, None]
-        self.e[ids[order][first]] -= sums / np.sqrt(counts)
+        _move(self.e, around, before[:, None, :] * self.p)
         self.b -= before.sum(axis=0) / n
         self.p -= place
 
 
+def _move(table: np.ndarray, rows: np.ndarray, slopes: np.ndarray) -> None:
+    """Move each of ``rows`` against the sum of its slopes, by the root of how many they are."""
+    rows = rows.ravel()
+    order = np.argsort(rows, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
+    sums = np.add.reduceat(slopes.reshape(-1, DIMENSION)[order], first, axis=0)
+    counts = np.diff(np.append(first, len(rows)))[:, None]
+    table[rows[order][first]] -= sums / np.sqrt(counts)
+
+
 #: The id of places beyond the ends of a text: the last embedding, however many there are.
 EDGE = -1
 
@@ -205,12 +247,12 @@ def _trained(docs: DataFrame, lexicon_: Lexicon, network: Network, round_: int,
             rows += batch.num_rows
             batch = batch.take(pa.array(turn))
             ids, offsets = lexicon_.ids(batch.column("text"))
-            # masked places follow from the words around them, so any order of tasks masks the same
+            # every place, in an order that follows from the words, so any order of tasks steps alike
             drawn = ragged.mix(ragged.mix(np.arange(len(ids), dtype=np.uint64) + np.uint64(round_ << 40)) + ids.astype(np.uint64))
-            places = np.flatnonzero(drawn < np.uint64(int(MASKED * 2**64)))
+            places = np.argsort(drawn, kind="stable")
             for begin in range(0, len(places), BATCH):
                 chosen = places[begin:begin + BATCH]
-                own.step(around(ids, offsets, chosen), class_of(ids[chosen]), RATE / (1 + round_))
+                own.step(around(ids, offsets, chosen), ids[chosen], lexicon_, RATE / (1 + round_))
             seen += len(places)
         if seen:
             weights = np.rint(own.flat().astype(np.float64) / UNIT).astype(np.int64) * seen
@@ -245,7 +287,8 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Lexicon, Network]:
 
 
 def pseudo_likelihood(network: Network, lexicon_: Lexicon, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The log-probability of each place given the words around it."""
+    """The log-probability of each place's class given the words around it, and of the place's word by
+    the word's share of the class in the corpus: :func:`token_logs` with all forks at 0."""
     out = np.zeros(len(ids))
     for begin in range(0, len(ids), 4 * BATCH):
         places = np.arange(begin, min(begin + 4 * BATCH, len(ids)))
@@ -255,6 +298,21 @@ def pseudo_likelihood(network: Network, lexicon_: Lexicon, ids: np.ndarray, offs
     return out
 
 
+def token_logs(network: Network, lexicon_: Lexicon, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The log-probability of each place's id given the words around it: that of its class, and at each
+    fork within the class that of its side."""
+    out = np.zeros(len(ids))
+    for begin in range(0, len(ids), 4 * BATCH):
+        places = np.arange(begin, min(begin + 4 * BATCH, len(ids)))
+        logs, hidden, _ = network.forward(around(ids, offsets, places))
+        own = ids[places]
+        out[places] = logs[np.arange(len(places)), class_of(own)]
+        deep = np.flatnonzero(lexicon_.sides[own, :1].any(axis=1))
+        scores, sides, _, _ = network.within(hidden[deep], own[deep], lexicon_)
+        out[places[deep]] -= np.where(sides != 0, np.log1p(np.exp(-np.clip(scores * sides, -80, 80))), 0).sum(axis=1)
+    return out
+
+
 def score(docs: DataFrame, lexicon_: Lexicon, network: Network) -> DataFrame:
     """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` of each row of ``docs(doc_id, text)``.
 
@@ -268,7 +326,7 @@ def score(docs: DataFrame, lexicon_: Lexicon, network: Network) -> DataFrame:
         for batch in ragged.sliced(batches):
             codes, offsets, of_code, hashes = lexicon_.coded(batch.column("text"))
             ids = of_code[codes] if len(codes) else codes
-            logs = pseudo_likelihood(network, lexicon_, ids, offsets)
+            logs = token_logs(network, lexicon_, ids, offsets)
             # Words outside the vocabulary: here by the size of their bucket, their own counts follow.
             outside = np.flatnonzero(ids >= lexicon_.size - BUCKETS)
             logs[outside] -= np.log(lexicon_.n[ids[outside]])

@@ -244,7 +244,25 @@ def test_pseudo_likelihood_counts_words_outside_the_vocabulary(spark, monkeypatc
 
 
 def place_logs(network, words, ids, offsets):
-    return pseudo_likelihood.pseudo_likelihood(network, words, ids, offsets)
+    return pseudo_likelihood.token_logs(network, words, ids, offsets)
+
+
+def test_pseudo_likelihood_predicts_words_not_classes(spark):
+    """All ids at a place sum up to 1, forks at 0 give shares, and the window tells words of a class apart."""
+    rng = np.random.default_rng(5)
+    pairs = [" ".join(f"head{k} tail{k}" for k in rng.integers(0, 400, 60)) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string").coalesce(1)
+    words, network = pseudo_likelihood.fit(docs)
+    ids, offsets = words.ids(pa.array(pairs[:20]))
+    every = np.arange(words.size)
+    lone = np.concatenate([[int(ids[0]), int(i), int(ids[2])] for i in every])
+    logs = pseudo_likelihood.token_logs(network, words, lone, np.arange(words.size + 1) * 3)[1::3]
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+    whole = place_logs(network, words, ids, offsets)
+    shares = pseudo_likelihood.pseudo_likelihood(network, words, ids, offsets)
+    assert whole.mean() > shares.mean() + 0.05
+    network.v[:] = 0
+    assert place_logs(network, words, ids, offsets) == pytest.approx(shares, abs=1e-3)
 
 
 def test_source_schedule(spark, docs, empty):

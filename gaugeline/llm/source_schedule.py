@@ -95,7 +95,7 @@ def schedule(goals: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 def mix(
     docs: DataFrame, weights: tuple = WEIGHTS, share: int = SHARE, passes: int = PASSES, block_words: int = BLOCK_WORDS,
-    seed: str = "mix",
+    seed: str = "mix", extra: tuple = (),
 ) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs(doc_id, text, source)``: pieces and documents.
 
@@ -104,10 +104,11 @@ def mix(
     size, source_size, target)``, ``(s, start)`` being the key of a document with words.
 
     A null text has no words, a null source is a source of its own, and documents without words are in
-    no piece. Equal doc_ids are rows of their own, told apart by their size. Nothing is drawn at random:
+    no piece. Equal doc_ids are rows of their own, told apart by their size and then by the columns ``extra``,
+    which documents keep. Nothing is drawn at random:
     the shuffle orders documents by the md5 of seed and doc_id. An empty table has an empty mix.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text").cast("string")).alias("size"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words_in(F.col("text").cast("string")).alias("size"), *extra)
     docs = written(docs.withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))), "sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(sizes, weights, share, passes).withColumn("goal", F.floor(F.col("target") + 0.5))
@@ -121,10 +122,10 @@ def mix(
     sums = keyed.groupBy("s", "bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("s", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("s", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("s", "bucket").orderBy("h", "doc_id", "size", *extra).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0))).join(sums, ["s", "bucket"])
     placed = written(placed.select(
-        "doc_id", "source", "s", (F.col("before") + F.col("own")).alias("start"), "size", "source_size", "target", "goal"), "placed")
+        "doc_id", "source", "s", (F.col("before") + F.col("own")).alias("start"), "size", "source_size", "target", "goal", *extra), "placed")
 
     begin = F.col("pass") * F.col("source_size") + F.col("start")
     taken = placed.where("size > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
@@ -148,12 +149,14 @@ def taken_words(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix has them: a row for each time a document is taken, its text cut to the words
-    taken where a source's last block ends within it, ``n_chars`` following. Documents are told apart by
-    doc_id, which must not repeat; those without words are in no piece and go."""
-    pieces, placed = mix(docs)
-    spans = pieces.groupBy("doc_id", "pass").agg(F.min("from_word").alias("_first"), F.sum("n_words").alias("_n"))
-    spans = spans.join(placed.where("size > 0").select("doc_id", F.col("size").alias("_size")), "doc_id")
-    joined = docs.join(spans, "doc_id")
+    taken where a source's last block ends within it, ``n_chars`` following. Each row is a document of its
+    own, whether its doc_id is null or repeats; those without words are in no piece and go."""
+    numbered = docs.withColumn("_digest", F.xxhash64(F.col("text").cast("string"))).withColumn("_row", F.monotonically_increasing_id())
+    numbered = written(numbered, "numbered")  # numbers hold from here on
+    pieces, placed = mix(numbered, extra=("_digest", "_row"))
+    spans = pieces.groupBy("s", "start", "pass").agg(F.min("from_word").alias("_first"), F.sum("n_words").alias("_n"))
+    spans = spans.join(placed.where("size > 0").select("s", "start", "_row", F.col("size").alias("_size")), ["s", "start"])
+    joined = numbered.join(spans.select("_row", "_first", "_n", "_size"), "_row")
     cut = F.concat_ws("", F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.col("_first").cast("int") + 1, F.col("_n").cast("int")))
     joined = joined.withColumn("text", F.when(F.col("_n") < F.col("_size"), cut).otherwise(F.col("text")))
     return joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)

@@ -278,6 +278,21 @@ def test_source_schedule(spark, docs, empty):
     assert source_schedule.taken_words(docs.where("coalesce(trim(text), '') = ''")).count() == 2
 
 
+def test_mixed_documents_keep_null_and_repeated_ids(spark):
+    """Each source has its target of words, and each row the times the mix takes it."""
+    rows = [(None if i % 3 == 0 else i // 4, " ".join(f"s{i % 2}w{i}x{j}" for j in range(20 + i)), "en", "ab"[i % 2], 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = source_schedule.mixed_documents(docs).collect()
+    words = {s: sum(len(r["text"].split()) for r in mixed if r["source"] == s) for s in "ab"}
+    placed = source_schedule.mix(docs)[1].select("source", "target").distinct().collect()
+    assert words == {r["source"]: math.floor(r["target"] + 0.5) for r in placed}
+    times = {}
+    for r in mixed:
+        times[r["text"].split()[0]] = times.get(r["text"].split()[0], 0) + 1
+        assert (r["doc_id"], r["source"]) in {(d, s) for d, t, _, s, _ in rows if t.startswith(r["text"])}
+    assert max(times.values()) <= 2 and len(mixed) == sum(times.values())
+
+
 def test_preference(spark):
     turns = [
         (0, 0, "user", "hi"), (0, 1, "assistant", "hello"), (0, 1, "assistant", "hello"), (1, 0, "system", None), (1, 1, "assistant", "yes"),

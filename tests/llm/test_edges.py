@@ -162,6 +162,40 @@ def test_chunk_dedup(spark, docs, empty):
     assert chunk_dedup.remove_repeats(empty).count() == 0
 
 
+def test_only_what_stood_together_is_a_repeat(spark):
+    """Chunks of many documents do not make up a repeated passage; a shared run goes up to its last chunk."""
+    words = [f"w{i * 31 % 997}x" for i in range(200)]
+    raw, starts, ends, _, _ = chunk_dedup._chunks(" ".join(words), chunk_dedup.WINDOW)
+    own = [raw[s:e].decode() for s, e in zip(starts, ends)][1:-1]
+    rows = [(i, f"{before}{chunk}{after}") for i, (before, chunk, after) in enumerate(zip(own[:-2], own[1:-1], own[2:]))]
+    known = {c for _, t in rows for c in own if c in t}
+    mixed = "".join(own[i] for i in np.random.default_rng(2).permutation(len(own)))
+    assert len(known) == len(own)
+    found = by_id(chunk_dedup.remove_repeats(spark.createDataFrame([*rows, (900, mixed), (901, "Start. " + " ".join(words)), (902, " ".join(words))], "doc_id long, text string")))
+    for span in found[900][0]["removed_spans"]:
+        assert any(mixed[span["begin"]:span["end"]] in t for _, t in rows)
+    # a copy goes whole, but for what comes before the first cut it shares
+    assert found[902][0]["removed_words"] >= 200 - 2 * chunk_dedup.WINDOW and found[902][0]["removed_spans"][-1]["end"] == len(" ".join(words))
+
+
+def test_known_short_phrases_stay_in_new_order(spark):
+    """Each chunk of the last text stands in an earlier one, but no two of them together."""
+    rng = np.random.default_rng(1)
+    chunks = lambda text: [raw[s:e].decode() for raw, st, en, _, _ in [chunk_dedup._chunks(text, chunk_dedup.WINDOW)] for s, e in zip(st, en)]
+    target = " ".join(f"t{k}" for k in rng.integers(0, 10**6, 120))
+    rows = []
+    for i, chunk in enumerate(chunks(target)):
+        for _ in range(400):  # until the chunk is cut in other company too
+            text = " ".join(f"a{k}" for k in rng.integers(0, 10**6, 20)) + " " + chunk + " ".join(f"b{k}" for k in rng.integers(0, 10**6, 20))
+            if chunk in chunks(text):
+                break
+        rows.append((i, text))
+    known = {c for _, t in rows for c in chunks(t)}
+    assert sum(c in known for c in chunks(target)) >= 0.6 * len(chunks(target))
+    found = by_id(chunk_dedup.remove_repeats(spark.createDataFrame([*rows, (1000, target)], "doc_id long, text string")))
+    assert found[1000][0]["clean_text"] == target and found[1000][0]["n_removed"] == 0
+
+
 def test_chunks_resist_shifts():
     words = [f"w{i * 31 % 997}x" for i in range(400)]
     text, moved = " ".join(words).encode(), ("An inserted start. " + " ".join(words)).encode()

@@ -11,10 +11,16 @@ from gaugeline.llm.tables import documents, written
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model accepts. Rows that repeat a doc_id go if any of them is toxic."""
+    """Documents that the toxicity model accepts. Rows that repeat a doc_id go if any of them is toxic; rows
+    without doc_id go by their own text."""
     model = toxicity_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = toxicity_mil.score(docs, model).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    digest = F.xxhash64(F.col("text").cast("string"))
+    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null").withColumn("_digest", digest)
+    rejected = toxicity_mil.score(named, model).where("predicted = 1").select("doc_id").distinct()
+    toxic = toxicity_mil.score(unnamed.select(F.col("_digest").alias("doc_id"), "text"), model)
+    toxic = toxic.where("predicted = 1").select(F.col("doc_id").alias("_digest")).distinct()
+    kept = named.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return kept.unionByName(unnamed.join(toxic, "_digest", "left_anti").select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

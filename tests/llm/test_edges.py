@@ -347,6 +347,16 @@ def test_preference(spark):
     assert preference.format_pairs(given).first()["rejected"] == "<|user|>\nx<|end|>\n"
 
 
+def test_toxic_rows_without_id_go(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 4 == 3 else i, " ".join(f"word{k}" for k in rng.integers(0, 50, 30)) + (" you vile idiot." if i % 2 else "."), "en", "a", 1) for i in range(400)]
+    rows += [(None, None, "en", "a", None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.toxicity(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["text"] or "" for r in kept) == sorted(t or "" for _, t, *_ in rows if not t or "idiot" not in t)
+
+
 def test_stages_keep_the_columns(spark, docs, empty, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     plain = docs.select(*SCHEMA_NAMES)

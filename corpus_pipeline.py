@@ -24,11 +24,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the smallest doc_id. Rows that repeat it count as
-    one; rows without doc_id stay."""
+    """One document of each class of near duplicates: the smallest doc_id. Rows that repeat it stay if their
+    texts differ; of rows with its doc_id and text the one smallest by the other columns, in their order,
+    stays. Rows without doc_id stay."""
     kept = dart_minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     chosen = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return chosen.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    chosen = chosen.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_others"))
+    chosen = chosen.select("doc_id", "text", "_others.*").select(*docs.columns)
+    return chosen.unionByName(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -357,6 +357,12 @@ def test_toxic_rows_without_id_go(spark, tmp_path):
     assert sorted(r["text"] or "" for r in kept) == sorted(t or "" for _, t, *_ in rows if not t or "idiot" not in t)
 
 
+def test_near_duplicates_keep_texts_that_share_an_id(spark, tmp_path):
+    rows = [(1, PROSE * 3, "en", "b", 2), (1, PROSE * 3, "en", "a", 3), (1, PROSE * 3, "en", "a", 1), (1, "quite another text of its own", "en", "z", 9), (None, "x", "en", "a", 1)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[2], rows[3], rows[4]], key=str)
+
+
 def test_stages_keep_the_columns(spark, docs, empty, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     plain = docs.select(*SCHEMA_NAMES)

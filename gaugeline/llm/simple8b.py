@@ -19,6 +19,7 @@ file appear once or not at all, on any store.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -172,21 +173,35 @@ def _word_ids(path: str) -> _WordIds:
     """Once a process: later tasks of a worker know its words."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return _WordIds(tokenizer)
+    return _WordIds(Tokenizer.from_file(path))
 
 
 class _WordIds:
     """Ids of texts by a byte-level tokenizer that drops white space and case: each distinct word is
-    encoded once."""
+    encoded once. Texts that hold an added token are encoded whole, as it may span words or end within one."""
 
     def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.added = "|".join(re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values())
         self.known = ragged.Known(tokenizer, lower=True, most=500_000)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
-        column = ragged.apart(ragged.texts(column), " ")
+        column = ragged.texts(column)
+        whole = np.flatnonzero(np.asarray(pc.match_substring_regex(column, self.added, ignore_case=True))) if self.added else []
+        if not len(whole):
+            return self._by_words(column)
+        found = self.tokenizer.encode_batch([column[int(i)].as_py() for i in whole], add_special_tokens=False)
+        mask = np.zeros(len(column), bool)
+        mask[whole] = True
+        ids, sizes = self._by_words(pc.if_else(pa.array(mask), "", column))
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for i, e in zip(whole, found):
+            parts[i] = np.array(e.ids, ids.dtype)
+        return np.concatenate(parts), np.fromiter(map(len, parts), sizes.dtype, len(parts))
+
+    def _by_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        column = ragged.apart(column, " ")
         # Case may go first where no mark could make one character of a letter in one case only.
         column = pc.if_else(pc.match_substring_regex(column, r"\p{M}"), column, pc.ascii_lower(column))
         codes, vocabulary, offsets = ragged.words(column)

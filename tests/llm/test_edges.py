@@ -97,6 +97,14 @@ def test_simple8b_files(spark, docs, empty):
     assert simple8b.digests(empty, WORDS).count() == 0
 
 
+def test_simple8b_added_tokens_in_texts():
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts = ["plain words", "a <|endoftext|> b", "x<|startoftext|>y, z", None, "<|ENDOFTEXT|>", "more words."]
+    ids, sizes = simple8b._word_ids(WORDS)(pa.array(texts))
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [list(p) for p in np.split(ids, np.cumsum(sizes)[:-1])] == expected
+
+
 @pytest.mark.parametrize("n, high", [(0, 2), (1, 5), (1024, 1), (1025, 300), (5000, 2), (3000, 50_000), (2500, 2**62)])
 def test_simple8b_round_trip(n, high):
     rng = np.random.default_rng(n)

@@ -110,4 +110,36 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op1_spherical_caps": OP1, "op2_dart_minhash": OP2, "op5_preference": OP5, "op6_source_schedule": OP6}
+OP12 = """
+WITH own AS (
+    SELECT conv_id, list({'k': k, 'b': octet_length(encode(text))} ORDER BY turn NULLS FIRST, k) AS turns
+    FROM (SELECT *, sha256(octet_length(encode(role)) || ':' || role || text) AS k
+          FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL))
+    GROUP BY conv_id
+), hashed AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda s, b: xor(xor(s, b) >> 1, 3988292384 * (xor(s, b) & 1)))) % 9 AS h
+    FROM own
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(f.turns[1:c.h], []), c.turns[c.h + 1:]) AS path
+    FROM hashed c LEFT JOIN own f ON f.conv_id = c.conv_id - c.conv_id % 5
+), beginnings AS (
+    SELECT conv_id, d, d = len(path) AS ends, array_to_string(list_transform(path[1:d], lambda t: t.k), '') AS node, path[d].b AS bytes
+    FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n, substr(node, 1, 64 * (d - 1)) AS above, coalesce((n - 1) * any_value(bytes), 0) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM beginnings GROUP BY node, d
+), counted AS (
+    SELECT p.*, coalesce(c.n_children, 0) AS n_children
+    FROM nodes p LEFT JOIN (SELECT above, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY above) c ON c.above = p.node
+), subtrees AS (
+    SELECT substr(node, 1, 64 * up) AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(d + 1)) AS up FROM counted) GROUP BY ALL
+)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, x.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM counted x JOIN subtrees s ON s.node = x.node LEFT JOIN nodes p ON p.node = x.above AND p.d = x.d - 1
+"""
+
+ORACLES = {"op1_spherical_caps": OP1, "op2_dart_minhash": OP2, "op5_preference": OP5, "op6_source_schedule": OP6, "op12_prefix_trie": OP12}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gaugeline.llm import (
-    byte_bpe, chunk_dedup, compression_bands, dart_minhash, preference, pseudo_likelihood, simple8b,
-    source_schedule, spherical_caps, toxicity_mil,
+    byte_bpe, chunk_dedup, compression_bands, dart_minhash, heap_bpe, periodic_runs, preference, prefix_trie,
+    pseudo_likelihood, simple8b, source_schedule, spherical_caps, toxicity_mil,
 )
 from gaugeline.llm.tables import documents
 
@@ -60,6 +60,20 @@ def op10_simple8b(spark: SparkSession, folder: str) -> DataFrame:
     return simple8b.digests(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.collapse(periodic_runs.planted(documents(spark, folder))))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.paths(turns))).drop("turn_id")
+
+
+def op13_heap_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return heap_bpe.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_spherical_caps, op2_dart_minhash, op3_pseudo_likelihood, op4_chunk_dedup, op5_preference, op6_source_schedule,
-    op7_compression_bands, op8_toxicity_mil, op9_byte_bpe, op10_simple8b)} | {"pipeline": corpus_pipeline.run}
+    op7_compression_bands, op8_toxicity_mil, op9_byte_bpe, op10_simple8b, op11_periodic_runs, op12_prefix_trie,
+    op13_heap_bpe)} | {"pipeline": corpus_pipeline.run}

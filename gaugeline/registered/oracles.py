@@ -157,6 +157,58 @@ nodes AS (
 )"""
 _NODE = "node_id, display_name, node_class, path"
 
+# The tree of nodes and links; {words} tells which names are left out, {leaf} which classes are not walked
+# through, {levels} how deep the walk goes.
+_TREE = """
+users AS (SELECT DISTINCT user_id AS u FROM events),
+variables AS (SELECT DISTINCT user_id AS u, event_type FROM events),
+tree_nodes AS (
+  SELECT 'i=85' AS node_id, 'Objects' AS display_name, 'Object' AS node_class
+  UNION ALL
+  SELECT 'ns=2;s=D' || u, CASE WHEN u % 29 = 11 THEN NULL WHEN u % 13 = 5 THEN 'server room ' || u ELSE 'Device ' || u END,
+    CASE WHEN u % 23 = 9 THEN 'Variable' ELSE 'Object' END FROM users
+  UNION ALL
+  SELECT 'ns=2;s=D' || u || '.' || event_type, event_type, 'Variable' FROM variables
+),
+tree_links AS (
+  SELECT 'i=85' AS parent_id, 'ns=2;s=D0' AS child_id FROM users WHERE u = 0
+  UNION SELECT 'ns=2;s=D' || ((u - 1) // 2), 'ns=2;s=D' || u FROM users WHERE u > 0 AND u % 19 <> 7
+  UNION SELECT 'ns=2;s=D' || (u // 3), 'ns=2;s=D' || u FROM users WHERE u % 7 = 3
+  UNION SELECT 'ns=2;s=D' || u, 'ns=2;s=D' || (u // 4) FROM users WHERE u % 17 = 4
+  UNION SELECT 'ns=2;s=D' || u, 'ns=2;s=D' || u FROM users WHERE u % 31 = 8
+  UNION SELECT 'ns=2;s=D' || u, 'ns=2;s=D' || u || '.' || event_type FROM variables
+),
+open_nodes AS (SELECT * FROM tree_nodes WHERE NOT coalesce({words}, false)),
+walk AS (
+  SELECT node_id, node_class, 0 AS depth FROM open_nodes WHERE node_id = 'i=85'
+  UNION
+  SELECT n.node_id, n.node_class, w.depth + 1
+  FROM walk w JOIN tree_links l ON l.parent_id = w.node_id JOIN open_nodes n ON n.node_id = l.child_id
+  WHERE w.depth < {levels} AND NOT {leaf}
+),
+least AS (SELECT node_id, min(depth) AS depth FROM walk GROUP BY node_id),
+placed AS (
+  SELECT n.*, x.depth, (
+    SELECT min(l.parent_id) FROM tree_links l JOIN least p ON p.node_id = l.parent_id JOIN open_nodes w ON w.node_id = l.parent_id
+    WHERE l.child_id = n.node_id AND p.depth = x.depth - 1 AND NOT {leaf}) AS parent_id
+  FROM least x JOIN open_nodes n ON n.node_id = x.node_id
+),
+named AS (
+  SELECT node_id, display_name AS path FROM placed WHERE depth = 0
+  UNION
+  SELECT p.node_id, concat_ws('/', a.path, p.display_name) FROM named a JOIN placed p ON p.parent_id = a.node_id
+)"""
+
+
+def _tree(words: str, leaf: str, levels: int) -> str:
+    return "WITH RECURSIVE " + _TREE.format(words=words, leaf=leaf, levels=levels)
+
+
+_INFRASTRUCTURE = "regexp_matches(lower(display_name), 'server|diagnostics|security|aggregatefunctions|namespaces|bacnet|dnp3|redundancy')"
+_BROWSED = """
+SELECT p.node_id, display_name, node_class, parent_id, path, CAST(depth AS INTEGER) AS depth
+FROM placed p JOIN named n ON n.node_id = p.node_id"""
+
 _PLACE = '"Enterprise", "Site", "ProductionLine", "Equipment", "Tag"'
 _LATEST = f"""
 SELECT event_id, {_NINE} FROM (
@@ -411,4 +463,8 @@ SELECT event_id, "nodeId", "displayName", value, timestamp, "sourceTimestamp",
 FROM flat WHERE event_id % 2 = 1 OR "nodeId" IS NOT NULL""",
     "stream_latest_upsert": f"WITH {_PLACED} {_LATEST}",
     "compacted_history": _HISTORY_ROWS,
+    "browse_tree": _tree(_INFRASTRUCTURE, "coalesce(w.node_class = 'Variable', false)", 10) + _BROWSED,
+    "browse_tree_whole": _tree("false", "false", 4) + _BROWSED,
+    "browse_unreached": _tree(_INFRASTRUCTURE, "coalesce(w.node_class = 'Variable', false)", 40) + """
+SELECT * FROM tree_nodes WHERE node_id NOT IN (SELECT node_id FROM least)""",
 }

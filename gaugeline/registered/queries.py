@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeline import fixed, storage
 from gaugeline.functions import status, tags, times
-from gaugeline.operators import catalogue, filtering, parsing, publishing, readings, routing
+from gaugeline.operators import address_space, catalogue, filtering, parsing, publishing, readings, routing
 from gaugeline.operators import hierarchy as hierarchy_operators
 from gaugeline.plans import history, maintenance
 from gaugeline.plans import queries as query
@@ -534,6 +534,28 @@ def diagnostics_branch(spark, folder):
     return _joined_path(catalogue.diagnostics_branch(_address_space(spark, folder)))
 
 
+def _browse(spark, folder, **how):
+    source = views.events(spark, folder)
+    return address_space.browse(adapter.tree_nodes(source), adapter.tree_links(source), ("i=85",), **how)
+
+
+@register
+def browse_tree(spark, folder):
+    """Variables and the way to them, without infrastructure."""
+    return _joined_path(_browse(spark, folder))
+
+
+@register
+def browse_tree_whole(spark, folder):
+    """Every node within four levels, whatever its name and class."""
+    return _joined_path(_browse(spark, folder, keywords=(), max_depth=4, leaf_classes=()))
+
+
+@register
+def browse_unreached(spark, folder):
+    return address_space.unreached(adapter.tree_nodes(views.events(spark, folder)), _browse(spark, folder, max_depth=None))
+
+
 # --- samples, latest values, typed values --------------------------------------------------
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import contextlib
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeline import storage
+from gaugeline.session import scratch_path
+
 
 def spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int, salt_from: Sequence[str]) -> DataFrame:
     """Rows of a table partition together, in ``files_per_partition`` tasks and so files.
@@ -20,6 +24,22 @@ def spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int,
     return df.repartition(*partition_by, salt)
 
 
+@contextlib.contextmanager
+def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> Iterator[DataFrame]:
+    """The rows stored in buckets by ``key``, so that joins on it need not shuffle them, for the length of a
+    ``with`` block. Nothing lazy may outlive it. There are as many buckets as shuffle partitions, or ``buckets``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = "buckets_" + path.rpartition("-")[2]
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        storage.delete(spark, path)
+
+
 @dataclass(frozen=True)
 class Table:
     """A table at ``path``.

@@ -169,3 +169,36 @@ def address_space(events: DataFrame) -> DataFrame:
           IF(user_id % 17 = 3, array(CAST(NULL AS STRING)), CAST(array() AS ARRAY<STRING>)),
           IF(event_type = 'error', array('Diagnostics'), CAST(array() AS ARRAY<STRING>)), array({name}))) AS path""",
     )
+
+
+_DEVICE = "'ns=2;s=D' || user_id"
+
+
+def tree_nodes(events: DataFrame) -> DataFrame:
+    """Nodes of a server, without their paths: the root, a device for each user, a variable for each of its
+    event types. Some devices have no name, some a name that excludes them, some are variables."""
+    users, pairs = events.select("user_id").distinct(), events.select("user_id", "event_type").distinct()
+    devices = users.selectExpr(
+        f"{_DEVICE} AS node_id",
+        "CASE WHEN user_id % 29 = 11 THEN NULL WHEN user_id % 13 = 5 THEN 'server room ' || user_id ELSE 'Device ' || user_id END AS display_name",
+        "IF(user_id % 23 = 9, 'Variable', 'Object') AS node_class")
+    variables = pairs.selectExpr(f"{_DEVICE} || '.' || event_type AS node_id", "event_type AS display_name", "'Variable' AS node_class")
+    root = events.sparkSession.sql("SELECT 'i=85' AS node_id, 'Objects' AS display_name, 'Object' AS node_class")
+    return root.unionByName(devices).unionByName(variables)
+
+
+def tree_links(events: DataFrame) -> DataFrame:
+    """Links between these nodes: devices form a tree below the root; some have a second parent, some lead back
+    to one above or to themselves, and some have no parent at all. Some parents are not listed."""
+    users, pairs = events.select("user_id").distinct(), events.select("user_id", "event_type").distinct()
+    device = lambda user: f"'ns=2;s=D' || CAST({user} AS BIGINT)"
+    link = lambda rows, parent, child, when="true": rows.where(when).selectExpr(f"{parent} AS parent_id", f"{child} AS child_id")
+    return (
+        link(users, "'i=85'", _DEVICE, "user_id = 0")
+        .unionByName(link(users, device("(user_id - 1) div 2"), _DEVICE, "user_id > 0 AND user_id % 19 <> 7"))
+        .unionByName(link(users, device("user_id div 3"), _DEVICE, "user_id % 7 = 3"))
+        .unionByName(link(users, _DEVICE, device("user_id div 4"), "user_id % 17 = 4"))
+        .unionByName(link(users, _DEVICE, _DEVICE, "user_id % 31 = 8"))
+        .unionByName(link(users, device("user_id + 1000000"), _DEVICE, "user_id % 37 = 6"))
+        .unionByName(link(pairs, _DEVICE, f"{_DEVICE} || '.' || event_type"))
+    )

@@ -1,0 +1,85 @@
+"""The walk of an address space: circles, several parents, excluded and leaf nodes, odd rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.operators import address_space, catalogue
+from gaugeline.operators.address_space import browse
+
+NODES = [
+    ("r", "Objects", "Object"), ("a", "Plant", "Object"), ("b", "SERVER room", "Object"), ("c", None, "Object"), ("d", "Pump", "Variable"),
+    ("e", "Flow", "Variable"), ("f", "Deep", "Object"), ("g", "Twice", "Object"), ("g", "Again", "Object"), ("lost", "Lost", "Object"),
+    ("under", "Hidden", "Variable"), ("both", "Both", None), (None, "No id", "Object"), ("leafy", "Below a leaf", "Variable"),
+]
+LINKS = [
+    ("r", "a"), ("r", "b"), ("r", "a"), ("a", "c"), ("c", "a"), ("c", "c"), ("c", "d"), ("a", "d"), ("c", "r"), ("b", "under"), ("b", "both"),
+    ("c", "both"), ("a", "f"), ("f", "g"), ("g", "e"), ("d", "leafy"), ("nobody", "e"), ("a", "nobody"), (None, "a"), ("a", None), ("lost", "lost"),
+]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    nodes = spark.createDataFrame(NODES, "node_id string, display_name string, node_class string").withColumn("path", F.lit("clash"))
+    return nodes, spark.createDataFrame(LINKS, "parent_id string, child_id string").withColumn("node_id", F.lit("clash")).withColumn("depth", F.lit(7))
+
+
+def found(df):
+    rows = df.collect()
+    assert len(rows) == len({r["node_id"] for r in rows})
+    return {r["node_id"]: (r["depth"], r["parent_id"], r["path"]) for r in rows}
+
+
+def test_walk(tables):
+    walked = browse(*tables, ["r"])
+    assert found(walked) == {
+        "r": (0, None, ["Objects"]), "a": (1, "r", ["Objects", "Plant"]), "c": (2, "a", ["Objects", "Plant", None]),
+        "d": (2, "a", ["Objects", "Plant", "Pump"]), "f": (2, "a", ["Objects", "Plant", "Deep"]),
+        "both": (3, "c", ["Objects", "Plant", None, "Both"]), "g": (3, "f", ["Objects", "Plant", "Deep", "Again"]),
+        "e": (4, "g", ["Objects", "Plant", "Deep", "Again", "Flow"]),
+    }
+    assert {r["node_id"] for r in address_space.unreached(tables[0], walked).collect()} == {"b", "lost", "under", "leafy"}
+    assert {r["node_id"] for r in address_space.below(walked, ["Objects", "Plant", "Deep"]).collect()} == {"f", "g", "e"}
+    # The rows serve the filters of the catalogue.
+    assert {r["node_id"] for r in catalogue.device_variables(walked, "Plant").collect()} == {"d"}
+    assert catalogue.drop_subtrees(walked, max_depth=None).count() == 8
+
+
+def test_depth_keywords_and_leaves(tables):
+    assert set(found(browse(*tables, ["r"], max_depth=2))) == {"r", "a", "c", "d", "f"}
+    assert set(found(browse(*tables, ["r"], max_depth=0))) == {"r"}
+    everything = found(browse(*tables, ["r"], keywords=(), max_depth=None, leaf_classes=()))
+    assert set(everything) == {n for n, *_ in NODES if n} - {"lost"}
+    assert everything["both"][:2] == (2, "b") and everything["leafy"] == (3, "d", ["Objects", "Plant", "Pump", "Below a leaf"])
+
+
+def test_roots(spark, tables):
+    assert found(browse(*tables, ["nobody", "b"])) == {}  # not listed, and excluded by its name
+    several = found(browse(*tables, ["f", "c", "f"]))
+    assert several["g"] == (1, "f", ["Deep", "Again"]) and several["d"] == (1, "c", [None, "Pump"]) and several["r"][:2] == (1, "c")
+    nothing = browse(tables[0].where("false"), tables[1], ["r"])
+    assert nothing.count() == 0 and nothing.columns == ["node_id", "display_name", "node_class", "parent_id", "path", "depth"]
+    assert set(found(browse(tables[0], tables[1].where("false"), ["r"]))) == {"r"}
+
+
+def test_a_chain_and_a_hot_parent(spark):
+    chain = spark.range(12).select(F.col("id").cast("string").alias("parent_id"), (F.col("id") + 1).cast("string").alias("child_id"))
+    hot = spark.range(20_000).select(F.lit("12").alias("parent_id"), F.concat(F.lit("v"), "id").alias("child_id"))
+    links = chain.unionByName(hot)
+    ids = links.select(F.col("child_id").alias("node_id")).union(spark.createDataFrame([("0",)], "node_id string"))
+    nodes = ids.select("node_id", F.col("node_id").alias("display_name"), F.lit("Object").alias("node_class"))
+    walked = browse(nodes, links, ["0"], max_depth=None)
+    assert {r["depth"]: r["count"] for r in walked.groupBy("depth").count().collect()} == {**dict.fromkeys(range(13), 1), 13: 20_000}
+    assert walked.where("node_id = 'v7'").first()["path"] == [*map(str, range(13)), "v7"]
+
+
+def test_stored_steps_are_not_shuffled_again(spark, tables):
+    """A level shuffles the nodes found last, not the buckets of steps."""
+    from gaugeline.sinks.tables import bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(tables[1].select("parent_id", "child_id"), "parent_id") as stored:
+            plan = stored.join(tables[0].select(F.col("node_id").alias("parent_id")), "parent_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1

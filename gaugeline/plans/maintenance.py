@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline import storage
 from gaugeline.sinks.tables import Table
 from gaugeline.sources.files import read_table
 
@@ -27,29 +26,25 @@ def compact(
     With ``sort_by`` each file gets a range of it: a hot table partition is cut along the range,
     and later scans skip files and row groups by their statistics. Without, rows are rebalanced by
     table partition and by size. ``only`` limits the work to some partitions, such as the days
-    since the last run. There are as many ranges as the old table has ``file_bytes``. The old table stays as it is; readers move to the new path when the write
-    has succeeded.
+    since the last run. There are as many ranges as the files with rows of that work have ``file_bytes``. The
+    old table stays as it is; readers move to the new path when the write has succeeded.
     """
     rows = read_table(spark, path, table_format)
     if only is not None:
         rows = rows.where(only)
     table = Table(target, table_format, partition_by, sort_by)
-    ranges = max(2, -(-storage.file_bytes(spark, path) // file_bytes)) if sort_by else None
+    ranges = max(1, -(-selected_bytes(rows) // file_bytes)) if sort_by else None
     table.write_batch(rows, mode="errorifexists", ranges=ranges)
 
 
+def selected_bytes(rows: DataFrame) -> int:
+    """Bytes of the files that hold any of ``rows`` of a stored table. Only the columns of a filter are read."""
+    files = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    return files.agg(F.sum("bytes")).first()[0] or 0
+
+
 def file_sizes(spark: SparkSession, path: str):
     """Files and bytes below a path by folder, to tell whether a table needs compaction."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
     return files.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-
-
-def retire_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete all but the newest ``keep`` complete versions below ``root``; returns those deleted."""
-    if keep < 1:
-        raise ValueError("at least one version must stay")
-    old = storage.versions(spark, root)[:-keep]
-    for version in old:
-        storage.delete(spark, f"{root}/version={version}")
-    return [f"version={version}" for version in old]

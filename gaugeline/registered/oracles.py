@@ -467,4 +467,17 @@ FROM flat WHERE event_id % 2 = 1 OR "nodeId" IS NOT NULL""",
     "browse_tree_whole": _tree("false", "false", 4) + _BROWSED,
     "browse_unreached": _tree(_INFRASTRUCTURE, "coalesce(w.node_class = 'Variable', false)", 40) + """
 SELECT * FROM tree_nodes WHERE node_id NOT IN (SELECT node_id FROM least)""",
+    "stream_deduplicated": f"""WITH {_MSG}
+SELECT event_id, node_id, value, source_timestamp, message_class FROM msg""",
+    "stream_window_stats": f"""WITH {_PLACED},
+timed AS (
+  SELECT p.*, coalesce(m.source_time, m.ingest_time) AS sent FROM history p JOIN msg m ON m.event_id = p.event_id
+  WHERE p.message_class = 'reading' AND p.event_type <> 'error'
+),
+binned AS (SELECT *, time_bucket(INTERVAL 6 HOUR, sent, TIMESTAMP '2024-01-01') AS window_start FROM timed)
+SELECT {_PLACE}, window_start, window_start + INTERVAL 6 HOUR AS window_end, count(*) AS n, count("ValueDouble") AS n_values,
+  round(avg("ValueDouble"), 6) AS avg_value, max("ValueDouble") AS max_value, min("ValueDouble") AS min_value
+FROM binned GROUP BY ALL
+HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(coalesce(source_time, ingest_time, ts)) FROM msg) - INTERVAL 20 DAY""",
+    "stream_balanced": _HISTORY_ROWS,
 }

@@ -16,10 +16,10 @@ from gaugeline.plans import queries as query
 from gaugeline.registered import views
 from gaugeline.registered.views import AS_OF, HIERARCHY_LAYOUT, KEEP, PLANT, TIE, shown
 from gaugeline.session import scratch_path
-from gaugeline.sinks.tables import Table
+from gaugeline.sinks.tables import BATCH, Table
 from gaugeline.sources import events as adapter
 from gaugeline.sources.files import FileSource, cached, read_parquet, read_table, read_tag_list
-from gaugeline.streaming import ingest, side_outputs
+from gaugeline.streaming import ingest, side_outputs, stateful
 from gaugeline.streaming import latest as latest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -751,6 +751,47 @@ def stream_schema_evolution(spark, folder):
     return read_parquet(spark, path, merge_schema=True)
 
 
+def _sent_messages(spark, path: str, schema) -> DataFrame:
+    """A stream of messages with the time at which each was sent."""
+    stream = _envelope_stream(spark, path, schema).withColumnRenamed("timestamp", "arrival")
+    return stateful.with_sent_time(history.messages(stream, (*KEEP, "arrival")), "arrival")
+
+
+@register
+def stream_deduplicated(spark, folder):
+    """Every fifth message is sent again in a later batch: each is kept once."""
+    staged = views.staged_by_time(spark, folder, resent=F.col("offset") % 5 == 0)
+    rows = _sent_messages(spark, staged, views.envelope(spark, folder).schema)
+    kept = stateful.drop_resent(rows, KEEP, "20 days").select(*KEEP, "node_id", "value", "source_timestamp", "message_class")
+    path = scratch_path(spark, "stream-once")
+    ingest.drain(Table(path).write_stream(kept, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_table(spark, path)
+
+
+@register
+def stream_window_stats(spark, folder):
+    """Statistics of each place by six hours, of messages that are in part sent twice. The query ends and
+    starts again with each part of the time."""
+    path = scratch_path(spark, "stream-windows")
+    for staged in views.parts_by_time(spark, folder, resent=F.col("offset") % 5 == 0):
+        once = stateful.drop_resent(_sent_messages(spark, staged, views.envelope(spark, folder).schema), KEEP, "20 days")
+        chosen = filtering.allow_node_ids(routing.readings(once), views.IDS)
+        placed = hierarchy_operators.to_hierarchy(hierarchy_operators.with_tag(chosen, PLANT), PLANT, AS_OF, (stateful.SENT_TIME,))
+        stats = stateful.window_stats(placed, "6 hours", delay=None, time=stateful.SENT_TIME)
+        ingest.drain(Table(path).write_stream(stats, f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_table(spark, path).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@register
+def stream_balanced(spark, folder):
+    """The hierarchy table by a stream whose tasks follow the size of each tag."""
+    staged, schema = _staged(spark, folder)
+    path = scratch_path(spark, "stream-balanced")
+    table = Table(path, partition_by=fixed.HIERARCHY, sort_by=("EventTime",))
+    ingest.drain(table.write_stream_balanced(_hierarchy_stream(_envelope_stream(spark, staged, schema)), f"{path}-checkpoint", ingest.ALL_THERE_IS))
+    return read_table(spark, path).drop(BATCH)
+
+
 @register
 def stream_latest_upsert(spark, folder):
     staged, schema = _staged(spark, folder)
@@ -759,7 +800,7 @@ def stream_latest_upsert(spark, folder):
     ingest.drain(
         latest_stream.start(rows, root, f"{root}-checkpoint", tie_break=TIE, trigger=ingest.ALL_THERE_IS)
     )
-    return latest_stream.read(spark, root)
+    return latest_stream.read(spark, root, rows.schema)
 
 
 @register

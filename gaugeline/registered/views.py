@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +105,24 @@ def staged_envelope(spark: SparkSession, folder: str, files: int = 4, build=enve
     return path
 
 
+def parts_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Column | None = None) -> Iterator[str]:
+    """The messages as files in the order of time, one part of the time after the other; the path after each
+    part is written. Messages for which ``resent`` holds are sent a second time with the next part."""
+    path = scratch_path(spark, "by-time")
+    rows = envelope(spark, folder)
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    since = F.unix_micros("timestamp") - F.unix_micros(F.lit(first))
+    part = F.least(F.lit(parts - 1), (since * parts / (F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1)).cast("int"))
+    for number in range(parts):
+        again = (part == number - 1) & resent if resent is not None else F.lit(False)
+        rows.where((part == number) | again).write.mode("append").parquet(path)
+        yield path
+
+
+def staged_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Column | None = None) -> str:
+    return list(parts_by_time(spark, folder, parts, resent))[-1]
+
+
 def shown(df: DataFrame) -> DataFrame:
     """A result for comparison with SQL: times without a zone, dates and bytes as text, the
     position on the bus under its name in the table."""

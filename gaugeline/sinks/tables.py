@@ -6,7 +6,7 @@ import contextlib
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +24,17 @@ def spread(df: DataFrame, partition_by: Sequence[str], files_per_partition: int,
     return df.repartition(*partition_by, salt)
 
 
+#: The partition column that a balanced stream adds.
+BATCH = "IngestBatch"
+
+
+def require_same_run(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """Refuse a folder whose batches another checkpoint has numbered: the same numbers would now
+    stand for other rows."""
+    if storage.folders(spark, root) and not storage.exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{root} holds batches that {checkpoint} knows nothing of: give one or the other anew")
+
+
 @contextlib.contextmanager
 def bucketed(df: DataFrame, key: str, buckets: int | None = None) -> Iterator[DataFrame]:
     """The rows stored in buckets by ``key``, so that joins on it need not shuffle them, for the length of a
@@ -85,6 +96,35 @@ class Table:
             writer = writer.queryName(name)
         return writer.start(self.path)
 
+    def write_stream_balanced(
+        self, df: DataFrame, checkpoint: str, trigger: Mapping | None = None, name: str | None = None
+    ) -> StreamingQuery:
+        """Append each batch in tasks of equal size: adaptive execution gathers the table partitions that are small
+        and splits those that are large, by their size in this batch, so a hot tag takes as many tasks as it needs.
+
+        Rows also get their batch's number as the last partition column :data:`BATCH`. A batch that is run
+        again overwrites its own partitions, and so adds no row, provided that a row's partition
+        follows from the row alone. A table format with transactions drops a batch that it has already.
+        """
+        if BATCH in df.columns:
+            raise ValueError(f"a column is named {BATCH}")
+        require_same_run(df.sparkSession, self.path, checkpoint)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = batch.hint("rebalance", *self.partition_by).withColumn(BATCH, F.lit(batch_id))
+            if self.sort_by:
+                rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
+            writer = rows.write.format(self.format).partitionBy(*self.partition_by, BATCH).options(**self._options())
+            if self.format == "parquet":
+                writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
+            else:
+                writer.mode("append").options(txnAppId=checkpoint, txnVersion=str(batch_id)).save(self.path)
+
+        writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        if name:
+            writer = writer.queryName(name)
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
     def write_batch(self, df: DataFrame, mode: str = "append", ranges: int | None = None) -> None:
         """With ``ranges`` that many tasks each write a range of ``sort_by``, at the price of a pass to
         sample it; rows of equal time are told apart by a hash of the row."""

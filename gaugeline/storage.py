@@ -28,11 +28,6 @@ def file_count(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getFileCount()
 
 
-def file_bytes(spark: SparkSession, path: str) -> int:
-    hadoop_path, fs = _path(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
-
-
 def fingerprint(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Files, bytes and the latest change below a path: tells whether a table is still the same."""
     hadoop_path, fs = _path(spark, path)
@@ -48,20 +43,3 @@ def delete(spark: SparkSession, path: str) -> None:
 def read_text(spark: SparkSession, path: str) -> str:
     """A small settings file."""
     return spark.read.text(path, wholetext=True).first()[0]
-
-
-def newest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """The highest complete ``version=<n>``, of those under ``below``: one listing, and a look into the
-    newest folder or two."""
-    numbers = (int(name.split("=", 1)[1]) for name in folders(spark, root) if name.startswith("version="))
-    for number in sorted((n for n in numbers if below is None or n < below), reverse=True):
-        if exists(spark, f"{root}/version={number}/_SUCCESS"):
-            return number
-    return None
-
-
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete ``version=<n>`` folders below ``root``, ascending. A version is
-    complete when its write has left the success marker."""
-    numbers = [int(name.split("=", 1)[1]) for name in folders(spark, root) if name.startswith("version=")]
-    return sorted(n for n in numbers if exists(spark, f"{root}/version={n}/_SUCCESS"))

@@ -11,7 +11,7 @@ from gaugeline import storage
 from gaugeline.operators import hierarchy, routing
 from gaugeline.operators.hierarchy import Plant
 from gaugeline.plans.history import messages
-from gaugeline.streaming.ingest import require_same_run
+from gaugeline.sinks.tables import require_same_run
 
 TABLES = ("readings", "bad_values", "connection_health", "events", "dead_letters")
 

@@ -10,7 +10,7 @@ from gaugeline.operators import hierarchy, readings
 from gaugeline.plans import history, maintenance
 from gaugeline.registered import views
 from gaugeline.sinks import messages as message_sinks
-from gaugeline.sinks.tables import Table, spread
+from gaugeline.sinks.tables import BATCH, Table, spread
 from gaugeline.sources import events as adapter
 from gaugeline.sources.files import FileSource, cached, read_parquet, read_table, read_tag_list
 from gaugeline.streaming import ingest, side_outputs
@@ -99,21 +99,43 @@ def forget_commit(checkpoint, batch):
 def test_latest_table_survives_replay(spark, staged, envelope, tmp_path):
     root, checkpoint = str(tmp_path / "latest"), tmp_path / "c"
 
-    def run(**how):
+    def run():
         rows = hierarchy_rows(stream(spark, staged, envelope.schema))
-        query = latest_stream.start(rows, root, str(checkpoint), tie_break=KEEP, trigger=ingest.ALL_THERE_IS, **how)
-        return ingest.drain(query)
+        return ingest.drain(latest_stream.start(rows, root, str(checkpoint), tie_break=KEEP, trigger=ingest.ALL_THERE_IS))
 
     run()
-    expected = rows_of(readings.latest_values(hierarchy_rows(envelope), tie_break=KEEP))
-    assert rows_of(latest_stream.read(spark, root)) == expected
-    assert storage.versions(spark, root) == [2, 3, 4]
+    table = hierarchy_rows(envelope)
+    expected = rows_of(readings.latest_values(table, tie_break=KEEP))
+    assert rows_of(latest_stream.read(spark, root, table.schema)) == expected
     for _ in range(2):
         forget_commit(checkpoint, 4)
-        replay = run(keep_versions=2)
+        replay = run()
         assert [p["batchId"] for p in replay.recentProgress if p["numInputRows"]] == [4]
-        assert rows_of(latest_stream.read(spark, root)) == expected
-        assert storage.versions(spark, root) == [3, 4]
+        assert rows_of(latest_stream.read(spark, root, table.schema)) == expected
+
+
+def test_latest_table_replaces_changed_places_only(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "latest", "c"))
+    schema = "place string, unit int, at timestamp, seq int, value double"
+
+    def run(*rows):
+        spark.createDataFrame(rows, "place string, unit int, at string, seq int, value double").withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        rows_ = spark.readStream.schema(schema).parquet(source)
+        query = latest_stream.start(rows_, root, checkpoint, ("place", "unit"), "at", ("seq",), ingest.ALL_THERE_IS)
+        ingest.drain(query)
+        return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in (tmp_path / "latest").glob("place=*/unit=*/*.parquet")}
+
+    first = run(*[(f"p{i}", i % 2, "2024-01-01 00:00:00", i, float(i)) for i in range(12)])
+    second = run(("p3", 1, "2024-01-01 00:00:00", 99, 0.5), ("p4", 0, None, 100, 7.0), ("p4", 0, "2023-12-31 00:00:00", 101, 8.0))
+    # One place has a newer row; the rows of the other are older, so its latest row is written as it was.
+    assert len(first) == len(second) == 12 and len(first.items() & second.items()) == 10
+    third = run(("new", 5, None, 1, 1.0))
+    assert len(third) == 13 and second.items() <= third.items()
+    read = latest_stream.read(spark, root, spark.createDataFrame([], schema).schema)
+    assert {(r["place"], r["unit"]): (r["seq"], r["value"]) for r in read.collect()} == {
+        **{(f"p{i}", i % 2): (i, float(i)) for i in range(12)}, ("p3", 1): (99, 0.5), ("new", 5): (1, 1.0)}
+    with pytest.raises(FileNotFoundError):
+        latest_stream.read(spark, str(tmp_path / "none"))
 
 
 def test_a_new_checkpoint_needs_a_new_folder(spark, staged, envelope, tmp_path):
@@ -126,20 +148,6 @@ def test_a_new_checkpoint_needs_a_new_folder(spark, staged, envelope, tmp_path):
         latest_stream.start(rows, root, str(tmp_path / "c2"))
 
 
-def test_incomplete_versions_are_not_read(spark, tmp_path):
-    root = str(tmp_path / "latest")
-    spark.range(1).write.parquet(f"{root}/version=3")
-    (tmp_path / "latest" / "version=7").mkdir()
-    assert storage.versions(spark, root) == [3]
-    assert latest_stream.read(spark, root).count() == 1
-    with pytest.raises(FileNotFoundError):
-        latest_stream.read(spark, str(tmp_path / "none"))
-    with pytest.raises(ValueError):
-        latest_stream.start(None, root, "", keep_versions=1)
-    with pytest.raises(ValueError):
-        maintenance.retire_versions(spark, root, 0)
-
-
 def test_side_outputs_land_once_after_a_replay(spark, small, tmp_path):
     source = views.events(spark, small)
     both = adapter.readings(source).unionByName(adapter.controls(source))
@@ -241,6 +249,43 @@ def test_hot_tag_of_one_time_is_spread(spark):
     assert max(sizes) <= 18_000 / 2
 
 
+def skewed(spark, n=400_000):
+    """Nine of ten rows have one tag, dealt over many files."""
+    tag = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 70).cast("string")))
+    return spark.range(0, n, 1, 16).select("id", tag.alias("Tag"), F.xxhash64("id").alias("noise"))
+
+
+def test_balanced_stream_splits_a_hot_tag(spark, tmp_path):
+    source, target, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), tmp_path / "c"
+    rows = skewed(spark)
+    rows.write.parquet(source)
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.files.maxPartitionBytes": "512k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for attempt in range(2):
+            if attempt:
+                forget_commit(checkpoint, 0)
+            stream_ = spark.readStream.schema(rows.schema).parquet(source)
+            table = Table(target, partition_by=("Tag",), sort_by=("id",))
+            query = ingest.drain(table.write_stream_balanced(stream_, str(checkpoint), ingest.ALL_THERE_IS))
+            assert sum(p["numInputRows"] for p in query.recentProgress) == 400_000
+            stored = read_table(spark, target)
+            assert rows_of(stored.groupBy("Tag").count()) == rows_of(rows.groupBy("Tag").count())
+            assert stored.select("id").distinct().count() == stored.count() == 400_000
+            files = stored.groupBy("Tag", F.input_file_name().alias("file")).count().collect()
+            assert max(r["count"] for r in files) < 400_000 / 6  # no task above its share
+            # A tag of few rows is gathered into one file or two.
+            assert all(sum(r["Tag"] == f"t{k}" for r in files) <= 2 for k in range(0, 70, 10))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    with pytest.raises(ValueError, match="holds batches"):
+        table.write_stream_balanced(stream_, str(tmp_path / "other"))
+    with pytest.raises(ValueError, match=BATCH):
+        table.write_stream_balanced(stream_.withColumn(BATCH, F.lit(1)), str(checkpoint))
+
+
 def test_cached_snapshot_sees_new_rows_next_time(spark, tmp_path):
     path = tmp_path / "table"
     spark.range(3).coalesce(1).write.parquet(str(path))
@@ -277,6 +322,13 @@ def test_compaction_keeps_rows_and_cuts_hot_partitions(spark, tmp_path):
     sizes = maintenance.file_sizes(spark, target).collect()
     assert sum(r["files"] for r in sizes if "Tag=" in r["folder"]) == len(table.inputFiles())
     only = str(tmp_path / "only")
+    maintenance.compact(spark, path, only, ("Tag",), ("EventTime",), only=F.col("Tag") == "t3", file_bytes=64 * 1024)
+    assert {r[0] for r in read_table(spark, only).select("Tag").distinct().collect()} == {"t3"}
+    small = maintenance.selected_bytes(read_table(spark, path).where("Tag = 't3'"))
+    assert small < maintenance.selected_bytes(read_table(spark, path)) / 4
+    # As many files as the part that is selected asks for, not the whole table.
+    assert len(read_table(spark, only).inputFiles()) <= -(-small // (64 * 1024)) + 1
+    only = str(tmp_path / "only-hot")
     maintenance.compact(spark, path, only, ("Tag",), only=F.col("Tag") == "hot")
     assert {r[0] for r in read_table(spark, only).select("Tag").distinct().collect()} == {"hot"}
 

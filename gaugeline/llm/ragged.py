@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import itertools
 import os
 from collections.abc import Iterator
@@ -24,6 +26,19 @@ def strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+@functools.cache
+def _trim():
+    """The C library's call that returns free memory to the system, if it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that is free: workers outlive their tasks, and what they hold counts for later stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in runs of at most ``limit`` bytes of text, or one longer row."""
     for batch in batches:
@@ -37,7 +52,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
-        pa.default_memory_pool().release_unused()  # workers outlive their tasks
+        give_back()
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

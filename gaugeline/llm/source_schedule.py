@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.tables import written
+from gaugeline.llm.tables import unused, written
 
 #: Words of a block; weights of the sources, in turn; words of the mix for each 100 of the corpus; how
 #: often a source may be used.
@@ -149,14 +149,18 @@ def taken_words(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix has them: a row for each time a document is taken, its text cut to the words
-    taken where a source's last block ends within it, ``n_chars`` following. Each row is a document of its
-    own, whether its doc_id is null or repeats; those without words are in no piece and go."""
-    numbered = docs.withColumn("_digest", F.xxhash64(F.col("text").cast("string"))).withColumn("_row", F.monotonically_increasing_id())
+    taken where a source's last block ends within it, ``n_chars`` following if there is such a column. Each row is
+    a document of its own, whether its doc_id is null or repeats; those without words are in no piece and go.
+    Columns of any name and type stay as they are. An empty table gives none."""
+    digest, row, first, n, size = unused(docs, "mix_digest", "mix_row", "mix_first", "mix_n", "mix_size")
+    numbered = docs.withColumn(digest, F.xxhash64(F.col("text").cast("string"))).withColumn(row, F.monotonically_increasing_id())
     numbered = written(numbered, "numbered")  # numbers hold from here on
-    pieces, placed = mix(numbered, extra=("_digest", "_row"))
-    spans = pieces.groupBy("s", "start", "pass").agg(F.min("from_word").alias("_first"), F.sum("n_words").alias("_n"))
-    spans = spans.join(placed.where("size > 0").select("s", "start", "_row", F.col("size").alias("_size")), ["s", "start"])
-    joined = numbered.join(spans.select("_row", "_first", "_n", "_size"), "_row")
-    cut = F.concat_ws("", F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.col("_first").cast("int") + 1, F.col("_n").cast("int")))
-    joined = joined.withColumn("text", F.when(F.col("_n") < F.col("_size"), cut).otherwise(F.col("text")))
-    return joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    pieces, placed = mix(numbered, extra=(digest, row))
+    spans = pieces.groupBy("s", "start", "pass").agg(F.min("from_word").alias(first), F.sum("n_words").alias(n))
+    spans = spans.join(placed.where("size > 0").select("s", "start", row, F.col("size").alias(size)), ["s", "start"])
+    joined = numbered.join(spans.select(row, first, n, size), row)
+    cut = F.concat_ws("", F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.col(first).cast("int") + 1, F.col(n).cast("int")))
+    joined = joined.withColumn("text", F.when(F.col(n) < F.col(size), cut).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.select(*[f"`{c}`" for c in docs.columns])

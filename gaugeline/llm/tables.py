@@ -45,6 +45,16 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
         storage.delete(spark, path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns, made from ``names``, that no column of ``df`` has in any case."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

@@ -383,4 +383,23 @@ def test_stages_keep_the_columns(spark, docs, empty, labels, tmp_path):
             assert (count == 0) == (table is empty), name
 
 
+def test_stages_keep_columns_of_any_name_and_type(spark, labels, tmp_path):
+    """Columns named as the operators' working columns, a map, and none that counts characters."""
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    clash = ["_digest", "_row", "_n", "_first", "_size", "_others", "mix_row", "text_digest", "row_rank", "other_columns", "clean_text", "n_removed",
+             "_digests", "_clean", "predicted", "score", "class_id", "s", "start", "h", "size", "bucket", "first_docs", "target"]
+    docs = spark.createDataFrame([r[:4] for r in ROWS], "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce("source", F.lit("none"))) for c in clash})
+    docs = docs.withColumn("tags", F.create_map(F.lit("source"), "source"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, str(tmp_path))
+        assert result.dtypes == docs.dtypes, name
+        rows = result.collect()
+        assert rows, name
+        for r in rows:
+            assert all(r[c] == f"{c} of {r['source'] or 'none'}" for c in clash), name
+            assert r["tags"] == {"source": r["source"]}, name
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0, name
+
+
 SCHEMA_NAMES = [part.split()[0] for part in SCHEMA.split(", ")]

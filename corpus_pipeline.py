@@ -3,43 +3,49 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm import byte_bpe, chunk_dedup, dart_minhash, source_schedule, toxicity_mil
-from gaugeline.llm.tables import documents, written
+from gaugeline.llm.tables import documents, unused, written
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model accepts. Rows that repeat a doc_id go if any of them is toxic; rows
-    without doc_id go by their own text."""
-    model = toxicity_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    digest = F.xxhash64(F.col("text").cast("string"))
-    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null").withColumn("_digest", digest)
-    rejected = toxicity_mil.score(named, model).where("predicted = 1").select("doc_id").distinct()
-    toxic = toxicity_mil.score(unnamed.select(F.col("_digest").alias("doc_id"), "text"), model)
-    toxic = toxic.where("predicted = 1").select(F.col("doc_id").alias("_digest")).distinct()
-    kept = named.join(rejected, "doc_id", "left_anti").select(*docs.columns)
-    return kept.unionByName(unnamed.join(toxic, "_digest", "left_anti").select(*docs.columns))
+    """Rows whose text the toxicity model accepts."""
+    return toxicity_mil.accepted(docs, toxicity_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the smallest doc_id. Rows that repeat it stay if their
-    texts differ; of rows with its doc_id and text the one smallest by the other columns, in their order,
-    stays. Rows without doc_id stay."""
+    texts differ; of rows with its doc_id and text the one smallest by the other columns, in their order, stays,
+    maps by their JSON. Rows without doc_id stay."""
     kept = dart_minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    chosen = chosen.groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_others"))
-    chosen = chosen.select("doc_id", "text", "_others.*").select(*docs.columns)
-    return chosen.unionByName(docs.where("doc_id is null"))
+    chosen = docs.join(kept, "doc_id", "left_semi")
+    text, rank = unused(docs, "text_digest", "row_rank")
+    others = [_ordered(docs, c) for c in docs.columns if c not in ("doc_id", "text")]
+    # Both the join and the ranks go by doc_id: the texts are dealt once and are no key.
+    own = Window.partitionBy("doc_id", text).orderBy(*others, F.lit(0))
+    chosen = chosen.withColumn(text, F.sha2(F.col("text").cast("string"), 256)).withColumn(rank, F.row_number().over(own)).where(F.col(rank) == 1)
+    names = [f"`{c}`" for c in docs.columns]
+    return chosen.select(*names).unionByName(docs.where("doc_id is null"))
+
+
+def _ordered(docs: DataFrame, column: str) -> Column:
+    kind = docs.schema[column].dataType.simpleString()
+    whole = F.to_json(F.struct(f"`{column}`")) if "map<" in kind or "variant" in kind else F.col(f"`{column}`")
+    return whole.asc_nulls_first()
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that an earlier one has; ``n_chars`` follows the text."""
-    clean = chunk_dedup.remove_repeats(docs)
-    return clean.withColumn("text", F.col("clean_text")).withColumn(
-        "n_chars", F.coalesce(F.length("clean_text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rest, = unused(docs, "other_columns")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # The others go as one column, which no column of the operator's own can clash with.
+    clean = chunk_dedup.remove_repeats(docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in others]).alias(rest)))
+    column = {c: F.col(rest)[c] for c in others} | {"doc_id": F.col("doc_id"), "text": F.col("clean_text")}
+    if "n_chars" in others:
+        column["n_chars"] = F.coalesce(F.length("clean_text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    return clean.select(*[column[c].alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,6 +108,23 @@ def with_numeric_value(df: DataFrame, source: str = "RawData", target: str = "va
     return df.withColumn(target, numeric_value(source))
 
 
+def with_variant(df: DataFrame, payload: str = "json", field: str = "value", target: str = "value_variant") -> DataFrame:
+    """A field of the payload as VARIANT, read once a record: lists, objects and numbers of up to 38 digits keep
+    their parts for ``variant_get``. NULL where the payload is no JSON, as with a bare NaN in it."""
+    return computed_once(df, target, F.variant_get(F.try_parse_json(payload), f"$.{field}", "variant"))
+
+
+def with_value_type(df: DataFrame, payload: str = "json", field: str = "value", target: str = "value_type") -> DataFrame:
+    """The JSON type of a field: ``string``, ``number``, ``boolean``, ``array`` or ``object``; NULL if it is null or
+    missing, or the payload is no JSON. Beside the parsed text, in which ``"12"`` and ``12`` are alike."""
+    shape = F.schema_of_variant(F.variant_get(F.try_parse_json(payload), f"$.{field}", "variant"))
+    rows = computed_once(df, target, shape)
+    kind = F.regexp_extract(target, "^[A-Z]+", 0)
+    return rows.withColumn(
+        target,
+        F.when(kind.isin("STRING", "BOOLEAN", "ARRAY", "OBJECT"), F.lower(kind)).when(F.col(target).isNotNull() & (kind != "VOID"), "number"))
+
+
 def json_safe(column: Column, data_type: T.DataType) -> Column:
     """A column as it may go into a message: times as ISO text, non-finite numbers as NULL, also within
     nested data, which stays nested, and everything else as it is."""

@@ -66,11 +66,19 @@ def latest_values(
     return first_per_group(df, by, order, 1)
 
 
-def with_typed_value(df: DataFrame, source: str = "RawData") -> DataFrame:
-    """``kind`` (integer, float, string; NULL for no value) and one typed column for each kind."""
+def with_typed_value(df: DataFrame, source: str = "RawData", json_type: str | None = None) -> DataFrame:
+    """``kind`` (integer, float, string; NULL for no value) and one typed column for each kind.
+
+    With the column ``json_type`` (:func:`gaugeline.operators.parsing.with_value_type`) only a JSON number is a
+    number; without, or where that is NULL, any text that looks like one.
+    """
     text, kind = F.trim(source), F.col("kind")
+    looks = value_kind(source)
+    if json_type is not None:
+        known = F.col(json_type).isNotNull() & (F.col(json_type) != "number")
+        looks = F.when(known & F.col(source).isNotNull(), "string").otherwise(looks)
     # The kind vouches for the casts: no need to match the patterns again.
-    return computed_once(df, "kind", value_kind(source)).withColumns(
+    return computed_once(df, "kind", looks).withColumns(
         {
             "value_integer": F.when(kind == "integer", text.try_cast("bigint")),
             "value_float": F.when(kind == "float", text.try_cast("double")),

@@ -60,27 +60,34 @@ control AS (
   WHERE event_id % 53 = 0 OR event_id % 59 = 0 OR event_type = 'error'
 )"""
 
-# Value text of the messages with values of all kinds.
+# Value text of the messages with values of all kinds, the JSON type it came as, and what it is read as.
 _MIXED = f"""
 {_MSG},
-mixed AS (
-  SELECT event_id, node_id, broken,
-    CASE WHEN broken OR event_id % 97 = 0 THEN NULL
-      WHEN event_id % 6 = 0 THEN CAST(event_id AS VARCHAR)
-      WHEN event_id % 6 = 1 THEN event_type
-      WHEN event_id % 6 = 2 THEN CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END
-      WHEN event_id % 6 = 3 THEN '[' || user_id || ',' || event_id || ']'
-      WHEN event_id % 6 = 4 THEN CAST(user_id * 100.0::DOUBLE AS VARCHAR)
-      ELSE number_text END AS raw,
-    CASE WHEN broken OR event_id % 97 = 0 THEN NULL
-      WHEN event_id % 6 = 0 THEN 'integer'
-      WHEN event_id % 6 IN (1, 2, 3) THEN 'string'
-      ELSE 'float' END AS kind,
+shaped AS (
+  SELECT *, CAST(number AS VARCHAR) AS number_text,
     CASE WHEN broken OR event_id % 97 = 0 THEN NULL
-      WHEN event_id % 6 = 0 THEN CAST(event_id AS DOUBLE)
-      WHEN event_id % 6 = 4 THEN user_id * 100.0::DOUBLE
-      WHEN event_id % 6 = 5 THEN number END AS number
-  FROM (SELECT *, CAST(number AS VARCHAR) AS number_text FROM msg)
+      WHEN event_id % 12 = 1 THEN 'digits' WHEN event_id % 60 = 7 THEN 'truth'
+      WHEN event_id % 6 = 0 THEN 'integer' WHEN event_id % 6 = 1 THEN 'text'
+      WHEN event_id % 30 = 2 THEN 'long' WHEN event_id % 6 = 2 THEN 'boolean'
+      WHEN event_id % 30 = 3 THEN 'nested' WHEN event_id % 6 = 3 THEN 'list'
+      WHEN event_id % 6 = 4 THEN 'hundreds' ELSE 'number' END AS shape
+  FROM msg
+),
+mixed AS (
+  SELECT event_id, node_id, broken, user_id, shape,
+    CASE shape WHEN 'digits' THEN CAST(event_id AS VARCHAR) WHEN 'truth' THEN 'true' WHEN 'integer' THEN CAST(event_id AS VARCHAR)
+      WHEN 'text' THEN event_type WHEN 'long' THEN '123456789012' || lpad(CAST(event_id AS VARCHAR), 9, '0')
+      WHEN 'boolean' THEN CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END
+      WHEN 'nested' THEN '[[' || user_id || ',"e"],{{"k":' || event_id || '}}]' WHEN 'list' THEN '[' || user_id || ',' || event_id || ']'
+      WHEN 'hundreds' THEN CAST(user_id * 100.0::DOUBLE AS VARCHAR) WHEN 'number' THEN number_text END AS raw,
+    CASE WHEN shape IN ('digits', 'truth', 'text') THEN 'string' WHEN shape IN ('nested', 'list') THEN 'array'
+      WHEN shape = 'boolean' THEN 'boolean' WHEN shape IS NOT NULL THEN 'number' END AS json_type,
+    CASE WHEN shape = 'integer' THEN 'integer' WHEN shape IN ('long', 'hundreds', 'number') THEN 'float'
+      WHEN shape IS NOT NULL THEN 'string' END AS kind,
+    CASE WHEN shape IN ('digits', 'integer') THEN CAST(event_id AS DOUBLE)
+      WHEN shape = 'long' THEN CAST('123456789012' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS DOUBLE)
+      WHEN shape = 'hundreds' THEN user_id * 100.0::DOUBLE WHEN shape = 'number' THEN number END AS number
+  FROM shaped
 )"""
 
 _SECOND_TAG = "CASE sent_tag WHEN 'Diagnostics.LastError' THEN 'LastError' ELSE replace(sent_tag, ' ', '') END"
@@ -418,7 +425,7 @@ SELECT event_id, 'OPCUA' AS topic, node_id AS key, node_id, value, CAST(code AS
 FROM msg WHERE node_id IS NOT NULL""",
     "published_payload": f"""WITH {_MIXED}
 SELECT m.event_id, CASE WHEN m.broken THEN '{{}}' ELSE '{{"node_id":"' || m.node_id || '"'
-  || CASE WHEN raw IS NULL THEN '' WHEN m.event_id % 6 = 1 THEN ',"value":"' || raw || '"' ELSE ',"value":' || raw END
+  || CASE WHEN raw IS NULL THEN '' WHEN json_type = 'string' THEN ',"value":"' || raw || '"' ELSE ',"value":' || raw END
   || ',"status_code":' || code || '}}' END AS payload
 FROM msg m JOIN mixed x ON m.event_id = x.event_id""",
     "topic_fanout": f"""WITH {_MSG}, {_CONTROL}
@@ -480,4 +487,10 @@ SELECT {_PLACE}, window_start, window_start + INTERVAL 6 HOUR AS window_end, cou
 FROM binned GROUP BY ALL
 HAVING window_start + INTERVAL 6 HOUR <= (SELECT max(coalesce(source_time, ingest_time, ts)) FROM msg) - INTERVAL 20 DAY""",
     "stream_balanced": _HISTORY_ROWS,
+    "value_types": f"""WITH {_MIXED} SELECT event_id, raw AS value, json_type AS value_type FROM mixed""",
+    "value_parts": f"""WITH {_MIXED}
+SELECT event_id, CASE WHEN shape = 'list' THEN user_id END AS first, CASE WHEN shape = 'list' THEN event_id END AS second,
+  CASE WHEN shape = 'nested' THEN user_id END AS inner_first, CASE WHEN shape = 'nested' THEN event_id END AS inner_key,
+  CASE WHEN shape = 'long' THEN raw WHEN shape IN ('integer', 'digits') THEN CAST(event_id AS VARCHAR) END AS whole
+FROM mixed WHERE NOT broken AND shape IS NOT NULL""",
 }

@@ -576,9 +576,14 @@ def latest_per_tag(spark, folder):
     return readings.latest_values(views.hierarchy(spark, folder, extra=False), tie_break=TIE)
 
 
+def _mixed(spark, folder):
+    """Messages with values of all kinds and the JSON type of each."""
+    return parsing.with_value_type(history.messages(views.envelope(spark, folder, mixed_values=True), (*KEEP, "json")))
+
+
 def _typed(spark, folder):
-    rows = views.messages(spark, folder, mixed_values=True).select(*KEEP, "node_id", F.col("value").alias("RawData"))
-    return readings.with_typed_value(rows)
+    rows = _mixed(spark, folder).select(*KEEP, "node_id", F.col("value").alias("RawData"), "value_type")
+    return readings.with_typed_value(rows, json_type="value_type").drop("value_type")
 
 
 def _whole_as_text(df):
@@ -591,6 +596,23 @@ def typed_values(spark, folder):
     return _whole_as_text(_typed(spark, folder))
 
 
+@register
+def value_types(spark, folder):
+    return _mixed(spark, folder).select(*KEEP, "value", "value_type")
+
+
+@register
+def value_parts(spark, folder):
+    """Parts of lists and objects, and whole numbers of any length."""
+    decoded = parsing.decode(views.envelope(spark, folder, mixed_values=True)).select(*KEEP, "json")
+    part = lambda path, kind: F.try_variant_get("value_variant", path, kind)
+    rows = parsing.with_variant(decoded).where("value_variant is not null")
+    return rows.select(
+        *KEEP, part("$[0]", "bigint").alias("first"), F.when(part("$[1].k", "bigint").isNull(), part("$[1]", "bigint")).alias("second"),
+        part("$[0][0]", "bigint").alias("inner_first"), part("$[1].k", "bigint").alias("inner_key"),
+        F.when(F.schema_of_variant("value_variant").rlike(r"^(BIGINT|STRING|DECIMAL\((19|[23]\d),0\))$"), part("$", "decimal(38,0)")).cast("string").alias("whole"))
+
+
 @register
 def typed_table(spark, folder):
     path = scratch_path(spark, "typed")
@@ -624,8 +646,8 @@ def kafka_envelope_roundtrip(spark, folder):
 @register
 def published_payload(spark, folder):
     """The bytes on the wire for values of all kinds: numbers, text, booleans, lists and none."""
-    rows = views.messages(spark, folder, mixed_values=True).select(*KEEP, "node_id", "value", "status_code")
-    sent = publishing.to_messages(rows, keep=KEEP)
+    rows = _mixed(spark, folder).select(*KEEP, "node_id", "value", "value_type", "status_code")
+    sent = publishing.to_messages(rows, fields=("node_id", "value", "status_code"), keep=KEEP, types={"value": "value_type"})
     return sent.select(*KEEP, F.col("value").cast("string").alias("payload"))
 
 

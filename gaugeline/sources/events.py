@@ -53,11 +53,16 @@ _READING = f"""
     ELSE 'Good' END AS quality,
   IF(event_id % 13 = 0, NULL, {_SOURCE}) AS source_timestamp"""
 
-# Numbers, text, booleans and lists, as the wire allows them; NULL for none.
+# Numbers, text, booleans and lists, as the wire allows them; NULL for none. Some texts look like numbers or
+# booleans, some numbers have 21 digits, some lists hold lists and objects.
 _MIXED_VALUE = """CASE WHEN event_id % 97 = 0 THEN NULL
+  WHEN event_id % 12 = 1 THEN '"' || event_id || '"'
+  WHEN event_id % 60 = 7 THEN '"true"'
   WHEN event_id % 6 = 0 THEN string(event_id)
   WHEN event_id % 6 = 1 THEN '"' || event_type || '"'
+  WHEN event_id % 30 = 2 THEN '123456789012' || lpad(string(event_id), 9, '0')
   WHEN event_id % 6 = 2 THEN string(user_id % 2 = 0)
+  WHEN event_id % 30 = 3 THEN '[[' || user_id || ',"e"],{"k":' || event_id || '}]'
   WHEN event_id % 6 = 3 THEN '[' || user_id || ',' || event_id || ']'
   WHEN event_id % 6 = 4 THEN user_id || 'e2'
   ELSE string(value) END"""

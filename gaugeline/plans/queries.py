@@ -45,21 +45,27 @@ def _value_column(df: DataFrame) -> str:
     return name
 
 
-def _newest(df: DataFrame, time: Column, n: int | None, tie_break: Sequence[str], date_partition: str | None) -> DataFrame:
+def _newest(
+    df: DataFrame, time: Column, n: int | None, tie_break: Sequence[str], date_partition: str | None, counts: DataFrame | None = None
+) -> DataFrame:
     """The ``n`` newest rows.
 
-    ``date_partition`` is for tables stored by date: rows are counted by date, which reads no more than
-    the filter's columns, and only the newest dates that hold ``n`` rows are read, through a pushed
-    scalar subquery on the partition. Rows without a date are those without a time; they come last, and
-    are read too if the dates hold fewer than ``n``.
+    ``date_partition`` is for tables stored by date: only the newest dates that hold ``n`` rows are read,
+    through a pushed scalar subquery on the partition. The rows of each date are taken from the roll-up
+    ``counts``, or else counted, which reads no more than the filter's columns. Rows without a date are
+    those without a time; they come last, and are read too if the dates hold fewer than ``n``.
     """
     if date_partition and n:
         date = F.col(date_partition)
         newer = Window.orderBy(F.col("d").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-        days = df.groupBy(date.alias("d")).agg(F.count(F.lit(1)).alias("n"))  # one row a date
+        rows_of = F.count(F.lit(1)) if counts is None else F.sum("n")
+        # In the type that the partition has here: a cast of the partition itself would hide it.
+        day = date.cast(df.schema[date_partition].dataType).alias("d")
+        days = (df if counts is None else counts).groupBy(day).agg(rows_of.alias("n"))  # one row a date
         days = days.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0))).where(F.col("newer") < n)
-        first, none = days.agg(F.min("d")).scalar(), days.agg(F.coalesce(F.bool_or(F.col("d").isNull()), F.lit(False))).scalar()
-        df = df.where((date >= first) | (date.isNull() & none))
+        none = F.coalesce(F.bool_or(F.col("d").isNull()), F.lit(False))
+        bounds = days.agg(F.struct(F.min("d").alias("first"), none.alias("none"))).scalar()
+        df = df.where((date >= bounds["first"]) | (date.isNull() & bounds["none"]))
     return _limited(df.orderBy(*_newest_first(time, tie_break)), n)
 
 
@@ -74,10 +80,14 @@ def latest_for_node(
     limit: int | None = fixed.LATEST_LIMIT,
     tie_break: Sequence[str] = (),
     date_partition: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest rows of one node; ``limit=None`` for all."""
-    rows = df.where(F.col(_name_column(df)) == node)
-    return _newest(rows, filtering.time_expression(df), limit, tie_break, date_partition)
+    """The newest rows of one node; ``limit=None`` for all. With the table's roll-up as ``counts``
+    (:mod:`gaugeline.plans.rollup`) no other date than those of the result is read at all."""
+    name = _name_column(df)
+    rows = df.where(F.col(name) == node)
+    own = None if counts is None else counts.where(F.col(name) == node)
+    return _newest(rows, filtering.time_expression(df), limit, tie_break, date_partition, own)
 
 
 def node_stats(df: DataFrame, node: str | None = None, value: str | None = None) -> DataFrame:

@@ -493,4 +493,11 @@ SELECT event_id, CASE WHEN shape = 'list' THEN user_id END AS first, CASE WHEN s
   CASE WHEN shape = 'nested' THEN user_id END AS inner_first, CASE WHEN shape = 'nested' THEN event_id END AS inner_key,
   CASE WHEN shape = 'long' THEN raw WHEN shape IN ('integer', 'digits') THEN CAST(event_id AS VARCHAR) END AS whole
 FROM mixed WHERE NOT broken AND shape IS NOT NULL""",
+    "node_days_rolled_up": f"""WITH {_FLAT}
+SELECT "displayName", CAST(CAST("eventTime" AS DATE) AS VARCHAR) AS "eventDate", count(*) AS n, count("valueDouble") AS n_values,
+  round(sum("valueDouble"), 4) AS sum_value, min("valueDouble") AS min_value, max("valueDouble") AS max_value,
+  min("eventTime") AS first_time, max("eventTime") AS last_time
+FROM flat GROUP BY ALL""",
 }
+ORACLES["latest_for_node_counted"] = ORACLES["latest_for_node"]
+ORACLES["node_stats_rolled_up"] = ORACLES["node_stats_all"]

@@ -11,7 +11,7 @@ from gaugeline import fixed, storage
 from gaugeline.functions import status, tags, times
 from gaugeline.operators import address_space, catalogue, filtering, parsing, publishing, readings, routing
 from gaugeline.operators import hierarchy as hierarchy_operators
-from gaugeline.plans import history, maintenance
+from gaugeline.plans import history, maintenance, rollup
 from gaugeline.plans import queries as query
 from gaugeline.registered import views
 from gaugeline.registered.views import AS_OF, HIERARCHY_LAYOUT, KEEP, PLANT, TIE, shown
@@ -310,6 +310,31 @@ def node_stats_all(spark, folder):
     )
 
 
+@register
+def latest_for_node_counted(spark, folder):
+    """As ``latest_for_node``, with the dates from the roll-up."""
+    table, parts = views.stored_rolled_up(spark, folder)
+    rows = query.latest_for_node(table, "Comp_Pressure", tie_break=TIE, date_partition="eventDate", counts=parts)
+    return rows.drop("eventDate")
+
+
+@register
+def node_stats_rolled_up(spark, folder):
+    _, parts = views.stored_rolled_up(spark, folder)
+    return rollup.stats(parts, ("displayName",)).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@register
+def node_days_rolled_up(spark, folder):
+    """The roll-up itself, one row a node and date, kept by a stream."""
+    staged, schema = _staged(spark, folder)
+    table = views.rolled_up(scratch_path(spark, "stream-rollup"))
+    rows = history.flat_rows(_envelope_stream(spark, staged, schema), KEEP)
+    ingest.drain(table.write_stream(rows, f"{table.rollup.path}-checkpoint", ingest.ALL_THERE_IS))
+    parts = table.condense(read_table(spark, table.rollup.path))
+    return parts.withColumn("sum_value", F.round("sum_value", 4))
+
+
 @register
 def query_by_time(spark, folder):
     return query.query_by_time(views.stored_flat(spark, folder), _START, _END, tie_break=TIE).drop("eventDate")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from gaugeline import fixed, storage
 from gaugeline.operators import filtering
 from gaugeline.operators.hierarchy import Plant
 from gaugeline.plans import history
+from gaugeline.plans.rollup import RolledUp
 from gaugeline.session import configure, scratch_path
 from gaugeline.sinks.tables import Table
 from gaugeline.sources import events as adapter
@@ -60,21 +61,42 @@ _stored: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
-def _store_once(spark: SparkSession, folder: str, name: str, build, layout: dict) -> DataFrame:
-    """The table, written to the scratch folder when a session first asks for it, and again when the
+def _path_once(spark: SparkSession, folder: str, name: str, write: Callable[[str], None]) -> str:
+    """A path below the scratch folder, written when a session first asks for it, and again when the
     events that it is made from have changed since."""
     configure(spark)
     key = (spark.sparkContext.applicationId, folder, name, storage.fingerprint(spark, f"{folder}/events.parquet"))
     with _lock:
         if key not in _stored:
             path = scratch_path(spark, name)
-            Table(path, **layout).write_batch(build(spark, folder), mode="errorifexists")
+            write(path)
             _stored[key] = path
-    return read_table(spark, _stored[key])
+    return _stored[key]
+
+
+def _store_once(spark: SparkSession, folder: str, name: str, build, layout: dict) -> DataFrame:
+    write = lambda path: Table(path, **layout).write_batch(build(spark, folder), mode="errorifexists")
+    return read_table(spark, _path_once(spark, folder, name, write))
+
+
+def rolled_up(path: str) -> RolledUp:
+    return RolledUp(Table(f"{path}/readings", **FLAT_LAYOUT, bloom_on=("displayName",)), Table(f"{path}/rollup"))
+
+
+def stored_rolled_up(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The flat table and its roll-up, written in two batches, the second with rows of the same dates as the first."""
+
+    def write(path: str) -> None:
+        rows = flat(spark, folder)
+        for late in (False, True):
+            rolled_up(path).write_batch(rows.where((F.col("offset") % 3 == 0) == late))
+
+    path = _path_once(spark, folder, "rolled-up", write)
+    return read_table(spark, f"{path}/readings"), read_table(spark, f"{path}/rollup")
 
 
 def drop_stored(spark: SparkSession) -> None:
-    """Delete what :func:`_store_once` has written for this session."""
+    """Delete what :func:`_path_once` has written for this session."""
     with _lock:
         for key in [k for k in _stored if k[0] == spark.sparkContext.applicationId]:
             storage.delete(spark, _stored.pop(key))

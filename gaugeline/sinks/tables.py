@@ -57,7 +57,8 @@ class Table:
 
     ``merge_schema`` lets a later writer add columns (for parquet the reader merges). With
     ``files_per_partition`` a stream gathers each table partition before it writes; a batch is
-    rebalanced instead, where adaptive execution splits a hot partition by its real size.
+    rebalanced instead, where adaptive execution splits a hot partition by its real size. Parquet
+    files get bloom filters on the columns ``bloom_on``: a scan for a value skips row groups that lack it.
     """
 
     path: str
@@ -67,10 +68,12 @@ class Table:
     merge_schema: bool = False
     files_per_partition: int | None = None
     salt_from: Sequence[str] = ()
+    bloom_on: Sequence[str] = ()
     options: Mapping[str, str] = field(default_factory=dict)
 
     def _options(self) -> dict[str, str]:
-        return {**({"mergeSchema": "true"} if self.merge_schema else {}), **self.options}
+        blooms = {f"parquet.bloom.filter.enabled#{column}": "true" for column in self.bloom_on}
+        return {**({"mergeSchema": "true"} if self.merge_schema else {}), **blooms, **self.options}
 
     def write_stream(
         self,
@@ -111,20 +114,25 @@ class Table:
         require_same_run(df.sparkSession, self.path, checkpoint)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            rows = batch.hint("rebalance", *self.partition_by).withColumn(BATCH, F.lit(batch_id))
-            if self.sort_by:
-                rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
-            writer = rows.write.format(self.format).partitionBy(*self.partition_by, BATCH).options(**self._options())
-            if self.format == "parquet":
-                writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
-            else:
-                writer.mode("append").options(txnAppId=checkpoint, txnVersion=str(batch_id)).save(self.path)
+            self.write_numbered(batch, batch_id, checkpoint)
 
         writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         if name:
             writer = writer.queryName(name)
         return (writer.trigger(**trigger) if trigger else writer).start()
 
+    def write_numbered(self, batch: DataFrame, batch_id: int, checkpoint: str) -> None:
+        """One batch of :meth:`write_stream_balanced`."""
+        rows = batch.hint("rebalance", *self.partition_by).withColumn(BATCH, F.lit(batch_id))
+        if self.sort_by:
+            rows = rows.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        writer = rows.write.format(self.format).partitionBy(*self.partition_by, BATCH).options(**self._options())
+        if self.format == "parquet":
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(self.path)
+        else:
+            done = {"txnAppId": f"{checkpoint}:{self.path}", "txnVersion": str(batch_id)}
+            writer.mode("append").options(**done).save(self.path)
+
     def write_batch(self, df: DataFrame, mode: str = "append", ranges: int | None = None) -> None:
         """With ``ranges`` that many tasks each write a range of ``sort_by``, at the price of a pass to
         sample it; rows of equal time are told apart by a hash of the row."""

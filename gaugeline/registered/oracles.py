@@ -498,6 +498,15 @@ SELECT "displayName", CAST(CAST("eventTime" AS DATE) AS VARCHAR) AS "eventDate",
   round(sum("valueDouble"), 4) AS sum_value, min("valueDouble") AS min_value, max("valueDouble") AS max_value,
   min("eventTime") AS first_time, max("eventTime") AS last_time
 FROM flat GROUP BY ALL""",
+    "compacted_by_curve": _HISTORY_ROWS,
+    "stream_type_widening": """
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN CAST(event_id * 10000000000 AS VARCHAR)
+  WHEN 2 THEN CAST(value AS VARCHAR) ELSE 'v' || event_id END AS reading
+FROM events""",
+    "stream_checked": f"""WITH {_PLACED}
+SELECT {_ALL}, concat_ws(',', CASE WHEN "ValueDouble" IS NULL THEN 'has a number' END, CASE WHEN "StatusCode" <> '0' THEN 'status is good' END)
+  AS failed_expectations
+FROM history WHERE message_class = 'reading' AND {_LISTED}""",
 }
 ORACLES["latest_for_node_counted"] = ORACLES["latest_for_node"]
 ORACLES["node_stats_rolled_up"] = ORACLES["node_stats_all"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +18,11 @@ from gaugeline.registered import views
 from gaugeline.registered.views import AS_OF, HIERARCHY_LAYOUT, KEEP, PLANT, TIE, shown
 from gaugeline.session import scratch_path
 from gaugeline.sinks.tables import BATCH, Table
+from gaugeline.sinks.widening import WideningTable
 from gaugeline.sources import events as adapter
 from gaugeline.sources.files import FileSource, cached, read_parquet, read_table, read_tag_list
 from gaugeline.streaming import ingest, side_outputs, stateful
+from gaugeline.streaming.expectations import FAILED, Checked, Expectation
 from gaugeline.streaming import latest as latest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -861,3 +864,52 @@ def compacted_history(spark, folder):
     target = scratch_path(spark, "compacted")
     maintenance.compact(spark, path, target, **HIERARCHY_LAYOUT)
     return read_table(spark, target)
+
+
+@register
+def compacted_by_curve(spark, folder):
+    """The history as files that each hold a range of tags and times, small enough that there are many."""
+    source = scratch_path(spark, "uncurved")
+    views.hierarchy(spark, folder).write.parquet(source)
+    target = scratch_path(spark, "curved")
+    maintenance.compact_by_curve(spark, source, target, file_bytes=max(1, maintenance.selected_bytes(read_table(spark, source)) // 16))
+    return read_table(spark, target)
+
+
+@register
+def stream_type_widening(spark, folder):
+    """A value that comes as int, then as long, as double and as text: one column of text in the end."""
+    staged = scratch_path(spark, "typed-parts")
+    source = views.events(spark, folder).select("event_id", "user_id", "value")
+    table, checkpoint = WideningTable(scratch_path(spark, "widening")), scratch_path(spark, "widening-checkpoint")
+    values = (F.col("user_id").cast("int"), F.col("event_id") * 10_000_000_000, F.col("value"), F.concat(F.lit("v"), "event_id"))
+    for part, value in enumerate(values):
+        source.where(F.col("event_id") % len(values) == part).write.mode("append").parquet(staged)
+        rows = FileSource(staged, schema=source.schema).read_stream(spark).select("event_id", value.alias("reading"))
+        ingest.drain(table.write_stream(rows, checkpoint, ingest.ALL_THERE_IS))
+    return table.read(spark)
+
+
+@register
+def stream_checked(spark, folder):
+    """Readings and failing rows of the assembled job. Its first run refuses a batch; the second, with wider
+    bounds, takes it in."""
+    staged, schema = _staged(spark, folder)
+    path = scratch_path(spark, "stream-checked")
+    source = FileSource(staged, schema=schema, max_files_per_trigger=max(1, storage.file_count(spark, staged) // 4))
+    good, failing = Table(f"{path}/readings"), Table(f"{path}/failing")
+    for share in (0.0, 0.5):
+        expectations = [
+            Expectation("has a number", F.col("ValueDouble").isNotNull()),
+            Expectation("status is good", F.col("StatusCode") == "0", share),
+        ]
+        job = history.hierarchy_job(
+            spark, source, Checked(good, failing, expectations), f"{path}/checkpoint", PLANT, views.IDS, AS_OF, KEEP, trigger=ingest.ALL_THERE_IS)
+        try:
+            ingest.drain(job)
+        except StreamingQueryException as error:
+            if "status is good" not in str(error):
+                raise
+    taken = read_table(spark, good.path).drop(BATCH).withColumn(FAILED, F.lit(""))
+    refused = read_table(spark, failing.path).drop(BATCH).withColumn(FAILED, F.array_join(FAILED, ","))
+    return taken.unionByName(refused)

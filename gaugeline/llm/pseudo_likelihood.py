@@ -37,6 +37,27 @@ UNIT = 2.0**-30
 SHARDS = 16
 
 
+#: Rows of a matrix product at a time: beyond that the linear algebra library would start threads of its own, which
+#: wait busily on a machine whose cores all have a task.
+ROWS = 128
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` for many rows and few columns."""
+    whole = len(a) // ROWS * ROWS
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    np.matmul(a[:whole].reshape(-1, ROWS, a.shape[1]), b, out=out[:whole].reshape(-1, ROWS, b.shape[1]))
+    np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` for many rows and few columns."""
+    whole = len(a) // ROWS * ROWS
+    parts = a[:whole].reshape(-1, ROWS, a.shape[1]).transpose(0, 2, 1) @ b[:whole].reshape(-1, ROWS, b.shape[1])
+    return parts.sum(axis=0) + a[whole:].T @ b[whole:]
+
+
 def class_of(ids: np.ndarray) -> np.ndarray:
     """The most frequent half of the classes' words are classes of their own; the rest share by hash."""
     alone = CLASSES // 2
@@ -176,7 +197,7 @@ class Network:
         """Class log-probabilities of windows of ids, and what training needs of the way there."""
         found = self.e[around]
         hidden = np.tanh(np.einsum("nkd,kd->nd", found, self.p) + self.b)
-        scores = hidden @ self.w + self.c
+        scores = product(hidden, self.w) + self.c
         scores -= scores.max(axis=1, keepdims=True)
         return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True)), hidden, found
 
@@ -192,31 +213,37 @@ class Network:
         n = len(ids)
         slope[np.arange(n), class_of(ids)] -= 1
         slope *= rate
-        back = slope @ self.w.T
+        back = product(slope, self.w.T)
         deep = np.flatnonzero(lexicon_.sides[ids, :1].any(axis=1))  # of classes with more than one word
         if len(deep):
             scores, sides, forks, weights = self.within(hidden[deep], ids[deep], lexicon_)
             fork_slope = (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - (sides > 0)) * (rate * (sides != 0)).astype(np.float32)
             back[deep] += np.einsum("nf,nfd->nd", fork_slope, weights)
-            _move(self.v, forks, fork_slope[:, :, None] * hidden[deep][:, None, :])
+            _move(self.v, forks, hidden[deep], fork_slope)
         before = back * (1 - hidden**2)
-        self.w -= hidden.T @ slope / n * 8
+        self.w -= crossed(hidden, slope) / n * 8
         self.c -= slope.sum(axis=0) / n * 8
         place = np.einsum("nkd,nd->kd", found, before) / n
         # embeddings are rare: each moves by its own windows, not by their share of the batch
-        _move(self.e, around, before[:, None, :] * self.p)
+        _move(self.e, around, before, self.p)
         self.b -= before.sum(axis=0) / n
         self.p -= place
 
 
-def _move(table: np.ndarray, rows: np.ndarray, slopes: np.ndarray) -> None:
-    """Move each of ``rows`` against the sum of its slopes, by the root of how many they are."""
-    rows = rows.ravel()
-    order = np.argsort(rows, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
-    sums = np.add.reduceat(slopes.reshape(-1, DIMENSION)[order], first, axis=0)
-    counts = np.diff(np.append(first, len(rows)))[:, None]
-    table[rows[order][first]] -= sums / np.sqrt(counts)
+def _move(table: np.ndarray, rows: np.ndarray, of_place: np.ndarray, factors: np.ndarray) -> None:
+    """Move the rows ``rows[i, j]`` of a table against the sums of their slopes, by the root of how many these are.
+    A slope is the vector ``of_place[i]`` times ``factors[i, j]``, or times the vector ``factors[j]``."""
+    n, single = rows.shape[1], factors.shape == rows.shape
+    # Numbers of 16 bits are sorted by their digits, in one pass over them; EDGE is the last row.
+    rows = np.where(rows < 0, rows + len(table), rows).ravel()
+    order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    # One dimension after the other, in memory too: sums then run along it.
+    slopes = np.take(np.ascontiguousarray(of_place.T), order // n, axis=1)
+    slopes *= factors.ravel()[order] if single else np.take(np.ascontiguousarray(factors.T), order % n, axis=1)
+    sums = np.add.reduceat(slopes, first, axis=1)
+    table[rows[first]] -= (sums / np.sqrt(np.diff(np.append(first, len(rows))))).T
 
 
 #: The id of places beyond the ends of a text: the last embedding, however many there are.

@@ -157,9 +157,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, min_words: int = MIN_W
 
     @F.arrow_udf("struct<text:string,n_chunks:int,n_removed:int,removed_words:int,spans:array<struct<begin:int,end:int>>,first_docs:array<long>>")
     def cleaned(doc_id: pa.Array, text: pa.Array, elsewhere: pa.Array, firsts: pa.Array) -> pa.Array:
-        columns = zip(*(c.to_pylist() for c in (doc_id, text, elsewhere, firsts)))
-        rows = [clean(i, t, d, f) if t is not None else (None, 0, 0, 0, [], []) for i, t, d, f in columns]
-        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, fields)], fields=fields)
+        kind, parts = pa.struct(fields), []
+        for begin in range(0, len(text), 64):  # a few texts at a time as strings
+            columns = zip(*(c.slice(begin, 64).to_pylist() for c in (doc_id, text, elsewhere, firsts)))
+            rows = [clean(i, t, d, f) if t is not None else (None, 0, 0, 0, [], []) for i, t, d, f in columns]
+            parts.append(pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], fields=fields))
+        ragged.give_back()
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     joined = docs.join(found, "doc_id", "left")
     joined = joined.withColumn("_clean", cleaned(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("_digests"), F.col("_firsts")))

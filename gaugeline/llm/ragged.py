@@ -52,6 +52,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+        batch = sizes = None
         give_back()
 
 

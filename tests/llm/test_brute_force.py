@@ -1,0 +1,90 @@
+"""Queries recomputed document by document: noisy-or scores, verdicts on compression, ids of whole tables."""
+
+import hashlib
+import math
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+import zstandard
+from tokenizers import Tokenizer
+
+from gaugeline.llm import byte_bpe, compression_bands, toxicity_mil
+from gaugeline.llm.queries import QUERIES
+from gaugeline.llm.tables import documents
+from tests.llm.test_queries import WORD
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small):
+    return {r["doc_id"]: r["text"] or "" for r in documents(spark, small).collect()}
+
+
+def test_noisy_or_of_sentences(spark, small, texts):
+    """A document's score from its sentences, each from its different words, all in plain Python."""
+    docs = documents(spark, small)
+    model = toxicity_mil.fit(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    vocabulary = sorted({w for t in texts.values() for w in WORD.findall(t)})
+    weight = dict(zip(vocabulary, model.weights[toxicity_mil.features(pa.array(vocabulary, pa.large_string()))].sum(axis=1).tolist()))
+    found = {r["doc_id"]: r for r in toxicity_mil.score(docs, model).collect()}
+    assert sum(r["predicted"] for r in found.values()) > 3
+    for doc_id, text in texts.items():
+        none, offends = 0.0, []
+        for begin, end in toxicity_mil.sentence_spans(text):
+            logit = model.bias + sum(weight[w] for w in sorted(set(WORD.findall(text[begin:end]))))
+            p = 1 / (1 + math.exp(-logit))
+            none += math.log1p(-min(p, 1 - 1e-15))
+            if p >= toxicity_mil.OFFENDS:
+                offends.append((begin, end))
+        r = found[doc_id]
+        assert r["score"] == pytest.approx(-math.expm1(none), abs=1e-5)
+        assert r["predicted"] == (r["score"] >= 0.5)
+        assert [(s["begin"], s["end"]) for s in r["offending"]] == offends
+
+
+def test_verdicts_on_compression(spark, small, texts):
+    compressor = zstandard.ZstdCompressor(level=compression_bands.LEVEL)
+    band = list(zip([*compression_bands.LENGTHS, math.inf], compression_bands.LOWEST, compression_bands.HIGHEST))
+    kept = 0
+    for r in QUERIES["op7_compression_bands"](spark, small).collect():
+        data = texts[r["doc_id"]].encode()
+        if not data:
+            assert (r["ratio"], r["kept"]) == (None, False)
+            continue
+        ratio = len(compressor.compress(data)) / len(data)
+        low, high = next((low, high) for limit, low, high in band if len(data) <= limit)
+        chunks = [data[i:i + 2048] for i in range(0, len(data), 2048)]
+        if len(chunks) > 1 and len(chunks[-1]) < 512:
+            chunks[-2:] = [chunks[-2] + chunks[-1]]
+        bad = sum(len(c) for c in chunks if not 0.25 <= len(compressor.compress(c)) / len(c) <= 0.85) if len(data) >= 512 else 0
+        assert (r["ratio"], r["bad_chunk_share"]) == (ratio, bad / len(data))
+        assert r["kept"] == (not r["base_failed"] and low <= ratio <= high and bad <= 0.3 * len(data))
+        kept += r["kept"]
+    assert 0 < kept < len(texts)
+
+
+def test_byte_bpe_equals_tiktoken_on_all_documents(spark, small, texts):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    reference = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    for r in QUERIES["op9_byte_bpe"](spark, small).collect():
+        ids = reference.encode_ordinary(texts[r["doc_id"]])
+        listed = ",".join(map(str, ids))
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(listed.encode()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+    offsets = byte_bpe.encode(documents(spark, small), path).collect()
+    for r in offsets:  # the offsets of a text cover it, one after the other
+        text = texts[r["doc_id"]]
+        assert all(b <= e for b, e in zip(r["begins"], r["ends"])) and r["begins"] == sorted(r["begins"])
+        assert not text or (r["begins"][0], r["ends"][-1]) == (0, len(text))
+
+
+def test_token_files_equal_the_library_on_all_documents(spark, small, texts):
+    library, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
+    found = {r["doc_id"]: r for r in QUERIES["op10_simple8b"](spark, small).collect()}
+    for doc_id in sorted(texts):
+        ids = np.array([*library.encode(texts[doc_id], add_special_tokens=False).ids, 2], "<u4")
+        assert (found[doc_id]["start"], found[doc_id]["n_tokens"], found[doc_id]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)

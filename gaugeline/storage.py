@@ -23,6 +23,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, found by one call to the store's listing."""
+    hadoop_path, fs = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     hadoop_path, fs = _path(spark, path)
     return fs.getContentSummary(hadoop_path).getFileCount()

@@ -68,16 +68,50 @@ def start(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def _complete(spark: SparkSession, root: str, table: str) -> tuple[list[tuple[int, int]], list[int]]:
+    """Ranges of batches that are merged, and numbers of the other batches, those that have their success marker."""
+    names = [path.split("/")[-2] for path in storage.matching(spark, f"{root}/{table}/*/_SUCCESS")]
+    merged = sorted(tuple(map(int, name.removeprefix("merged=").split("-"))) for name in names if name.startswith("merged="))
+    numbers = sorted(int(name.removeprefix("batch=")) for name in names if name.startswith("batch="))
+    return merged, [n for n in numbers if not any(low <= n <= high for low, high in merged)]
+
+
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The batches of a parquet side table that are complete: one that is being written, or written
-    again, has no success marker and stays out."""
+    """The batches of a parquet side table that are complete, merged or as written: one that is being written,
+    or written again, has no success marker and stays out."""
+    merged, numbers = _complete(spark, root, table)
     path = f"{root}/{table}"
-    batches = [f"{path}/{name}" for name in storage.folders(spark, path) if storage.exists(spark, f"{path}/{name}/_SUCCESS")]
-    if not batches:
+    parts = [*[f"{path}/merged={low}-{high}" for low, high in merged], *[f"{path}/batch={n}" for n in numbers]]
+    if not parts:
         raise FileNotFoundError(f"no complete batch below {path}")
-    return spark.read.option("basePath", path).parquet(*batches).drop("batch")
+    return spark.read.parquet(*parts)
+
 
+def compact(spark: SparkSession, root: str, table: str) -> tuple[int, int] | None:
+    """Merge the batches since the last call into one folder of larger files; returns the first and the last of them.
 
-def compact(spark: SparkSession, root: str, table: str, target: str) -> None:
-    """Rewrite the complete batches of a side table as a table of larger files at ``target``."""
-    read(spark, root, table).hint("rebalance").write.mode("errorifexists").parquet(target)
+    Runs beside the stream, again and again: each call reads the new batches only. The newest batch stays out,
+    as it may have to be run again, and so does what follows a batch that is not complete. Readers take the merged rows from
+    the moment that they are complete, and the batches until then; :func:`retire` deletes these.
+    """
+    merged, numbers = _complete(spark, root, table)
+    first = merged[-1][1] + 1 if merged else (numbers[0] if numbers else 0)
+    last = first
+    while last in numbers and last < numbers[-1]:
+        last += 1
+    if last - first < 2:
+        return None
+    path = f"{root}/{table}"
+    rows = spark.read.parquet(*[f"{path}/batch={n}" for n in range(first, last)])
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/merged={first}-{last - 1}")
+    return first, last - 1
+
+
+def retire(spark: SparkSession, root: str, table: str) -> int:
+    """Delete the batches that are merged, once no reader needs them; returns how many."""
+    merged, _ = _complete(spark, root, table)
+    gone = [name for name in storage.folders(spark, f"{root}/{table}") if name.startswith("batch=")
+            and any(low <= int(name.removeprefix("batch=")) <= high for low, high in merged)]
+    for name in gone:
+        storage.delete(spark, f"{root}/{table}/{name}")
+    return len(gone)

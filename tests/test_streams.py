@@ -172,6 +172,37 @@ def test_side_outputs_land_once_after_a_replay(spark, small, tmp_path):
         assert rows_of(side_outputs.read(spark, root, name)) == rows_of(expected[name])
 
 
+def test_side_tables_are_compacted_again_and_again(spark, small, tmp_path):
+    source = views.events(spark, small)
+    both = adapter.readings(source).unionByName(adapter.controls(source))
+    staged, root, checkpoint = str(tmp_path / "staged"), str(tmp_path / "out"), tmp_path / "c"
+
+    def take(part):
+        both.where(F.col("offset") % 3 == part).repartition(3, "offset").write.mode("append").parquet(staged)
+        ingest.drain(side_outputs.start(stream(spark, staged, both.schema), root, str(checkpoint), PLANT, AS_OF, KEEP, ingest.ALL_THERE_IS))
+        return rows_of(side_outputs.read(spark, root, "bad_values"))
+
+    expected = take(0)
+    assert side_outputs.compact(spark, root, "bad_values") == (0, 1)  # the newest may have to be run again
+    assert rows_of(side_outputs.read(spark, root, "bad_values")) == expected
+    assert side_outputs.compact(spark, root, "bad_values") is None
+    assert side_outputs.retire(spark, root, "bad_values") == 2
+    forget_commit(checkpoint, 2)
+    expected = take(1)
+    marker = tmp_path / "out" / "bad_values" / "batch=4" / "_SUCCESS"
+    marker.unlink()  # as if it were being written again: what follows it waits
+    assert side_outputs.compact(spark, root, "bad_values") == (2, 3)
+    marker.touch()
+    assert rows_of(side_outputs.read(spark, root, "bad_values")) == expected
+    expected = take(2)
+    assert side_outputs.compact(spark, root, "bad_values") == (4, 7)
+    assert side_outputs.retire(spark, root, "bad_values") == 6
+    assert rows_of(side_outputs.read(spark, root, "bad_values")) == expected
+    everything = side_outputs.split(history.messages(both, (*KEEP, "json")), PLANT, AS_OF, KEEP)["bad_values"]
+    assert rows_of(everything) == expected
+    assert len(side_outputs.read(spark, root, "bad_values").inputFiles()) < 9
+
+
 def test_schema_evolution(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     spark.createDataFrame([(1, "q")], "id int, quality string").write.parquet(source)

@@ -67,31 +67,33 @@ class Bpe:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one match."""
-        ids, ranks, width, n = [self.bytes[b] for b in data], self.ranks, self.width, len(data)
+        ids, rank_of, joined, width, n = [self.bytes[b] for b in data], self.ranks.get, self.joined, self.width, len(data)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        queue = []  # rank and place of a pair's left symbol in one number; the least rank first, then the leftmost
-        for i in range(n - 1):
-            rank = ranks.get(ids[i] * width + ids[i + 1])
-            if rank is not None:
-                queue.append(rank * n + i)
+        # The rank of the pair that begins at each symbol as it stands now, -1 for none.
+        current = [rank_of(a * width + b, -1) for a, b in zip(ids, ids[1:])] + [-1]
+        # Rank and place of a pair's left symbol in one number; the least rank first, then the leftmost.
+        shift, place = n.bit_length(), (1 << n.bit_length()) - 1
+        queue = [rank << shift | i for i, rank in enumerate(current) if rank >= 0]
         heapq.heapify(queue)
         while queue:
-            rank, i = divmod(heapq.heappop(queue), n)
-            j = after[i]
-            if ids[i] < 0 or j == n or ranks.get(ids[i] * width + ids[j]) != rank:
+            entry = heapq.heappop(queue)
+            i, rank = entry & place, entry >> shift
+            if current[i] != rank:
                 continue  # stale: one of the pair has been merged since
-            ids[i], ids[j] = self.joined[rank], -1
-            k, h = after[j], before[i]
-            after[i] = k
+            j, h = after[i], before[i]
+            k, whole = after[j], joined[rank]
+            ids[i], ids[j], after[i], current[j] = whole, -1, k, -1
             if k < n:
                 before[k] = i
-                rank = ranks.get(ids[i] * width + ids[k])
-                if rank is not None:
-                    heapq.heappush(queue, rank * n + i)
+                current[i] = rank = rank_of(whole * width + ids[k], -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << shift | i)
+            else:
+                current[i] = -1
             if h >= 0:
-                rank = ranks.get(ids[h] * width + ids[i])
-                if rank is not None:
-                    heapq.heappush(queue, rank * n + h)
+                current[h] = rank = rank_of(ids[h] * width + whole, -1)
+                if rank >= 0:
+                    heapq.heappush(queue, rank << shift | h)
         return [i for i in ids if i >= 0]
 
     def matches(self, text: str) -> list[str]:

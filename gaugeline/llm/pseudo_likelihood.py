@@ -233,17 +233,20 @@ class Network:
 def _move(table: np.ndarray, rows: np.ndarray, of_place: np.ndarray, factors: np.ndarray) -> None:
     """Move the rows ``rows[i, j]`` of a table against the sums of their slopes, by the root of how many these are.
     A slope is the vector ``of_place[i]`` times ``factors[i, j]``, or times the vector ``factors[j]``."""
-    n, single = rows.shape[1], factors.shape == rows.shape
+    single = factors.shape == rows.shape
     # Numbers of 16 bits are sorted by their digits, in one pass over them; EDGE is the last row.
     rows = np.where(rows < 0, rows + len(table), rows).ravel()
     order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    # One dimension after the other, in memory too: sums then run along it.
-    slopes = np.take(np.ascontiguousarray(of_place.T), order // n, axis=1)
-    slopes *= factors.ravel()[order] if single else np.take(np.ascontiguousarray(factors.T), order % n, axis=1)
-    sums = np.add.reduceat(slopes, first, axis=1)
-    table[rows[first]] -= (sums / np.sqrt(np.diff(np.append(first, len(rows))))).T
+    new = np.append(True, np.diff(rows[order]) > 0)
+    code = np.empty(len(rows), np.int64)  # of each row its number among the different ones
+    code[order] = np.cumsum(new) - 1
+    moved = rows[order][new]
+    places, factors = np.ascontiguousarray(of_place.T), factors if single else np.ascontiguousarray(factors.T)
+    sums = np.empty((DIMENSION, len(moved)))
+    for d in range(DIMENSION):  # sums of one dimension need no copy of the slopes in order
+        slopes = places[d][:, None] * (factors if single else factors[d])
+        sums[d] = np.bincount(code, slopes.ravel(), len(moved))
+    table[moved] -= (sums / np.sqrt(np.bincount(code, minlength=len(moved)))).T
 
 
 #: The id of places beyond the ends of a text: the last embedding, however many there are.

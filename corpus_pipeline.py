@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm import byte_bpe, chunk_dedup, dart_minhash, source_schedule, toxicity_mil
-from gaugeline.llm.tables import documents, unused, written
+from gaugeline.llm.tables import discard, documents, unused, written
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages, one after the other. A stage's table is deleted when the next one is written; the last stays."""
+    docs, old = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"), new := [])
+        discard(spark, old)
+        old = new
     return docs

@@ -803,7 +803,7 @@ def stream_schema_evolution(spark, folder):
 
 def _sent_messages(spark, path: str, schema) -> DataFrame:
     """A stream of messages with the time at which each was sent."""
-    stream = _envelope_stream(spark, path, schema).withColumnRenamed("timestamp", "arrival")
+    stream = _envelope_stream(views.state_session(spark), path, schema).withColumnRenamed("timestamp", "arrival")
     return stateful.with_sent_time(history.messages(stream, (*KEEP, "arrival")), "arrival")
 
 
@@ -845,7 +845,7 @@ def stream_balanced(spark, folder):
 @register
 def stream_latest_upsert(spark, folder):
     staged, schema = _staged(spark, folder)
-    rows = _hierarchy_stream(_envelope_stream(spark, staged, schema), extra=False)
+    rows = _hierarchy_stream(_envelope_stream(views.state_session(spark), staged, schema), extra=False)
     root = scratch_path(spark, "stream-latest")
     ingest.drain(
         latest_stream.start(rows, root, f"{root}-checkpoint", tie_break=TIE, trigger=ingest.ALL_THERE_IS)

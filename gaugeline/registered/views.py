@@ -145,6 +145,14 @@ def staged_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Col
     return list(parts_by_time(spark, folder, parts, resent))[-1]
 
 
+def state_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
+    """A session for streams that keep state, with so many partitions of it. A query keeps the number that it was
+    first started with, and each costs a store and a task a batch: the given tables need few."""
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
+
+
 def shown(df: DataFrame) -> DataFrame:
     """A result for comparison with SQL: times without a zone, dates and bytes as text, the
     position on the bus under its name in the table."""

@@ -141,10 +141,6 @@ def parts_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Colu
         yield path
 
 
-def staged_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Column | None = None) -> str:
-    return list(parts_by_time(spark, folder, parts, resent))[-1]
-
-
 def state_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
     """A session for streams that keep state, with so many partitions of it. A query keeps the number that it was
     first started with, and each costs a store and a task a batch: the given tables need few."""

@@ -28,7 +28,9 @@ def with_sent_time(messages: DataFrame, arrival: str, default_offset: str = "+00
     return messages.withColumn(SENT_TIME, F.coalesce(*read, arrival))
 
 
-def drop_resent(messages: DataFrame, position: Sequence[str], delay: str = fixed.WATERMARK_DELAY, time: str = SENT_TIME) -> DataFrame:
+def drop_resent(
+    messages: DataFrame, position: Sequence[str], delay: str = fixed.WATERMARK_DELAY, time: str = SENT_TIME, number: Sequence[str] = (),
+) -> DataFrame:
     """The first of the messages of each node and source time.
 
     A producer that delivers at least once sends a message again, with the same node and source time, when
@@ -36,11 +38,15 @@ def drop_resent(messages: DataFrame, position: Sequence[str], delay: str = fixed
     any that is later than that is dropped as late. Without source time the producer's own time tells
     messages apart. A message that lacks a node id or both times, such as one that does not parse, is itself
     only at its place ``position`` on the bus. Messages of a node spread over the state by their time.
+
+    Where different messages of a node may have one time, as when several machines report under one node id,
+    ``number`` names the columns that tell them apart and that a message keeps when it is sent again, such as its
+    number at the producer.
     """
     stamp = F.coalesce(F.concat(F.lit("s"), "source_timestamp"), F.concat(F.lit("p"), "timestamp"))
     place = F.when(F.col("node_id").isNull() | stamp.isNull(), F.to_json(F.struct(*position)))
     keyed = messages.withColumns({"_stamp": stamp, "_place": place})
-    kept = with_watermark(keyed, time, delay).dropDuplicatesWithinWatermark(["node_id", "_stamp", "_place"])
+    kept = with_watermark(keyed, time, delay).dropDuplicatesWithinWatermark(["node_id", "_stamp", "_place", *number])
     return kept.drop("_stamp", "_place")
 
 

@@ -1,12 +1,15 @@
 """Streams that remember: messages sent twice, windows of event time, late rows, restarts."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from gaugeline.sinks.tables import Table
 from gaugeline.sources.files import read_table
 from gaugeline.streaming import ingest, stateful
 from gaugeline.streaming.monitor import ProgressLog
+from tests.check import compare
 
 MESSAGE = "offset long, node_id string, source_timestamp string, timestamp string, value string, arrival timestamp"
 
@@ -53,6 +56,43 @@ def test_resent_messages_are_dropped(sent):
     assert len(kept & {1, 4}) == 1 and kept - {1, 4} == {2, 3, 5, 6, 7, 8, 16, 17, 18}
 
 
+def test_messages_of_one_time_are_told_apart_by_number(spark, tmp_path):
+    chain = lambda df: stateful.drop_resent(stateful.with_sent_time(df, "arrival"), ("offset",), "10 minutes", number=("offset",))
+    run = Run(spark, tmp_path, MESSAGE, chain)
+    first = [message(i, "a", "2024-01-01T00:00:00Z", "x") for i in (1, 2)] + [message(3, None, None, None), message(3, None, None, None)]
+    run(*first)
+    run(*first, message(4, "a", "2024-01-01T00:00:00Z", "x"))
+    assert [r[0] for r in run.rows("offset")] == [1, 2, 3, 4]
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, small, tmp_path_factory):
+    """The events three times with shifted ids: messages of a node share their times. ``days`` also moves the copies apart."""
+
+    def make(days=0):
+        folder = tmp_path_factory.mktemp("repeated")
+        events = spark.read.parquet(f"{small}/events.parquet")
+        copies = events.crossJoin(spark.range(3).withColumnRenamed("id", "copy"))
+        moved = copies.withColumn("event_id", F.expr("event_id + copy * 1000")).withColumn("ts", F.expr(f"ts + make_dt_interval(copy * {days})"))
+        moved.select(*events.columns).coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{folder}/parts")
+        (part,) = folder.glob("parts/*.parquet")
+        part.rename(folder / "events.parquet")
+        return str(folder)
+
+    return make
+
+
+@pytest.mark.parametrize("days", [0, 200])
+def test_messages_of_repeated_tables_are_whole(spark, repeated, days):
+    folder = repeated(days)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet')")
+    for name, dropped in (("stream_deduplicated", ()), ("stream_window_stats", ("avg_value",))):
+        build = lambda s, f: entry.queries()[name](s, f).drop(*dropped)  # noqa: B023, E731
+        sql = f"SELECT * EXCLUDE (avg_value) FROM ({entry.oracle_sql()[name]})" if dropped else entry.oracle_sql()[name]
+        assert compare(spark, con, folder, build, sql) is None
+
+
 def test_state_is_forgotten_and_late_rows_are_counted(sent):
     at = lambda minute: f"2024-01-01T00:{minute:02}:00Z"
     query = sent(*[message(i, "n", at(i), "x") for i in range(8)])

@@ -11,6 +11,11 @@ from gaugeline.sinks.tables import Table
 from gaugeline.sources.files import read_table
 
 
+#: Rows that a task sorts, and so the most in a file, unless the caller says otherwise: well-compressed rows take
+#: many times the bytes of their files in memory.
+FILE_ROWS = 1_000_000
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -20,20 +25,22 @@ def compact(
     table_format: str = "parquet",
     only: Column | None = None,
     file_bytes: int = 128 * 1024 * 1024,
+    file_rows: int = FILE_ROWS,
 ) -> None:
     """Rewrite a table of many small files as a new table at ``target``.
 
     With ``sort_by`` each file gets a range of it: a hot table partition is cut along the range,
     and later scans skip files and row groups by their statistics. Without, rows are rebalanced by
     table partition and by size. ``only`` limits the work to some partitions, such as the days
-    since the last run. There are as many ranges as the files with rows of that work have ``file_bytes``. The
-    old table stays as it is; readers move to the new path when the write has succeeded.
+    since the last run. There are as many ranges as the files with rows of that work have ``file_bytes``, or as that
+    work has ``file_rows`` if that is more, so that what a task sorts does not grow with the table. The old table
+    stays as it is; readers move to the new path when the write has succeeded.
     """
     rows = read_table(spark, path, table_format)
     if only is not None:
         rows = rows.where(only)
     table = Table(target, table_format, partition_by, sort_by)
-    ranges = max(1, -(-selected_bytes(rows) // file_bytes)) if sort_by else None
+    ranges = _ranges(rows, file_bytes, file_rows) if sort_by else None
     table.write_batch(rows, mode="errorifexists", ranges=ranges)
 
 
@@ -81,6 +88,7 @@ def compact_by_curve(
     table_format: str = "parquet",
     only: Column | None = None,
     file_bytes: int = 128 * 1024 * 1024,
+    file_rows: int = FILE_ROWS,
 ) -> None:
     """Rewrite a table as a new one without folders, whose files each hold a range of a curve over tag and time.
 
@@ -92,15 +100,27 @@ def compact_by_curve(
     rows = read_table(spark, path, table_format)
     if only is not None:
         rows = rows.where(only)
-    ranges = max(1, -(-selected_bytes(rows) // file_bytes))
+    ranges = _ranges(rows, file_bytes, file_rows)
     keyed = with_curve_key(rows, tag, time, "_place").repartitionByRange(ranges, "_place", F.xxhash64(*rows.columns))
     keyed.drop("_place").sortWithinPartitions(tag, time).write.format(table_format).mode("errorifexists").save(target)
 
 
+def _selected(rows: DataFrame) -> tuple[int, int]:
+    """Bytes of the files that hold any of ``rows`` of a stored table, and how many rows these are, in one pass. Only
+    the columns of a filter are read."""
+    files = rows.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
+    found = files.agg(F.sum("bytes"), F.sum("n")).first()
+    return found[0] or 0, found[1] or 0
+
+
 def selected_bytes(rows: DataFrame) -> int:
     """Bytes of the files that hold any of ``rows`` of a stored table. Only the columns of a filter are read."""
-    files = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
-    return files.agg(F.sum("bytes")).first()[0] or 0
+    return _selected(rows)[0]
+
+
+def _ranges(rows: DataFrame, file_bytes: int, file_rows: int) -> int:
+    size, count = _selected(rows)
+    return max(1, -(-size // file_bytes), -(-count // file_rows))
 
 
 def file_sizes(spark: SparkSession, path: str):

@@ -46,6 +46,19 @@ def test_files_along_the_curve_skip_on_tag_and_on_time(spark, tmp_path):
     assert spark.read.schema(rows.schema).parquet(empty).count() == 0
 
 
+def test_no_task_of_a_compaction_sorts_more_than_its_rows(spark, tmp_path):
+    """Rows that take few bytes in a file are many in memory: the files are far below ``file_bytes``."""
+    path = str(tmp_path / "plain")
+    spark.range(0, 2_500_000, 1, 4).select("id", F.lit("t").alias("Tag"), F.timestamp_seconds(F.col("id") % 1000).alias("EventTime")).write.parquet(path)
+    targets = str(tmp_path / "sorted"), str(tmp_path / "curve")
+    maintenance.compact(spark, path, targets[0], ("Tag",), ("EventTime",))
+    maintenance.compact_by_curve(spark, path, targets[1])
+    for target in targets:
+        files = read_table(spark, target).groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in files) == 2_500_000 and len(files) >= 3
+        assert max(r["count"] for r in files) < 1.5 * 1_000_000
+
+
 def test_columns_widen_and_never_narrow(spark, tmp_path):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
     table = WideningTable(str(tmp_path / "table"), partition_by=("day",))

@@ -16,6 +16,9 @@ EVENT_SUBSCRIPTION_STATUS = "event_subscription_status"
 UNPARSABLE = "unparsable"
 UNKNOWN = "unknown"
 
+#: Classes that no table but that of the dead letters takes.
+DEAD = (UNPARSABLE, UNKNOWN)
+
 
 def message_class() -> Column:
     """Class of a row of :func:`gaugeline.operators.parsing.parse_messages`."""
@@ -76,7 +79,7 @@ def connection_health(classified: DataFrame, keep=()) -> DataFrame:
 
 def dead_letters(classified: DataFrame, payload: str, keep=()) -> DataFrame:
     """Side table of messages that no other table takes, with the payload as it came."""
-    return of_class(classified, UNPARSABLE, UNKNOWN).select(*keep, "message_class", F.col(payload).alias("payload"))
+    return of_class(classified, *DEAD).select(*keep, "message_class", F.col(payload).alias("payload"))
 
 
 def events(classified: DataFrame, keep=()) -> DataFrame:

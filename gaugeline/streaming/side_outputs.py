@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline import storage
@@ -32,6 +33,11 @@ def split(classified: DataFrame, plant: Plant = Plant(), as_of=None, keep: Seque
     }
 
 
+def to_keep(classified: DataFrame) -> DataFrame:
+    """Classified messages with the payload of dead letters only, the one table that has it."""
+    return classified.withColumn(PAYLOAD, F.when(F.col("message_class").isin(*routing.DEAD), F.col(PAYLOAD)))
+
+
 def start(
     envelope: DataFrame,
     root: str,
@@ -45,13 +51,14 @@ def start(
     """Write every table below ``root``, each batch to a folder of its own.
 
     A batch that is run again after a failure overwrites its own folders and nothing else, so each
-    row lands once. The batch is parsed once and kept while its tables are written. A table format with
+    row lands once. The batch is parsed once and kept while its tables are written, without the payload of
+    messages that are no dead letters. A table format with
     transactions gets one table each instead, and drops a batch that it has already.
     """
     require_same_run(envelope.sparkSession, root, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = messages(batch, (*keep, PAYLOAD), payload=PAYLOAD).persist()
+        parsed = to_keep(messages(batch, (*keep, PAYLOAD), payload=PAYLOAD)).persist()
         try:
             for name, table in split(parsed, plant, as_of, keep).items():
                 # Rebalanced, as a side table may have a few rows in each of many tasks.

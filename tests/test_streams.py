@@ -172,6 +172,13 @@ def test_side_outputs_land_once_after_a_replay(spark, small, tmp_path):
         assert rows_of(side_outputs.read(spark, root, name)) == rows_of(expected[name])
 
 
+def test_only_dead_letters_keep_their_payload_while_tables_are_written(envelope):
+    kept = side_outputs.to_keep(history.messages(envelope, (*KEEP, side_outputs.PAYLOAD)))
+    counts = {r["message_class"]: (r["n"], r["payloads"]) for r in kept.groupBy("message_class").agg(F.count("*").alias("n"), F.count("json").alias("payloads")).collect()}
+    assert {"reading", "bad_value", "unparsable"} <= set(counts)
+    assert all(payloads == (n if name in ("unparsable", "unknown") else 0) for name, (n, payloads) in counts.items())
+
+
 def test_side_tables_are_compacted_again_and_again(spark, small, tmp_path):
     source = views.events(spark, small)
     both = adapter.readings(source).unionByName(adapter.controls(source))

@@ -118,12 +118,17 @@ def stored_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     return _store_once(spark, folder, "catalogue", lambda s, f: adapter.catalogue(events(s, f)), {})
 
 
+#: Most messages in a staged file: a file of few row groups is read by as few tasks, so a batch gets more files as
+#: the table grows, not larger ones.
+STAGED_ROWS = 100_000
+
+
 def staged_envelope(spark: SparkSession, folder: str, files: int = 4, build=envelope) -> str:
-    """The messages as several files, for a stream to take in several batches. Written map-only."""
+    """The messages as several files, ``files`` or more, for a stream to take in several batches. Written map-only."""
     path = scratch_path(spark, "envelope")
     source = build(spark, folder)
     rows = events(spark, folder).count()
-    source.write.option("maxRecordsPerFile", max(1, -(-rows // files))).parquet(path)
+    source.write.option("maxRecordsPerFile", max(1, min(-(-rows // files), STAGED_ROWS))).parquet(path)
     return path
 
 
@@ -137,7 +142,7 @@ def parts_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Colu
     part = F.least(F.lit(parts - 1), (since * parts / (F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1)).cast("int"))
     for number in range(parts):
         again = (part == number - 1) & resent if resent is not None else F.lit(False)
-        rows.where((part == number) | again).write.mode("append").parquet(path)
+        rows.where((part == number) | again).write.mode("append").option("maxRecordsPerFile", STAGED_ROWS).parquet(path)
         yield path
 
 

@@ -179,6 +179,14 @@ def test_only_dead_letters_keep_their_payload_while_tables_are_written(envelope)
     assert all(payloads == (n if name in ("unparsable", "unknown") else 0) for name, (n, payloads) in counts.items())
 
 
+def test_staged_files_do_not_grow_with_the_table(spark, small, monkeypatch):
+    monkeypatch.setattr(views, "STAGED_ROWS", 100)
+    parts = list(views.parts_by_time(spark, small))
+    for path in (views.staged_envelope(spark, small), parts[-1]):
+        files = read_parquet(spark, path).groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in files) == 1000 and max(r["count"] for r in files) <= 100
+
+
 def test_side_tables_are_compacted_again_and_again(spark, small, tmp_path):
     source = views.events(spark, small)
     both = adapter.readings(source).unionByName(adapter.controls(source))

@@ -146,11 +146,26 @@ def parts_by_time(spark: SparkSession, folder: str, parts: int = 4, resent: Colu
         yield path
 
 
+#: How streams of these queries keep state.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1000",
+}
+
+#: Messages of a stream for each partition of its state.
+STATE_ROWS = 500_000
+
+
 def state_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
     """A session for streams that keep state, with so many partitions of it. A query keeps the number that it was
-    first started with, and each costs a store and a task a batch: the given tables need few."""
+    first started with, and each costs a store and a task a batch: the given tables need few. State lies in RocksDB,
+    on disk beyond a bounded share of each executor's memory, and a batch stores the files that it changes."""
     own = configure(spark.newSession())
     own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    for key, value in STATE_CONF.items():
+        own.conf.set(key, value)
     return own
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from gaugeline.registered import queries, views
 from gaugeline.sinks.tables import Table
 from gaugeline.sources.files import read_table
 from gaugeline.streaming import ingest, stateful
@@ -93,6 +94,15 @@ def test_messages_of_repeated_tables_are_whole(spark, repeated, days):
         assert compare(spark, con, folder, build, sql) is None
 
 
+def test_state_spreads_with_the_messages_and_lies_on_disk(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(views, "STATE_ROWS", 50)
+    path = str(tmp_path / "once")
+    assert queries._by_parts(spark, small, lambda once: once.select("offset"), path).distinct().count() == 1000
+    state = tmp_path / "once-checkpoint" / "state" / "0"
+    assert len([f for f in state.iterdir() if f.name.isdigit()]) == 20
+    assert list(state.glob("*/*.zip")) and not list(state.glob("*/*.delta"))  # RocksDB's snapshots
+
+
 def test_state_is_forgotten_and_late_rows_are_counted(sent):
     at = lambda minute: f"2024-01-01T00:{minute:02}:00Z"
     query = sent(*[message(i, "n", at(i), "x") for i in range(8)])

@@ -16,6 +16,7 @@ on all places of their documents, each document in one of the rounds, and their
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,10 @@ VOCABULARY, BUCKETS, CLASSES, SIDE, DIMENSION = 8192, 256, 64, 3, 24
 LEAST = 40
 #: Rounds of training, places of a step, and the step's size.
 ROUNDS, BATCH, RATE = 2, 2048, 0.25
+#: Places that are scored together, in which words occur again.
+MANY = 32 * BATCH
+#: Scores up to here have exponentials that a sum over the classes can hold, above and below 0.
+SAFE = 60
 #: Networks are summed as whole numbers in these units, so that the order of summation does not matter.
 UNIT = 2.0**-30
 SHARDS = 16
@@ -40,6 +45,8 @@ SHARDS = 16
 #: Rows of a matrix product at a time: beyond that the linear algebra library would start threads of its own, which
 #: wait busily on a machine whose cores all have a task.
 ROWS = 128
+#: Sums over the classes as a product.
+ONES = np.ones((CLASSES, 1), np.float32)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -101,6 +108,8 @@ class Lexicon:
         shape = (len(forks), self.size)
         self.forks = np.array(forks, np.int32).reshape(shape).T.copy()
         self.sides = np.array(sides, np.int8).reshape(shape).T.copy()
+        self.deep = self.sides.any(axis=1)  # of classes with more than one word
+        self.classes = own.astype(np.int16)
 
     def __getstate__(self):
         return {**self.__dict__, "rest": None}  # tasks have no tables
@@ -194,39 +203,48 @@ class Network:
         return np.concatenate([getattr(self, n).ravel() for n in self.shapes(self.n_ids)])
 
     def forward(self, around: np.ndarray):
-        """Class log-probabilities of windows of ids, and what training needs of the way there."""
-        found = self.e[around]
-        hidden = np.tanh(np.einsum("nkd,kd->nd", found, self.p) + self.b)
-        scores = product(hidden, self.w) + self.c
-        scores -= scores.max(axis=1, keepdims=True)
-        return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True)), hidden, found
+        """Class scores of windows of ids, whose exponentials neither overflow nor vanish, and what training needs of
+        the way there."""
+        found = self.e.take(around, axis=0)
+        hidden = np.einsum("nkd,kd->nd", found, self.p)
+        hidden += self.b
+        np.tanh(hidden, out=hidden)
+        scores = product(hidden, self.w)
+        scores += self.c
+        if scores.size and max(scores.max(), -scores.min()) > SAFE:
+            scores -= scores.max(axis=1, keepdims=True)
+        return scores, hidden, found
 
     def within(self, hidden: np.ndarray, ids: np.ndarray, lexicon_: Lexicon):
-        """Scores of the right side at the forks above each id, the sides it takes, the forks and their weights."""
-        forks = lexicon_.forks[ids]
-        weights = self.v[forks]
-        return np.einsum("nfd,nd->nf", weights, hidden) + lexicon_.odds[forks], lexicon_.sides[ids], forks, weights
+        """Scores of the right side at the forks above each id, the sides it takes, the forks and their weights.
+        ``hidden`` has some places of each id."""
+        forks = lexicon_.forks.take(ids, axis=0)
+        weights = self.v.take(forks, axis=0)
+        scores = (weights @ hidden.transpose(0, 2, 1)).transpose(0, 2, 1)
+        scores += lexicon_.odds.take(forks)[:, None]
+        return scores, lexicon_.sides.take(ids, axis=0)[:, None], forks, weights
 
     def step(self, around: np.ndarray, ids: np.ndarray, lexicon_: Lexicon, rate: float) -> None:
-        logs, hidden, found = self.forward(around)
-        slope = np.exp(logs)
+        slope, hidden, found = self.forward(around)
         n = len(ids)
-        slope[np.arange(n), class_of(ids)] -= 1
-        slope *= rate
+        np.exp(slope, out=slope)
+        slope *= rate / product(slope, ONES)
+        slope[np.arange(n), lexicon_.classes.take(ids)] -= rate
         back = product(slope, self.w.T)
-        deep = np.flatnonzero(lexicon_.sides[ids, :1].any(axis=1))  # of classes with more than one word
+        deep = np.flatnonzero(lexicon_.deep.take(ids))
         if len(deep):
-            scores, sides, forks, weights = self.within(hidden[deep], ids[deep], lexicon_)
-            fork_slope = (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - (sides > 0)) * (rate * (sides != 0)).astype(np.float32)
-            back[deep] += np.einsum("nf,nfd->nd", fork_slope, weights)
-            _move(self.v, forks, hidden[deep], fork_slope)
+            inner = hidden.take(deep, axis=0)
+            scores, sides, forks, weights = self.within(inner[:, None], ids.take(deep), lexicon_)
+            fork_slope = (1 / (1 + np.exp(-np.clip(scores, -30, 30))) - (sides > 0)) * ((sides != 0) * np.float32(rate))
+            back[deep] += (fork_slope @ weights)[:, 0]
+            _move(self.v, forks, inner, fork_slope[:, 0])
         before = back * (1 - hidden**2)
         self.w -= crossed(hidden, slope) / n * 8
-        self.c -= slope.sum(axis=0) / n * 8
+        self.c -= crossed(slope, np.ones((n, 1), np.float32))[:, 0] / n * 8
         place = np.einsum("nkd,nd->kd", found, before) / n
         # embeddings are rare: each moves by its own windows, not by their share of the batch
         _move(self.e, around, before, self.p)
-        self.b -= before.sum(axis=0) / n
+        self.b -= crossed(before, np.ones((n, 1), np.float32))[:, 0] / n
         self.p -= place
 
 
@@ -234,32 +252,46 @@ def _move(table: np.ndarray, rows: np.ndarray, of_place: np.ndarray, factors: np
     """Move the rows ``rows[i, j]`` of a table against the sums of their slopes, by the root of how many these are.
     A slope is the vector ``of_place[i]`` times ``factors[i, j]``, or times the vector ``factors[j]``."""
     single = factors.shape == rows.shape
-    # Numbers of 16 bits are sorted by their digits, in one pass over them; EDGE is the last row.
-    rows = np.where(rows < 0, rows + len(table), rows).ravel()
-    order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")
-    new = np.append(True, np.diff(rows[order]) > 0)
-    code = np.empty(len(rows), np.int64)  # of each row its number among the different ones
-    code[order] = np.cumsum(new) - 1
-    moved = rows[order][new]
-    places, factors = np.ascontiguousarray(of_place.T), factors if single else np.ascontiguousarray(factors.T)
-    sums = np.empty((DIMENSION, len(moved)))
-    for d in range(DIMENSION):  # sums of one dimension need no copy of the slopes in order
-        slopes = places[d][:, None] * (factors if single else factors[d])
-        sums[d] = np.bincount(code, slopes.ravel(), len(moved))
-    table[moved] -= (sums / np.sqrt(np.bincount(code, minlength=len(moved)))).T
+    rows = np.ascontiguousarray(rows.T, np.int64).ravel()
+    rows[rows < 0] += len(table)  # EDGE is the last row
+    found = np.zeros(len(table), bool)
+    found[rows] = True
+    moved = np.flatnonzero(found)
+    code = np.empty(len(table), np.int64)  # of each row its number among the different ones
+    code[moved] = np.arange(len(moved))
+    code = code.take(rows)
+    # Two dimensions are summed at a time, as the parts of one complex number: half as many sums.
+    pairs = np.ascontiguousarray(of_place.view(np.complex64).T)
+    sums, factors = np.zeros((len(pairs), len(moved)), np.complex64), np.ascontiguousarray(factors.T)
+    slopes = np.empty((len(rows) // len(of_place), len(of_place)), np.complex64)
+    for d, (total, pair) in enumerate(zip(sums, pairs)):
+        if single:
+            np.multiply(pair, factors, out=slopes)
+        else:
+            slopes.real = factors[2 * d][:, None] * pair.real
+            slopes.imag = factors[2 * d + 1][:, None] * pair.imag
+        np.add.at(total, code, slopes.ravel())
+    sums /= np.sqrt(np.bincount(code, minlength=len(moved))).astype(np.float32)
+    table[moved] = table.take(moved, axis=0) - np.ascontiguousarray(sums.T).view(np.float32)
 
 
 #: The id of places beyond the ends of a text: the last embedding, however many there are.
 EDGE = -1
+#: From a place to those on both sides of it.
+STEPS = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
 
 
-def around(ids: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The ids on both sides of each place, within its text."""
-    text = np.searchsorted(offsets, places, side="right") - 1
-    steps = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
-    at = places[:, None] + steps
-    inside = (at >= offsets[text][:, None]) & (at < offsets[text + 1][:, None])
-    return np.where(inside, ids[np.clip(at, 0, len(ids) - 1)], EDGE)
+def apart(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts with SIDE times EDGE on both sides of each text, and where each id lies in them."""
+    places = np.arange(len(ids)) + SIDE * (1 + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)))
+    apart_ = np.full(len(ids) + SIDE * len(offsets), EDGE)
+    apart_[places] = ids
+    return apart_, places
+
+
+def around(apart_: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The ids on both sides of places of :func:`apart`, within their text."""
+    return apart_.take(places[:, None] + STEPS)
 
 
 def _trained(docs: DataFrame, lexicon_: Lexicon, network: Network, round_: int, rounds: int) -> Network:
@@ -279,10 +311,11 @@ def _trained(docs: DataFrame, lexicon_: Lexicon, network: Network, round_: int,
             ids, offsets = lexicon_.ids(batch.column("text"))
             # every place, in an order that follows from the words, so any order of tasks steps alike
             drawn = ragged.mix(ragged.mix(np.arange(len(ids), dtype=np.uint64) + np.uint64(round_ << 40)) + ids.astype(np.uint64))
-            places = np.argsort(drawn, kind="stable")
+            apart_, places = apart(ids, offsets)
+            places = places[np.argsort(drawn)]
             for begin in range(0, len(places), BATCH):
                 chosen = places[begin:begin + BATCH]
-                own.step(around(ids, offsets, chosen), ids[chosen], lexicon_, RATE / (1 + round_))
+                own.step(around(apart_, chosen), apart_.take(chosen), lexicon_, RATE / (1 + round_))
             seen += len(places)
         if seen:
             weights = np.rint(own.flat().astype(np.float64) / UNIT).astype(np.int64) * seen
@@ -319,27 +352,45 @@ def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Lexicon, Network]:
 def pseudo_likelihood(network: Network, lexicon_: Lexicon, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The log-probability of each place's class given the words around it, and of the place's word by
     the word's share of the class in the corpus: :func:`token_logs` with all forks at 0."""
-    out = np.zeros(len(ids))
-    for begin in range(0, len(ids), 4 * BATCH):
-        places = np.arange(begin, min(begin + 4 * BATCH, len(ids)))
-        logs, _, _ = network.forward(around(ids, offsets, places))
-        own = ids[places]
-        out[places] = logs[np.arange(len(places)), class_of(own)] + lexicon_.log_share[own]
-    return out
+    return _logs(network, lexicon_, ids, offsets, lambda hidden, own: lexicon_.log_share[own])
 
 
 def token_logs(network: Network, lexicon_: Lexicon, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The log-probability of each place's id given the words around it: that of its class, and at each
     fork within the class that of its side."""
+    def within(hidden, every):
+        out = np.zeros(len(every), np.float32)
+        deep = np.flatnonzero(lexicon_.deep.take(every))
+        deep = deep.take(np.argsort(every.take(deep), kind="stable"))
+        words, begins, times = np.unique(every.take(deep), return_index=True, return_counts=True)
+        # The places of an id share their forks. Each id's are taken by powers of two, so that those of many ids are one product.
+        for bit in range(int(times.max(initial=0)).bit_length()):
+            some = np.flatnonzero(times >> bit & 1)
+            size = 1 << bit
+            places = deep.take((begins + (times & size - 1)).take(some)[:, None] + np.arange(size)).reshape(-1, min(size, ROWS))
+            own = words.take(some).repeat(len(places) // max(len(some), 1))
+            scores, sides = network.within(hidden.take(places, axis=0), own, lexicon_)[:2]
+            out[places] -= np.log(1 + np.exp(-np.clip(scores * sides, -80, 80)) * (sides != 0)).sum(axis=2)
+        return out
+
+    return _logs(network, lexicon_, ids, offsets, within)
+
+
+def _logs(network: Network, lexicon_: Lexicon, ids: np.ndarray, offsets: np.ndarray, within: Callable) -> np.ndarray:
+    """The log-probability of each place's class, plus ``within`` of the places' hidden values and ids, many places
+    at a time."""
     out = np.zeros(len(ids))
-    for begin in range(0, len(ids), 4 * BATCH):
-        places = np.arange(begin, min(begin + 4 * BATCH, len(ids)))
-        logs, hidden, _ = network.forward(around(ids, offsets, places))
-        own = ids[places]
-        out[places] = logs[np.arange(len(places)), class_of(own)]
-        deep = np.flatnonzero(lexicon_.sides[own, :1].any(axis=1))
-        scores, sides, _, _ = network.within(hidden[deep], own[deep], lexicon_)
-        out[places[deep]] -= np.where(sides != 0, np.log1p(np.exp(-np.clip(scores * sides, -80, 80))), 0).sum(axis=1)
+    apart_, places = apart(ids, offsets)
+    for first in range(0, len(ids), MANY):
+        many, inner = slice(first, first + MANY), []
+        for begin in range(first, min(first + MANY, len(ids)), BATCH):
+            some = slice(begin, min(begin + BATCH, first + MANY))
+            own = ids[some]
+            scores, hidden, _ = network.forward(around(apart_, places[some]))
+            out[some] = scores[np.arange(len(own)), lexicon_.classes.take(own)]
+            out[some] -= np.log(product(np.exp(scores, out=scores), ONES)[:, 0])
+            inner.append(hidden)
+        out[many] += within(np.concatenate(inner), ids[many])
     return out
 
 

@@ -81,3 +81,48 @@ def test_scores_of_a_whole_table_recomputed_word_by_word(spark, small):
         assert found[doc_id]["n_tokens"] == len(words)
         assert found[doc_id]["log_likelihood"] == pytest.approx(expected, rel=1e-4, abs=1e-3)
     assert set(QUERIES["op3_pseudo_likelihood"](spark, small).columns) == {"doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"}
+
+
+def test_scores_far_from_0_do_not_overflow():
+    """Exponentials are taken of scores as they are, unless one of them is large."""
+    n = np.arange(300, 0, -1) + 1.0
+    lexicon = P.Lexicon([f"w{i}" for i in range(300 - P.BUCKETS)], n)
+    network = P.Network.start(n_ids=lexicon.size)
+    ids, offsets = np.arange(80) % 60, np.array([0, 3, 3, 80])
+    near = P.token_logs(network, lexicon, ids, offsets)
+    network.c += 5000  # the same for all classes
+    assert P.token_logs(network, lexicon, ids, offsets) == pytest.approx(near, abs=1e-2)
+    network.c[7] -= 300
+    assert np.isfinite(P.token_logs(network, lexicon, ids, offsets)).all()
+
+
+def test_places_of_a_word_scored_together(monkeypatch):
+    """Words that occur once, often, and at the edge of the places scored together."""
+    rng = np.random.default_rng(3)
+    lexicon = P.Lexicon([f"w{i}" for i in range(1000 - P.BUCKETS)], np.arange(1000, 0, -1) + 1.0)
+    network = P.Network.start(n_ids=lexicon.size)
+    network.v[:] = rng.normal(size=network.v.shape)
+    ids = np.concatenate([np.full(37, 100), rng.integers(0, 1000, 300), rng.integers(0, 50, 200)])
+    offsets = np.array([0, 0, 37, 400, len(ids), len(ids)])
+    monkeypatch.setattr(P, "MANY", 1 << 16)
+    whole = P.token_logs(network, lexicon, ids, offsets)
+    monkeypatch.setattr(P, "BATCH", 16)
+    monkeypatch.setattr(P, "MANY", 48)
+    assert P.token_logs(network, lexicon, ids, offsets) == pytest.approx(whole, abs=1e-4)
+    apart, places = P.apart(ids, offsets)
+    scores, hidden, _ = network.forward(P.around(apart, places))
+    for i in range(0, len(ids), 7):
+        alone = scores[i, P.class_of(ids[i:i + 1])[0]] - math.log(np.exp(scores[i].astype(float)).sum())
+        for fork, side in zip(lexicon.forks[ids[i]], lexicon.sides[ids[i]]):
+            if side:
+                alone -= math.log1p(math.exp(-side * float(hidden[i] @ network.v[fork] + lexicon.odds[fork])))
+        assert whole[i] == pytest.approx(alone, abs=1e-3)
+
+
+def test_forks_of_a_word_are_read_once_for_many_places(monkeypatch):
+    lexicon = P.Lexicon([f"w{i}" for i in range(1000 - P.BUCKETS)], np.arange(1000, 0, -1) + 1.0)
+    network, read, within = P.Network.start(n_ids=lexicon.size), [], P.Network.within
+    monkeypatch.setattr(P.Network, "within", lambda self, hidden, ids, lexicon_: read.append(len(ids)) or within(self, hidden, ids, lexicon_))
+    ids = np.tile(np.arange(40, 60), 64)
+    P.token_logs(network, lexicon, ids, np.array([0, 700, len(ids)]))
+    assert sum(read) == 20
